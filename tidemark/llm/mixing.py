@@ -14,8 +14,8 @@ from tidemark.llm.common import numbered, saved, word_count
 EPS = 1e-9
 #: Rows of one source that a task takes at a time, and open rows that one task merges.
 BLOCK_ROWS = 20_000
-#: Open units that a flight leaves to the landing, which looks at all 2^12 choices of them.
-LEAVE_OPEN = 12
+#: Units of all sizes that fly only in the landing, which looks at all choices of them and of the 2 that a flight leaves.
+HELD = 12
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0) -> DataFrame:
@@ -44,8 +44,10 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most:
     return ranked.withColumn("target", F.least(F.col("weight") * level, cap)).drop("weight")
 
 
-def flight(p: np.ndarray, size: np.ndarray, rng: np.random.Generator, leave: int = LEAVE_OPEN) -> np.ndarray:
-    """Moves inclusion probabilities along the null space of (document total, size total) until `leave` are fractional.
+def flight(p: np.ndarray, size: np.ndarray, rng: np.random.Generator, held: np.ndarray | None = None) -> np.ndarray:
+    """Moves inclusion probabilities along the null space of (document total, size total) until at most 2 are fractional.
+
+    Units marked in `held` stay as they are, for the landing.
 
     Three open units at a time: u = (s2 - s3, s3 - s1, s1 - s2) keeps both totals. The step to either border is taken
     with the probability that keeps each unit's expectation.
@@ -54,13 +56,12 @@ def flight(p: np.ndarray, size: np.ndarray, rng: np.random.Generator, leave: int
     s = [float(x) for x in size]
     dice = rng.random(len(p) + 1).tolist()
     hand: list[int] = []
-    open_ = sum(EPS < x < 1 - EPS for x in p)
     for i, x in enumerate(p):
         if x < EPS or x > 1 - EPS:
             p[i] = float(round(x))
             continue
-        if open_ <= leave:
-            break
+        if held is not None and held[i]:
+            continue
         hand.append(i)
         if len(hand) < 3:
             continue
@@ -81,9 +82,7 @@ def flight(p: np.ndarray, size: np.ndarray, rng: np.random.Generator, leave: int
         for j, d in zip(hand, u, strict=True):
             x = p[j] + step * d
             p[j] = 0.0 if x < EPS else 1.0 if x > 1 - EPS else x
-        open_ -= len(hand)
         hand = [j for j in hand if 0.0 < p[j] < 1.0]
-        open_ += len(hand)
     return np.array(p)
 
 
@@ -110,10 +109,14 @@ def _flight_of_block(last: bool, base: int):
     def fly(key, pdf):
         source, block = None if pd.isna(key[0]) else key[0], int(key[1])
         pdf = pdf.sort_values(["doc_id", "size"], kind="stable", ignore_index=True)
-        # large documents fly first, so that small ones are left to land
+        # by size, and units of all sizes are held back, so that the landing can meet almost any total
         pdf = pdf.iloc[_dice(source, block, base).permutation(len(pdf))].sort_values("size", ascending=False, kind="stable", ignore_index=True)
         size = pdf["size"].to_numpy(float)
-        p = flight(pdf["p"].to_numpy(float), size, _dice(source, block, base + 1))
+        p = pdf["p"].to_numpy(float)
+        open_ = np.flatnonzero((p > EPS) & (p < 1 - EPS))
+        held = np.zeros(len(p), bool)
+        held[open_[np.linspace(0, len(open_) - 1, min(HELD, len(open_))).astype(int)]] = True
+        p = flight(p, size, _dice(source, block, base + 1), held)
         pdf["p"] = landing(p, size) if last else p
         return pdf
 
@@ -123,7 +126,7 @@ def _flight_of_block(last: bool, base: int):
 def cube_sample(units: DataFrame, seed: int = 1) -> DataFrame:
     """units(source, doc_id, size, p, ...) with `taken01`, 0 or 1: a sample balanced on both totals of each source.
 
-    Blocks of a source (by the hash of doc_id, so that reruns agree) fly alone and leave LEAVE_OPEN open units each at most; the open
+    Blocks of a source (by the hash of doc_id, so that reruns agree) fly alone and leave HELD + 2 open units each at most; the open
     units of many blocks meet and fly again, until one block of each source is left, and its last units land. Each
     round is written, so a lost executor repeats one round at most. Work shrinks by the block size in each round.
     """
@@ -141,7 +144,7 @@ def cube_sample(units: DataFrame, seed: int = 1) -> DataFrame:
         done = decided if done is None else done.unionByName(decided)
         if last:
             break
-        blocks = -(-blocks * LEAVE_OPEN // BLOCK_ROWS)
+        blocks = -(-blocks * (HELD + 2) // BLOCK_ROWS)
         open_ = flown.where("p > 0 and p < 1").withColumn("_cube_block", F.pmod(F.col("_cube_block"), F.lit(blocks)))
     return done.select(*columns, F.col("p").cast("int").alias("taken01"))
 
