@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import documents
+from tidemark.llm import language, quality
+from tidemark.llm.common import documents, key_crc32
 from tidemark.llm.mixing import mix_documents
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.rans import token_digest
+from tidemark.llm.rules import apply_rules
 from tidemark.llm.sharding import documents_to_shards
+from tidemark.llm.topk import top_k
 
 
 def tokenizer_file(name: str) -> str:
@@ -19,6 +22,13 @@ def tokenizer_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    held_out = key_crc32("doc_id") % 5 == 0
+    model = language.learn(docs, ~held_out)
+    return language.identify(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
+
+
 def op3_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents_to_shards(documents(spark, sf_dir), 24)
 
@@ -27,14 +37,50 @@ def op5_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(documents(spark, sf_dir)).drop("source")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = key_crc32("doc_id") % 4 == 2
+    model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out)
+    out = quality.scored(docs.withColumn("held_out", held_out), model).drop("text")
+    return out.withColumn("predicted", (out.score >= 0.7).cast("int"))
+
+
 def op7_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), end_id=2)
 
 
+def op8_norm_bucket_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), query_ids_divide_by=50, k=5)
+
+
 def op9_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_feistel_sharding, op5_cube_mixing, op7_rans_tokens, op9_residual_packing)}
-
-ORACLES: dict[str, str] = {}
+def op10_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_rules(documents(spark, sf_dir))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_language_id, op3_feistel_sharding, op5_cube_mixing, op6_quality_classifier, op7_rans_tokens, op8_norm_bucket_topk,
+        op9_residual_packing, op10_adaptive_rules,
+    )
+}
+
+ORACLES: dict[str, str] = {
+    "op8_norm_bucket_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v, row_number() OVER () AS r
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS score,
+    row_number() OVER (PARTITION BY q.r ORDER BY list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) DESC, c.vec_id, c.r) AS rank
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.r <> c.r AND len(q.v) = len(c.v)
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM s WHERE rank <= 5
+""",
+}
