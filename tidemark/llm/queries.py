@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import language, quality
 from tidemark.llm.common import documents, key_crc32
+from tidemark.llm.lines import DIGEST_SQL, line_dedup_digest
 from tidemark.llm.mixing import mix_documents
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.rans import token_digest
@@ -29,6 +30,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup_digest(documents(spark, sf_dir))
+
+
 def op3_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents_to_shards(documents(spark, sf_dir), 24)
 
@@ -64,12 +69,13 @@ def op10_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_language_id, op3_feistel_sharding, op5_cube_mixing, op6_quality_classifier, op7_rans_tokens, op8_norm_bucket_topk,
+        op1_language_id, op2_line_dedup, op3_feistel_sharding, op5_cube_mixing, op6_quality_classifier, op7_rans_tokens, op8_norm_bucket_topk,
         op9_residual_packing, op10_adaptive_rules,
     )
 }
 
 ORACLES: dict[str, str] = {
+    "op2_line_dedup": DIGEST_SQL,
     "op8_norm_bucket_topk": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v, row_number() OVER () AS r
