@@ -1,12 +1,78 @@
-"""The corpus pipeline: documents pass its stages in turn; each result is written and read again."""
+"""The corpus pipeline: documents pass its stages in turn; each result is written and read again.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows that the one before kept. All but the last return the columns of
+documents. ORACLE_SQL is None, as SQL can express neither the classifier nor the packing.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import quality
+from tidemark.llm.common import documents, key_crc32, saved
+from tidemark.llm.jaccard import near_duplicates
+from tidemark.llm.lines import remove_lines
+from tidemark.llm.mixing import mix_documents
+from tidemark.llm.packing import pack_documents
+from tidemark.llm.queries import tokenizer_file
+
+LEAST_SCORE = 0.7
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score LEAST_SCORE or more stay. The model learns from labelled rows with crc32(doc_id) mod 4 not 2."""
+    model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), key_crc32("doc_id") % 4 != 2)
+    return quality.scored(docs, model, into="_quality").where(F.col("_quality") >= LEAST_SCORE).drop("_quality")
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines on 5 sites or more go, but for their first place; a document goes if nothing else was in it. n_chars follows."""
+    names = docs.columns
+    out = remove_lines(docs)
+    out = out.where((F.col("lines_removed") == 0) | (F.col("lines_left") > 0))
+    if "n_chars" in names:
+        changed = F.when(F.col("lines_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
+    return out.select(*names)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest doc_id stays, once."""
+    found = saved(near_duplicates(docs), "pipeline-groups")
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stays"))
+    out = docs.join(stay.distinct(), F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi")
+    repeated = not found.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").isEmpty()
+    return out.dropDuplicates(["doc_id"]) if repeated else out
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as many times as the mix takes it: 0 to 3."""
+    taken = saved(mix_documents(docs), "pipeline-mix").where("copies > 0").select(F.col("doc_id").alias("_id"), F.sequence(F.lit(1), F.col("copies").cast("int")).alias("_times"))
+    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
+    return joined.select(*docs.columns, F.explode("_times").alias("_time")).drop("_time")
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of 4096 tokens at most: a row for each piece of a document."""
+    return pack_documents(docs, tokenizer_file("word_bpe_49k.json"), capacity=4096, end_id=1)
+
 
-STAGES: list = []
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("line dedup", line_stage),
+    ("n-gram Jaccard join", near_duplicate_stage),
+    ("mixing sources to target weights", mixing_stage),
+    ("best-fit packing", packing_stage),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over the documents of sf_dir."""
+    docs = documents(spark, sf_dir)
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = saved(docs, f"pipeline-stage{k}")
+    return docs

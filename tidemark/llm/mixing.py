@@ -13,7 +13,7 @@ from tidemark.llm.common import numbered, saved, word_count
 
 EPS = 1e-9
 #: Rows of one source that a task takes at a time, and open rows that one task merges.
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 5_000
 #: Units of all sizes that fly only in the landing, which looks at all choices of them and of the 2 that a flight leaves.
 HELD = 12
 
@@ -150,7 +150,7 @@ def cube_sample(units: DataFrame, seed: int = 1) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame, seed: int = 1) -> DataFrame:
-    """doc_id, size, source_size, target, taken of every document: taken / size is how often the mix takes it, 0 to 3.
+    """doc_id, source, size, source_size, target, taken, copies of every document: the mix takes it `copies` times, 0 to 3.
 
     A document of a source is expected target / source_size times: the whole part is taken for sure, the rest is its
     inclusion probability for the cube method. So each source's taken words differ from its target by a part of one
@@ -164,4 +164,5 @@ def mix_documents(docs: DataFrame, seed: int = 1) -> DataFrame:
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     units = units.withColumn("whole", F.floor(rate + EPS).cast("long")).withColumn("p", F.greatest(F.lit(0.0), rate - F.col("whole")))
     sampled = cube_sample(units, seed)
-    return sampled.select("doc_id", "source", "size", "source_size", "target", ((F.col("whole") + F.col("taken01")) * F.col("size")).alias("taken"))
+    copies = F.col("whole") + F.col("taken01")
+    return sampled.select("doc_id", "source", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"))

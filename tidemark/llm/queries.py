@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import language, quality
 from tidemark.llm.common import documents, key_crc32
+from tidemark.llm.jaccard import near_duplicates
 from tidemark.llm.lines import DIGEST_SQL, line_dedup_digest
 from tidemark.llm.mixing import mix_documents
 from tidemark.llm.packing import pack_documents
@@ -38,8 +39,12 @@ def op3_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents_to_shards(documents(spark, sf_dir), 24)
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def op5_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_documents(documents(spark, sf_dir)).drop("source")
+    return mix_documents(documents(spark, sf_dir)).drop("source", "copies")
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +74,7 @@ def op10_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_language_id, op2_line_dedup, op3_feistel_sharding, op5_cube_mixing, op6_quality_classifier, op7_rans_tokens, op8_norm_bucket_topk,
+        op1_language_id, op2_line_dedup, op3_feistel_sharding, op4_jaccard_join, op5_cube_mixing, op6_quality_classifier, op7_rans_tokens, op8_norm_bucket_topk,
         op9_residual_packing, op10_adaptive_rules,
     )
 }
