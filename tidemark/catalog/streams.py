@@ -1 +1,266 @@
-"""Streaming queries."""
+"""Streaming queries: the feed as files, a stream over them until they are read, and what its sink holds."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.catalog import query
+from tidemark.catalog.batch import _SILVER
+from tidemark.catalog.model import Run
+from tidemark.operators import contract, reports
+from tidemark.operators.layers import to_silver
+from tidemark.plans.workspace import folder
+from tidemark.sources import feed, readers
+from tidemark.streaming import jobs
+
+
+def _files(run: Run, records: DataFrame, name: str, n: int = 4) -> str:
+    path = folder(run.spark, name)
+    records.repartition(n).write.parquet(path)
+    return path
+
+
+def _checkpoint(spark: SparkSession, name: str) -> str:
+    return jobs.checkpoint_path(folder(spark, "stream"), feed.SESSION, name)
+
+
+@query("SELECT kafka_partition, count(*) AS n, max(kafka_offset) AS last FROM topic GROUP BY 1")
+def src_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All files of the feed, two at a time."""
+    run, out = Run(spark, sf_dir), folder(spark, "raw")
+    stream = readers.event_stream(spark, _files(run, run.topic, "topic"), max_files=2)
+    jobs.finished(jobs.append_to(stream, out, _checkpoint(spark, "copy"), "copy"))
+    return spark.read.parquet(out).groupBy("kafka_partition").agg(F.count("*").alias("n"), F.max("kafka_offset").alias("last"))
+
+
+@query("SELECT meta_id, kafka_partition, kafka_offset, ingested_at FROM topic", "stream_bronze")
+def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run, out = Run(spark, sf_dir), folder(spark, "bronze")
+    jobs.finished(jobs.bronze_stream(readers.event_stream(spark, _files(run, run.topic, "topic")), feed.SESSION, out, _checkpoint(spark, "bronze")))
+    return spark.read.parquet(out).select("meta_id", "kafka_partition", "kafka_offset", "ingested_at")
+
+
+@query("SELECT CASE kind WHEN 'bad' THEN 'title: required' ELSE 'invalid_json' END AS error, ingested_at AS rejected_at FROM received WHERE kind IN ('bad', 'broken')")
+def stream_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run, out = Run(spark, sf_dir), folder(spark, "dlq")
+    jobs.finished(jobs.dlq_stream(readers.event_stream(spark, _files(run, run.dlq_topic, "topic")), feed.SESSION, out, _checkpoint(spark, "dlq")))
+    return spark.read.parquet(out).select("error", "rejected_at")
+
+
+@query("SELECT meta_id, wiki, title, edit_type FROM silver")
+def sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of one append query with one checkpoint: the second adds nothing."""
+    run, out, check = Run(spark, sf_dir), folder(spark, "append"), _checkpoint(spark, "append")
+    path = _files(run, run.topic.where("kafka_offset >= 0"), "topic")
+    for _ in range(2):
+        jobs.finished(jobs.append_to(to_silver(readers.event_stream(spark, path)).select("meta_id", "wiki", "title", "edit_type"), out, check, "append"))
+    return spark.read.parquet(out).distinct()
+
+
+@query("SELECT count(*) AS rows, count(*) AS ids FROM ev")
+def sink_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of four batches into the insert-only merge."""
+    run, out = Run(spark, sf_dir), folder(spark, "silver")
+    stream = readers.event_stream(spark, _files(run, run.topic, "topic"), max_files=1)
+    jobs.finished(jobs.silver_stream(stream, out, _checkpoint(spark, "silver"), F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")))
+    return spark.read.parquet(out).agg(F.count("*").alias("rows"), F.countDistinct("meta_id").alias("ids"))
+
+
+@query(f"SELECT {_SILVER.replace('ingested_at, ', '').replace(', is_late', '')} FROM silver")
+def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twice from the start, as after a lost checkpoint: nothing is doubled."""
+    run, out = Run(spark, sf_dir), folder(spark, "silver")
+    path = _files(run, run.topic, "topic")
+    for _ in range(2):
+        jobs.finished(jobs.silver_stream(readers.event_stream(spark, path, max_files=2), out, _checkpoint(spark, "silver"), F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")))
+    return spark.read.parquet(out).select(*_SILVER.replace("ingested_at, ", "").replace(", is_late", "").split(", "))
+
+
+@query("SELECT alert_id, rule_id, severity, meta_id FROM alerts")
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run, out = Run(spark, sf_dir), folder(spark, "alerts")
+    stream = readers.event_stream(spark, _files(run, run.topic, "topic"), max_files=2)
+    jobs.finished(jobs.alert_stream(stream, lambda: run.watchlist, lambda: run.rules, out, _checkpoint(spark, "alerts"), F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")))
+    return spark.read.parquet(out).select("alert_id", "rule_id", "severity", "meta_id")
+
+
+@query("SELECT meta_id, category, owner_team FROM watched")
+def join_watchlist_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream-static join as a plain streaming plan."""
+    run, out = Run(spark, sf_dir), folder(spark, "watched")
+    stream = to_silver(readers.event_stream(spark, _files(run, run.topic, "topic"))).where("namespace = 0")
+    joined = stream.join(run.watchlist, ["wiki", "title"]).select("meta_id", "category", "owner_team")
+    jobs.finished(jobs.append_to(joined, out, _checkpoint(spark, "watched"), "watched"))
+    return spark.read.parquet(out).distinct()
+
+
+@query("SELECT rule_id, count(*) AS n FROM alerts WHERE NOT (rule_id = 'R3' AND event_id % 2 = 1) GROUP BY 1")
+def hot_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule is switched off between two runs of one stream; the second run knows."""
+    run, out, path, check = Run(spark, sf_dir), folder(spark, "alerts"), folder(spark, "topic"), _checkpoint(spark, "alerts")
+    number = F.substring(F.get_json_object("raw", "$.meta.id"), 4, 20).cast("long")
+    for rest, rules in ((0, run.rules), (1, feed.alert_rules(spark, 2, disabled=("R3",)))):
+        run.topic.where(number % 2 == rest).repartition(2).write.mode("append").parquet(path)
+        jobs.finished(jobs.alert_stream(readers.event_stream(spark, path), lambda: run.watchlist, lambda rules=rules: rules, out, check, F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")))
+    return spark.read.parquet(out).groupBy("rule_id").agg(F.count("*").alias("n"))
+
+
+_CLOSED = "window_end <= (SELECT max(event_ts) - INTERVAL 2 MINUTE FROM silver WHERE edit_type <> 'log')"
+
+
+def _windows(run: Run, path: str, out: str, check: str) -> None:
+    jobs.finished(jobs.append_to(jobs.edits_per_minute(to_silver(readers.event_stream(run.spark, path))), out, check, "edits_per_min"))
+
+
+def _stream_minutes(run: Run) -> DataFrame:
+    """One micro-batch over the whole feed: windows that the watermark has passed."""
+    out = folder(run.spark, "minutes")
+    _windows(run, _files(run, run.topic, "topic"), out, _checkpoint(run.spark, "minutes"))
+    return run.spark.read.parquet(out)
+
+
+@query(f"SELECT window_start, window_end, wiki, edits, bot_edits, bytes_changed FROM minutes WHERE {_CLOSED}")
+def stream_edits_per_min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stream_minutes(Run(spark, sf_dir))
+
+
+@query(f"SELECT CAST(sum(edits) AS BIGINT) AS edits, count(*) AS windows FROM minutes WHERE {_CLOSED}")
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every copy in the feed counts once: the windows hold as many edits as there are ids."""
+    return _stream_minutes(Run(spark, sf_dir)).agg(F.sum("edits").alias("edits"), F.count("*").alias("windows"))
+
+
+_HALF = "(SELECT max(event_id) / 2 FROM ev)"
+
+
+@query(f"""WITH p1 AS (SELECT * FROM silver WHERE edit_type <> 'log' AND event_id < {_HALF} AND event_id % 97 <> 5), wm AS (SELECT max(event_ts) - INTERVAL 2 MINUTE AS at1 FROM p1),
+kept AS (SELECT * FROM silver s WHERE edit_type <> 'log' AND (event_id >= {_HALF} OR event_id % 97 <> 5 OR date_trunc('minute', event_ts) + INTERVAL 1 MINUTE > (SELECT at1 FROM wm)))
+SELECT date_trunc('minute', event_ts) AS window_start, wiki, count(*) AS edits FROM kept WHERE date_trunc('minute', event_ts) + INTERVAL 1 MINUTE <= (SELECT max(event_ts) - INTERVAL 2 MINUTE FROM kept) GROUP BY 1, 2""".replace("at1", "bound"))
+def stream_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two phases over one checkpoint: rows of the first half that come only in the second phase are behind the watermark."""
+    return _two_phases(Run(spark, sf_dir)).select("window_start", "wiki", "edits")
+
+
+def _two_phases(run: Run) -> DataFrame:
+    spark, out, path, check = run.spark, folder(run.spark, "minutes"), folder(run.spark, "topic"), _checkpoint(run.spark, "minutes")
+    number = F.substring(F.get_json_object("raw", "$.meta.id"), 4, 20).cast("long")
+    last = spark.read.parquet(f"{run.sf_dir}/events.parquet").agg(F.max("event_id")).first()[0] or 0
+    early = (number < last / 2) & (number % 97 != 5)
+    for part in (early, ~early):
+        run.topic.where(part).repartition(2).write.mode("append").parquet(path)
+        _windows(run, path, out, check)
+    return spark.read.parquet(out)
+
+
+@query(f"""WITH p1 AS (SELECT * FROM silver WHERE edit_type <> 'log' AND event_id < {_HALF} AND event_id % 97 <> 5), wm AS (SELECT max(event_ts) - INTERVAL 2 MINUTE AS bound FROM p1),
+kept AS (SELECT * FROM silver s WHERE edit_type <> 'log' AND (event_id >= {_HALF} OR event_id % 97 <> 5 OR date_trunc('minute', event_ts) + INTERVAL 1 MINUTE > (SELECT bound FROM wm))),
+live AS (SELECT date_trunc('minute', event_ts) AS window_start, wiki, count(*) AS edits FROM kept WHERE date_trunc('minute', event_ts) + INTERVAL 1 MINUTE <= (SELECT max(event_ts) - INTERVAL 2 MINUTE FROM kept) GROUP BY 1, 2)
+SELECT window_start, wiki, f.edits AS final_edits, l.edits AS realtime_edits, coalesce(f.edits, 0) - coalesce(l.edits, 0) AS missed FROM minutes f FULL JOIN live l USING (window_start, wiki)""")
+def late_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the real-time windows of the two-phase replay lack, against the complete ones."""
+    run = Run(spark, sf_dir)
+    return reports.late_gap(run.minutes, _two_phases(run))
+
+
+@query(f"""SELECT CAST(sum(edits) AS BIGINT) AS edits, (SELECT count(*) FROM silver WHERE edit_type <> 'log') AS all_edits FROM (
+WITH p1 AS (SELECT * FROM silver WHERE edit_type <> 'log' AND event_id < {_HALF} AND event_id % 97 <> 5), wm AS (SELECT max(event_ts) - INTERVAL 2 MINUTE AS bound FROM p1),
+kept AS (SELECT * FROM silver s WHERE edit_type <> 'log' AND (event_id >= {_HALF} OR event_id % 97 <> 5 OR date_trunc('minute', event_ts) + INTERVAL 1 MINUTE > (SELECT bound FROM wm)))
+SELECT count(*) AS edits FROM kept WHERE date_trunc('minute', event_ts) + INTERVAL 1 MINUTE <= (SELECT max(event_ts) - INTERVAL 2 MINUTE FROM kept))""")
+def two_phase_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = Run(spark, sf_dir)
+    every = run.silver.where("edit_type <> 'log'").agg(F.count("*").alias("all_edits"))
+    return _two_phases(run).agg(F.sum("edits").alias("edits")).crossJoin(every)
+
+
+@query("SELECT CASE WHEN kind IN ('bad', 'broken') THEN 'dlq' ELSE 'edits' END AS topic, wiki || ':' || title AS key, count(*) AS n FROM received WHERE kind <> 'canary' GROUP BY 1, 2")
+def replay_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A recorded file through the canary check, validation, keys and routing, as a stream."""
+    run, path, out = Run(spark, sf_dir), folder(spark, "recorded"), folder(spark, "published")
+    run.received.select("raw", "ingested_at").repartition(4).write.parquet(path)
+    stream = contract.routed(spark.readStream.schema("raw string, ingested_at timestamp_ntz").parquet(path))
+    key = F.concat(F.get_json_object("raw", "$.wiki"), F.lit(":"), F.get_json_object("raw", "$.title"))
+    rows = stream.select(F.when(F.col("reason").isNull(), "edits").otherwise("dlq").alias("topic"), key.alias("key"), F.when(F.col("reason").isNull(), F.col("raw")).otherwise(contract.dlq_envelope(stream)).alias("value"))
+    jobs.finished(jobs.append_to(rows, out, _checkpoint(spark, "publish"), "publish"))
+    return spark.read.parquet(out).groupBy("topic", "key").agg(F.count("*").alias("n"))
+
+
+@query("SELECT 'progress' AS query, count(*) AS rows FROM topic")
+def progress_listener(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listener's log of one stream: as many input rows as the feed has."""
+    run, log, out = Run(spark, sf_dir), folder(spark, "progress"), folder(spark, "sink")
+    listener = jobs.ProgressListener(feed.SESSION)
+    path = _files(run, run.topic, "topic")
+    spark.streams.addListener(listener)
+    try:
+        jobs.finished(jobs.append_to(readers.event_stream(spark, path, max_files=1), out, _checkpoint(spark, "progress"), "progress"))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        listener.flush(spark, log, datetime(2024, 1, 31))
+    finally:
+        spark.streams.removeListener(listener)
+    rows = readers.progress_log(spark, log).where("query = 'progress'")
+    return rows.groupBy("query").agg(F.sum("num_input_rows").alias("rows"))
+
+
+@query("SELECT query, CAST(rows AS BIGINT) AS rows FROM (SELECT 'sink' AS query, count(*) AS rows FROM topic)", "sink_progress_jsonl")
+def sink_progress_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress as JSON lines under its day; an empty buffer writes nothing."""
+    run, log, out = Run(spark, sf_dir), folder(spark, "progress"), folder(spark, "sink")
+    listener = jobs.ProgressListener(feed.SESSION)
+    path = _files(run, run.topic, "topic")
+    spark.streams.addListener(listener)
+    try:
+        jobs.finished(jobs.append_to(readers.event_stream(spark, path), out, _checkpoint(spark, "sink"), "sink"))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        listener.flush(spark, log, datetime(2024, 1, 31))
+        listener.flush(spark, log, datetime(2024, 2, 1))
+    finally:
+        spark.streams.removeListener(listener)
+    return readers.progress_log(spark, log).where("query = 'sink' and dt = date'2024-01-31'").groupBy("query").agg(F.sum("num_input_rows").alias("rows"))
+
+
+@query("SELECT rule_id, severity, count(*) AS n FROM alerts GROUP BY 1, 2")
+def alert_scenario(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream and batch side by side: alerts that both found, by rule and severity; a difference would be left out."""
+    run = Run(spark, sf_dir)
+    both = stream_alerts(spark, sf_dir).select("alert_id").intersect(run.alerts.select("alert_id"))
+    return run.alerts.join(both, "alert_id").groupBy("rule_id", "severity").agg(F.count("*").alias("n"))
+
+
+@query("SELECT 'windows' AS query, count(*) AS first_session, count(*) AS second_session, count(*) AS rows FROM topic")
+def checkpoint_per_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A restart of the same session reads no file twice; a new session reads all again."""
+    run, root = Run(spark, sf_dir), folder(spark, "stream")
+    path, n = _files(run, run.topic, "topic"), []
+    for session in ("a", "a", "b"):
+        out = f"{root}/out-{session}"
+        jobs.finished(jobs.append_to(readers.event_stream(spark, path), out, jobs.checkpoint_path(root, session, "windows"), "windows"))
+        n.append(spark.read.parquet(out).count())
+    rows = run.topic.count()
+    return spark.createDataFrame([("windows", n[1], n[2], rows)], "query string, first_session long, second_session long, rows long")
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS bytes_above_zero FROM (SELECT count(*) AS n FROM events) WHERE n > 0")
+def sink_snapshot_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alerts document made twice has the same bytes."""
+    from tidemark.operators import export
+
+    run = Run(spark, sf_dir)
+    top, now = reports.top_alerts(reports.alerts_union(run.alerts, run.bursts, run.rules)), F.lit(run.now).cast("timestamp_ntz")
+    one, two = (export.alerts_document(top, reports.top_digest(run.digest), now) for _ in range(2))
+    return one.join(two, ["json", "bytes"]).where(F.col("bytes") > 0).agg(F.count("*").alias("bytes_above_zero"))
+
+
+@query("SELECT 'created' AS target, count(*) AS rows FROM ev")
+def sink_create_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables by hour are created once, whatever the number of calls."""
+    from tidemark.operators import maintenance
+
+    name = "created_" + folder(spark, "x").rpartition("-")[2]
+    for _ in range(2):
+        maintenance.create_table(spark, name, "meta_id string, event_hour string", "event_hour")
+    rows = feed.base_events(spark, sf_dir).select("meta_id", F.date_format("event_ts", "yyyy-MM-dd").alias("event_hour"))
+    rows.write.mode("append").insertInto(name)
+    return spark.table(name).agg(F.count("*").alias("rows")).select(F.lit("created").alias("target"), "rows")
