@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import quality
-from tidemark.llm.common import documents, key_crc32, saved
+from tidemark.llm.common import bounded_batches, documents, key_crc32, saved
 from tidemark.llm.jaccard import near_duplicates
 from tidemark.llm.lines import remove_lines
 from tidemark.llm.mixing import mix_documents
@@ -22,6 +22,7 @@ LEAST_SCORE = 0.7
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score LEAST_SCORE or more stay. The model learns from labelled rows with crc32(doc_id) mod 4 not 2."""
+    bounded_batches(spark)
     model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), key_crc32("doc_id") % 4 != 2)
     return quality.scored(docs, model, into="_quality").where(F.col("_quality") >= LEAST_SCORE).drop("_quality")
 

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a numpy kernel takes at a time; a longer document is taken alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
+BATCH_BYTES = 4 << 20
 _own_folder: list[str] = []
 
 
@@ -26,14 +27,21 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/tidemark"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches that go to Python are bounded by bytes too, so that runs of very long texts need no more memory than others."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage, survives lost executors and is read in pieces."""
+    bounded_batches(df.sparkSession)
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

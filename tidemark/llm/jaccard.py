@@ -85,27 +85,25 @@ def _has(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 
 
-def _class_maps(reps: DataFrame, tokens: int) -> tuple[np.ndarray, np.ndarray]:
+def _class_maps(docs: DataFrame, wanted: np.ndarray, bits: int, tokens: int) -> tuple[np.ndarray, np.ndarray]:
     """Maps of the tokens that 2 documents have, and of those that FREQUENT_DOCS have, by their upper CLASS_BITS bits.
 
-    reps(own) gives each distinct set once (nearly). Tokens go to the task of their range as 32-bit rests, each at most
+    Each distinct set counts once (nearly). Tokens go to the task of their range as 32-bit rests, each at most
     FREQUENT_DOCS times from a batch; a task counts the documents of its tokens. The maps' size is fixed.
     """
     spread = int(np.clip(np.ceil(np.log2(max(1, tokens * 4 / (2 << 20)))), 3, 14))
 
-    def deal(batches):
-        for batch in batches:
-            sets = [np.frombuffer(x.as_py(), _U) for x in batch.column(0)]
-            if not sets:
-                continue
-            every = np.sort(np.concatenate(sets))
-            at = np.flatnonzero(np.concatenate([every[1:] != every[:-1], [True]])) if len(every) else np.zeros(0, int)
-            counts = np.diff(np.concatenate([[-1], at]))
-            every = np.repeat(every[at], np.minimum(counts, FREQUENT_DOCS))
-            rest = ((every >> _U(32 - spread)) & _U(0xFFFFFFFF)).astype(np.uint32)
-            cuts = np.searchsorted(every >> _U(64 - spread), np.arange((1 << spread) + 1, dtype=_U))
-            parts = [(b, rest[cuts[b] : cuts[b + 1]].tobytes()) for b in range(1 << spread) if cuts[b + 1] > cuts[b]]
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in parts], pa.int32()), pa.array([p[1] for p in parts], pa.binary())], names=["range", "rests"])
+    def deal(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
+        every = np.concatenate(sets)
+        sets.clear()
+        every.sort()
+        at = np.flatnonzero(np.concatenate([every[1:] != every[:-1], [True]]))
+        counts = np.diff(np.concatenate([[-1], at]))
+        every = np.repeat(every[at], np.minimum(counts, FREQUENT_DOCS))
+        rest = ((every >> _U(32 - spread)) & _U(0xFFFFFFFF)).astype(np.uint32)
+        cuts = np.searchsorted(every >> _U(64 - spread), np.arange((1 << spread) + 1, dtype=_U))
+        parts = [(b, rest[cuts[b] : cuts[b + 1]].tobytes()) for b in range(1 << spread) if cuts[b + 1] > cuts[b]]
+        return pa.RecordBatch.from_arrays([pa.array([p[0] for p in parts], pa.int32()), pa.array([p[1] for p in parts], pa.binary())], names=["range", "rests"])
 
     def count(key, table):
         rests = np.sort(np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table.column("rests")]))
@@ -121,7 +119,7 @@ def _class_maps(reps: DataFrame, tokens: int) -> tuple[np.ndarray, np.ndarray]:
 
     maps = [np.zeros((1 << CLASS_BITS) // 8, np.uint8) for _ in range(2)]
     width = 1 << (CLASS_BITS - spread - 3)
-    for at, *data in reps.mapInArrow(deal, "range int, rests binary").groupBy("range").applyInArrow(count, "range int, shared binary, frequent binary").collect():
+    for at, *data in _over_sets(docs, wanted, bits, deal, "range int, rests binary").groupBy("range").applyInArrow(count, "range int, shared binary, frequent binary").collect():
         for m, d in zip(maps, data, strict=True):
             m[at * width : (at + 1) * width] = np.frombuffer(d, np.uint8)
     return maps[0], maps[1]
@@ -176,42 +174,42 @@ def index_keys(own: np.ndarray, shared: np.ndarray, frequent: np.ndarray) -> np.
     return np.concatenate(keys)
 
 
-def _rep_sets(docs: DataFrame, id_type: str, wanted: np.ndarray, bits: int) -> DataFrame:
-    """doc_id, own (the set) of the documents in the map, each distinct set once in a batch; texts don't move."""
+def _over_sets(docs: DataFrame, wanted: np.ndarray, bits: int, function, schema: str, once: bool = True) -> DataFrame:
+    """function(ids, sets) of the documents in the map, batch by batch; each distinct set once in a batch. Texts don't move."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        take = np.flatnonzero(_has(shared.value, batch.column(2).to_numpy()))
-        seen: set = set()
-        rows, sets = [], []
-        at = 0
-        for _, _, data, offsets in text_chunks(batch.column(1).take(pa.array(take))):
-            for own in shingle_sets(data, offsets):
-                if len(own) and (key := own.tobytes()) not in seen:
-                    seen.add(key)
-                    rows.append(take[at])
-                    sets.append(key)
-                at += 1
-        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(sets, pa.binary())], names=["doc_id", "own"])
-
-    return map_batches(docs.select("doc_id", "text", _slot(bits).alias("slot")), run, f"doc_id {id_type}, own binary")
-
-
-def _postings(reps: DataFrame, id_type: str, maps: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    shared = reps.sparkSession.sparkContext.broadcast(maps)
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows, keys, sizes = [], [], []
-        for i, x in enumerate(batch.column(1)):
-            own = np.frombuffer(x.as_py(), _U)
-            found = index_keys(own, *shared.value)
-            keys.append(found)
-            rows.append(np.full(len(found), i))
-            sizes.append(np.full(len(found), len(own)))
-        rows, keys, sizes = (np.concatenate(x) for x in (rows, keys, sizes))
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column(0).take(pa.array(rows.astype(np.int64))), pa.array(sizes.astype(np.int64))], names=["key", "id", "n"])
-
-    return map_batches(reps, run, f"key long, id {id_type}, n long")
+    def run(batches):
+        for batch in batches:
+            take = np.flatnonzero(_has(shared.value, batch.column(2).to_numpy()))
+            seen: set = set()
+            rows, sets = [], []
+            at = 0
+            for _, _, data, offsets in text_chunks(batch.column(1).take(pa.array(take))):
+                for own in shingle_sets(data, offsets):
+                    if len(own) and not (once and (key := _set_key(own)) in seen):
+                        if once:
+                            seen.add(key)
+                        rows.append(take[at])
+                        sets.append(own)
+                    at += 1
+            out = function(batch.column(0).take(pa.array(rows, pa.int64())), sets) if sets else None
+            if out is not None and out.num_rows:
+                yield out
+
+    return docs.select("doc_id", "text", _slot(bits).alias("slot")).mapInArrow(run, schema)
+
+
+def _postings(docs: DataFrame, wanted: np.ndarray, bits: int, id_type: str, maps: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(maps)
+
+    def index(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
+        keys = [index_keys(own, *shared.value) for own in sets]
+        counts = np.array([len(k) for k in keys])
+        rows = np.repeat(np.arange(len(sets)), counts)
+        sizes = np.repeat(np.array([len(x) for x in sets]), counts)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), ids.take(pa.array(rows)), pa.array(sizes)], names=["key", "id", "n"])
+
+    return _over_sets(docs, wanted, bits, index, f"key long, id {id_type}, n long")
 
 
 def _bucket_rows(postings: DataFrame, id_type: str) -> DataFrame:
@@ -285,27 +283,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_type: str) -> DataFrame:
     ids = saved(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "jaccard-ids")
     n = ids.count()
     bits = int(np.clip(int(n * 16).bit_length(), 3, MOST_DOC_BITS))
-    wanted = docs.sparkSession.sparkContext.broadcast(_document_map(ids, bits))
+    def as_longs(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([ids, pa.array([own.view(np.int64) for own in sets], pa.list_(pa.int64()))], names=["id", "own"])
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        take = pa.array(np.flatnonzero(_has(wanted.value, batch.column(2).to_numpy())))
-        sets = [own.tobytes() for _, _, data, offsets in text_chunks(batch.column(1).take(take)) for own in shingle_sets(data, offsets)]
-        return pa.RecordBatch.from_arrays([batch.column(0).take(take), pa.array(sets, pa.binary())], names=["id", "own"])
-
-    sets = map_batches(docs.select("doc_id", "text", _slot(bits).alias("slot")), run, f"id {id_type}, own binary")
+    sets = _over_sets(docs, _document_map(ids, bits), bits, as_longs, f"id {id_type}, own array<bigint>", once=False)
     sets = saved(sets.join(ids, F.col("id") == F.col("doc_id"), "left_semi"), "jaccard-sets")
     both = pairs.join(sets.select(F.col("id").alias("b"), F.col("own").alias("own_b")), "b").join(sets.select(F.col("id").alias("a"), F.col("own").alias("own_a")), "a")
-
-    def verify(batch: pa.RecordBatch) -> pa.RecordBatch:
-        good = []
-        for x, y in zip(batch.column(2), batch.column(3), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
-            at = np.searchsorted(y, x)
-            both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-            good.append(SIMILAR[1] * both >= SIMILAR[0] * (len(x) + len(y) - both))
-        return batch.select(["a", "b"]).filter(pa.array(good))
-
-    return map_batches(both.select("a", "b", "own_a", "own_b"), verify, f"a {id_type}, b {id_type}")
+    shared = F.size(F.array_intersect("own_a", "own_b"))
+    return both.where(SIMILAR[1] * shared >= SIMILAR[0] * (F.size("own_a") + F.size("own_b") - shared)).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -348,8 +333,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return sets.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     bits = int(np.clip(int(n_reps * 16).bit_length(), 3, MOST_DOC_BITS))
     wanted = _document_map(reps.where("rep is not null").select(F.col("rep").alias("doc_id")), bits)
-    rep_sets = _rep_sets(docs, id_type, wanted, bits)
-    postings = _postings(rep_sets, id_type, _class_maps(rep_sets.select("own"), int(tokens)))
+    postings = _postings(docs, wanted, bits, id_type, _class_maps(docs, wanted, bits, int(tokens)))
     found = saved(_bucket_rows(postings.where("id is not null"), id_type), "jaccard-buckets")
     pair = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     # links of small buckets and of leaders
