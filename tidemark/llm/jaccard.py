@@ -24,6 +24,8 @@ CLASS_BITS, MOST_DOC_BITS = 27, 27
 #: Buckets up to this size list all their pairs at once; larger ones first link to leaders, then what is still apart meets.
 SMALL_BUCKET = 8
 _BLOCK_BITS = 18
+#: Documents and tokens of a block, about, in groups of which nearly all pairs are candidates.
+BLOCK_DOCS, BLOCK_TOKENS = 500, 1_000_000
 
 
 # ---- sets -------------------------------------------------------------------------------------------------------------
@@ -278,21 +280,104 @@ def _bucket_rows(postings: DataFrame, id_type: str) -> DataFrame:
 # ---- links and components ---------------------------------------------------------------------------------------------
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, id_type: str) -> DataFrame:
-    """The pairs (a, b) whose sets link. The sets of the documents in pairs are made again from their texts."""
-    ids = saved(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "jaccard-ids")
-    n = ids.count()
-    bits = int(np.clip(int(n * 16).bit_length(), 3, MOST_DOC_BITS))
-    def as_longs(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([ids, pa.array([own.view(np.int64) for own in sets], pa.list_(pa.int64()))], names=["id", "own"])
+def _sets_of(ids: DataFrame, docs: DataFrame, id_type: str) -> DataFrame:
+    """id, own (as longs) of the documents in ids(doc_id), made again from their texts; texts don't move."""
+    ids = saved(ids, "jaccard-ids")
+    bits = int(np.clip(int(ids.count() * 16).bit_length(), 3, MOST_DOC_BITS))
+
+    def as_longs(found: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([found, pa.array([own.view(np.int64) for own in sets], pa.list_(pa.int64()))], names=["id", "own"])
 
     sets = _over_sets(docs, _document_map(ids, bits), bits, as_longs, f"id {id_type}, own array<bigint>", once=False)
-    sets = saved(sets.join(ids, F.col("id") == F.col("doc_id"), "left_semi"), "jaccard-sets")
+    return saved(sets.join(ids, F.col("id") == F.col("doc_id"), "left_semi"), "jaccard-sets")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, id_type: str) -> DataFrame:
+    """The pairs (a, b) whose sets link."""
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), docs, id_type)
     both = pairs.join(sets.select(F.col("id").alias("b"), F.col("own").alias("own_b")), "b").join(sets.select(F.col("id").alias("a"), F.col("own").alias("own_a")), "a")
     shared = F.size(F.array_intersect("own_a", "own_b"))
     return both.where(SIMILAR[1] * shared >= SIMILAR[0] * (F.size("own_a") + F.size("own_b") - shared)).select("a", "b")
 
 
+def _dense_links(open_rows: DataFrame, docs: DataFrame, id_type: str) -> DataFrame:
+    """Links (a, b) that join what is still apart, among documents (key, id, n, root) that share keys of large buckets.
+
+    Documents that share such keys, directly or by others, form a group, in which nearly all pairs are candidates. No pair
+    is listed: a group is cut by size (a band's documents link only with those of the same or the next band) and by
+    hash into blocks of about BLOCK_DOCS, and each pair of blocks is one task, which counts shared tokens by an inverted index and
+    gives at most one link for each document that it joins to another component.
+    """
+    lead = open_rows.groupBy("key").agg(F.min("id").alias("lead"))
+    edges = open_rows.join(lead, "key").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    groups = components(edges.where("a <> b"))
+    band = F.floor(F.log(F.col("n")) / float(np.log(SIMILAR[1] / SIMILAR[0])) + 1e-9).cast("int")
+    members = open_rows.select("id", "n", "root").distinct().join(groups.select(F.col("node").alias("id"), F.col("root").alias("group")), "id").withColumn("band", band)
+    members = saved(members, "jaccard-members")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("int")
+    sizes = members.groupBy("group", "band").agg(blocks.alias("blocks"))
+    sizes = saved(sizes, "jaccard-blocks")
+    near = lambda by, name: sizes.select("group", (F.col("band") + by).alias("band"), F.col("blocks").alias(name))
+    placed = members.join(sizes, ["group", "band"]).join(near(-1, "above"), ["group", "band"], "left").join(near(1, "below"), ["group", "band"], "left")
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    numbers = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
+    task = lambda low, step, i, j, side: F.struct(low.alias("low"), F.lit(step).alias("step"), i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
+    tasks = F.concat(
+        F.transform(F.filter(numbers("blocks"), lambda j: j >= own), lambda j: task(F.col("band"), 0, own, j, 0)),
+        F.transform(F.filter(numbers("blocks"), lambda i: i < own), lambda i: task(F.col("band"), 0, i, own, 1)),
+        F.transform(numbers("above"), lambda j: task(F.col("band"), 1, own, j, 0)),
+        F.transform(numbers("below"), lambda i: task(F.col("band") - 1, 1, i, own, 1)),
+    )
+    dealt = placed.select("id", "root", "group", F.explode(tasks).alias("t")).select("id", F.xxhash64("root").alias("root"), F.xxhash64("group", "t.low", "t.step", "t.i", "t.j").alias("task"), (F.col("t.i") == F.col("t.j")) & (F.col("t.step") == 0), "t.side")
+    dealt = dealt.toDF("id", "root", "task", "one", "side")
+    # tasks whose documents are joined already have nothing to find
+    apart = dealt.groupBy("task").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("task")
+    dealt = saved(dealt.join(apart, "task", "left_semi"), "jaccard-dealt")
+    sets = _sets_of(dealt.select(F.col("id").alias("doc_id")).distinct(), docs, id_type)
+
+    def join(key, table):
+        ids, roots = table.column("id").combine_chunks(), table.column("root").to_numpy()
+        own = table.column("own").combine_chunks()
+        tokens, at = own.values.to_numpy().view(_U), own.offsets.to_numpy()
+        side, one = table.column("side").to_numpy(), bool(table.column("one")[0].as_py())
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if one else 1))
+        parent = {r: r for r in roots.tolist()}
+
+        def find(r):
+            while parent[r] != r:
+                parent[r] = r = parent[parent[r]]
+            return r
+
+        pairs = []
+        if len(left) and len(right):
+            counts = (at[1:] - at[:-1])[right]
+            flat = np.concatenate([tokens[at[d] : at[d + 1]] for d in right])
+            doc = np.repeat(np.arange(len(right)), counts)
+            order = np.argsort(flat, kind="stable")
+            doc = doc[order]
+            words, first = np.unique(flat[order], return_index=True)
+            ends = np.append(first[1:], len(flat))
+            for a in left.tolist():
+                mine = tokens[at[a] : at[a + 1]]
+                w = np.minimum(np.searchsorted(words, mine), len(words) - 1)
+                w = w[words[w] == mine]
+                if not len(w):
+                    continue
+                n = ends[w] - first[w]
+                stop = np.cumsum(n)
+                both = np.bincount(doc[np.repeat(first[w] - (stop - n), n) + np.arange(stop[-1])], minlength=len(right))
+                for b in right[SIMILAR[1] * both >= SIMILAR[0] * (len(mine) + counts - both)].tolist():
+                    x, y = find(int(roots[a])), find(int(roots[b]))
+                    if x != y:
+                        parent[x] = y
+                        pairs.append((a, b))
+        a, b = (pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1))
+        return pa.table({"a": ids.take(a), "b": ids.take(b)})
+
+    rows = dealt.join(sets.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id")).drop("_id")
+    return rows.groupBy("task").applyInArrow(join, f"a {id_type}, b {id_type}")
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root for every node of links(a, b): one root for each connected component (not its smallest node).
 
@@ -338,19 +423,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pair = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     # links of small buckets and of leaders
     links = saved(_verified(saved(found.where("not big").select(*pair("a", "b")).distinct(), "jaccard-pairs"), docs, id_type), "jaccard-links")
-    # large buckets whose members are not all joined yet: whoever is still apart meets
+    # large buckets whose members are not all joined yet
     big = found.where("big").select("key", F.col("a").alias("id"), "n")
     roots = components(links)
     labelled = big.join(roots, big.id == roots.node, "left").select("key", "id", "n", F.coalesce("root", "id").alias("root"))
     labelled = saved(labelled, "jaccard-large")
     apart = saved(labelled.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("key"), "jaccard-apart")
     open_rows = saved(labelled.join(apart, "key", "left_semi"), "jaccard-open")
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    near_size = (F.col("x.n") * SIMILAR[1] >= F.col("y.n") * SIMILAR[0]) & (F.col("y.n") * SIMILAR[1] >= F.col("x.n") * SIMILAR[0])
-    more = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root")) & near_size).select(*pair("x.id", "y.id")).distinct()
-    more = saved(more, "jaccard-more")
-    if not more.isEmpty():
-        links = links.unionByName(_verified(more, docs, id_type))
+    links = links.unionByName(saved(_dense_links(open_rows, docs, id_type), "jaccard-more"))
     # documents of links join the one that stands for their set; labels go back to sets by their keys
     nodes = links.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     stands = sets.where("n > 0").join(nodes, "doc_id", "left_semi").join(reps.drop("n"), ["k1", "k2"])
