@@ -69,7 +69,8 @@ def test_rules(spark):
     assert got == {name: want for name, (_, want) in CASES.items()}
     assert all(len(a.alert_id) == 64 for a in found)
     # the second implementation agrees, and notices when a rule is off
-    none = alerts.reconcile(rows, feed.watchlist(spark), feed.alert_rules(spark), spark.createDataFrame(found)).count()
+    known = spark.createDataFrame([(a.meta_id, a.rule_id) for a in found], "meta_id string, rule_id string")
+    none = alerts.reconcile(rows, feed.watchlist(spark), feed.alert_rules(spark), known).count()
     broken = alerts.find_alerts(rows, feed.watchlist(spark), feed.alert_rules(spark, disabled=("R1",)))
     assert none == 0
     assert {r.meta_id for r in alerts.reconcile(rows, feed.watchlist(spark), feed.alert_rules(spark), broken).collect()} == {"delete", "move by bot"}
