@@ -42,7 +42,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of each group of linked documents the one with the smallest doc_id stays, once."""
     found = saved(near_duplicates(docs), "pipeline-groups")
     stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stays"))
-    out = docs.join(stay.distinct(), F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi")
+    # both sides grow with the documents: the same join at every size
+    out = docs.join(stay.distinct().hint("merge"), F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi")
     repeated = not found.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").isEmpty()
     return out.dropDuplicates(["doc_id"]) if repeated else out
 
@@ -50,7 +51,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix takes it: 0 to 3."""
     taken = saved(mix_documents(docs), "pipeline-mix").where("copies > 0").select(F.col("doc_id").alias("_id"), F.sequence(F.lit(1), F.col("copies").cast("int")).alias("_times"))
-    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
+    joined = docs.join(taken.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")))
     return joined.select(*docs.columns, F.explode("_times").alias("_time")).drop("_time")
 
 

@@ -13,7 +13,7 @@ from tidemark.llm.common import text_chunks
 from tidemark.llm.rules import text_metrics
 
 #: Trusted positives and unlabelled texts that are learned from, at most (those with the smallest hash of doc_id).
-POSITIVES, UNLABELLED = 4000, 8000
+POSITIVES, UNLABELLED = 2500, 5000
 EPOCHS, STEP, DECAY = 300, 0.03, 1e-4
 
 # byte classes: other, lower case, upper case, digit, space, line feed, end of a clause, other ASCII punctuation, bytes over 127
@@ -58,16 +58,18 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> QualityMo
     Where the second part falls below 0, which only over-fitting can do, its own gradient is climbed instead. With the
     logistic loss the score estimates the probability of a positive.
     """
-    both = np.vstack([positive, unlabelled]).astype(np.float64)
-    mean, scale = both.mean(0), both.std(0)
-    scale = np.where(scale > 1e-6, scale, 1.0)
-    p, u = (np.clip((x - mean) / scale, -6, 6) for x in (positive.astype(np.float64), unlabelled.astype(np.float64)))
+    n = len(positive) + len(unlabelled)
+    mean = (positive.sum(0, dtype=np.float64) + unlabelled.sum(0, dtype=np.float64)) / n
+    square = ((positive - mean) ** 2).sum(0) + ((unlabelled - mean) ** 2).sum(0)
+    scale = np.where((scale := np.sqrt(square / n)) > 1e-6, scale, 1.0)
+    p, u = (np.clip((x - mean) / scale, -6, 6).astype(np.float32) for x in (positive, unlabelled))
     w = np.zeros(p.shape[1] + 1)  # the last is the bias
     first, second = np.zeros_like(w), np.zeros_like(w)
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-    grad = lambda x, d: np.append(d @ x, d.sum()) / len(x)
+    grad = lambda x, d: np.append(d.astype(np.float32) @ x, d.sum()) / len(x)
     for t in range(1, EPOCHS + 1):
-        zp, zu = p @ w[:-1] + w[-1], u @ w[:-1] + w[-1]
+        v = w[:-1].astype(np.float32)
+        zp, zu = (p @ v + w[-1]).astype(np.float64), (u @ v + w[-1]).astype(np.float64)
         negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
         g_negative = grad(u, sigmoid(zu)) - prior * grad(p, sigmoid(zp))
         g = prior * grad(p, sigmoid(zp) - 1) + g_negative if negative >= 0 else -g_negative
