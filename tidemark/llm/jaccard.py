@@ -18,9 +18,9 @@ SIMILAR = (4, 5)
 FREQUENT_DOCS = 64
 #: Documents of fewer tokens are indexed by single tokens throughout.
 LEAST_FOR_PAIRS = 16
-#: Bits of each map of token classes, and of document maps at most: their size in memory is bounded. A fuller map only
+#: Bits of each map of token classes (2 to 4 for each token), and of document maps, at most: their size is bounded. A fuller map only
 #: makes tokens look more frequent, or documents more interesting, for all documents alike: it costs time, never a link.
-CLASS_BITS, MOST_DOC_BITS = 27, 27
+MOST_CLASS_BITS, MOST_DOC_BITS = 27, 27
 #: Buckets up to this size list all their pairs at once; larger ones first link to leaders, then what is still apart meets.
 SMALL_BUCKET = 8
 _BLOCK_BITS = 18
@@ -88,12 +88,13 @@ def _has(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _class_maps(docs: DataFrame, wanted: np.ndarray, bits: int, tokens: int) -> tuple[np.ndarray, np.ndarray]:
-    """Maps of the tokens that 2 documents have, and of those that FREQUENT_DOCS have, by their upper CLASS_BITS bits.
+    """Maps of the tokens that 2 documents have, and of those that FREQUENT_DOCS have, by their upper bits.
 
     Each distinct set counts once (nearly). Tokens go to the task of their range as 32-bit rests, each at most
     FREQUENT_DOCS times from a batch; a task counts the documents of its tokens. The maps' size is fixed.
     """
     spread = int(np.clip(np.ceil(np.log2(max(1, tokens * 4 / (2 << 20)))), 3, 14))
+    class_bits = int(np.clip(int(tokens * 2).bit_length(), 18, MOST_CLASS_BITS))
 
     def deal(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
         every = np.concatenate(sets)
@@ -111,16 +112,16 @@ def _class_maps(docs: DataFrame, wanted: np.ndarray, bits: int, tokens: int) ->
         rests = np.sort(np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table.column("rests")]))
         ends = np.flatnonzero(np.concatenate([rests[1:] != rests[:-1], [True]]))
         docs = np.diff(np.concatenate([[-1], ends]))
-        cells = rests[ends] >> np.uint32(32 - CLASS_BITS + spread)
+        cells = rests[ends] >> np.uint32(32 - class_bits + spread)
         found = {"range": pa.array([key[0].as_py()], pa.int32())}
         for name, least in (("shared", 2), ("frequent", FREQUENT_DOCS)):
-            own = np.zeros(1 << (CLASS_BITS - spread), bool)
+            own = np.zeros(1 << (class_bits - spread), bool)
             own[cells[docs >= least]] = True
             found[name] = pa.array([np.packbits(own).tobytes()], pa.binary())
         return pa.table(found)
 
-    maps = [np.zeros((1 << CLASS_BITS) // 8, np.uint8) for _ in range(2)]
-    width = 1 << (CLASS_BITS - spread - 3)
+    maps = [np.zeros((1 << class_bits) // 8, np.uint8) for _ in range(2)]
+    width = 1 << (class_bits - spread - 3)
     for at, *data in _over_sets(docs, wanted, bits, deal, "range int, rests binary").groupBy("range").applyInArrow(count, "range int, shared binary, frequent binary").collect():
         for m, d in zip(maps, data, strict=True):
             m[at * width : (at + 1) * width] = np.frombuffer(d, np.uint8)
@@ -161,7 +162,8 @@ def index_keys(own: np.ndarray, shared: np.ndarray, frequent: np.ndarray) -> np.
     frequent tokens belong to the prefix it is extended, and they are indexed in pairs (see _pair_groups), for the scheme
     of the set's own size and of the smallest size that may link with it.
     """
-    cell = (own >> _U(64 - CLASS_BITS)).astype(np.int64)
+    class_bits = (8 * len(shared)).bit_length() - 1
+    cell = (own >> _U(64 - class_bits)).astype(np.int64)
     is_shared, is_frequent = _has(shared, cell), _has(frequent, cell)
     need = len(own) // SIMILAR[1] + 1 - int((~is_shared).sum())
     if need <= 0:
