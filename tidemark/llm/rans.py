@@ -22,10 +22,10 @@ from tidemark.llm.common import map_batches, saved
 from tidemark.llm.tokens import tokenizer
 
 SCALE_BITS = 22
-LANES = 512
+LANES = 1024
 #: Tokens after which a block is closed (at the end of a document).
 BLOCK_TOKENS = 1 << 18
-CHECKPOINT_STEPS = 256
+CHECKPOINT_STEPS = 128
 _LOW = np.uint64(1 << 31)
 BLOCK_SCHEMA = (
     "file_no int, block_no long, file_start long, n_tokens long, doc_ids binary, lengths binary, n_steps int, payload binary, "
@@ -130,9 +130,9 @@ def _token_rows(docs: DataFrame, path: str, end_id: int, id_type: str) -> DataFr
     return map_batches(docs.select("doc_id", "text"), run, f"doc_id {id_type}, ids binary")
 
 
-def _ids(blob: bytes) -> np.ndarray:
+def _ids(blob) -> np.ndarray:
     """An odd length marks four-byte ids after one byte."""
-    return np.frombuffer(blob, "<u4", offset=1) if len(blob) % 2 else np.frombuffer(blob, "<u2")
+    return np.frombuffer(blob, "<u4", offset=1) if memoryview(blob).nbytes % 2 else np.frombuffer(blob, "<u2")
 
 
 def count_ids(tokens: DataFrame, size: int) -> np.ndarray:
@@ -141,10 +141,7 @@ def count_ids(tokens: DataFrame, size: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for blob in batch.column(0):
-                total += np.bincount(_ids(blob.as_py()), minlength=size) if len(blob.as_py()) > size else 0
-                if len(blob.as_py()) <= size:
-                    np.add.at(total, _ids(blob.as_py()), 1)
+            total += np.bincount(np.concatenate([_ids(x.as_buffer()) for x in batch.column(0)]), minlength=size)
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(total[found])], names=["id", "n"])
 
@@ -212,8 +209,8 @@ def _pack_keys(keys: list) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def read_tokens(blocks: DataFrame, table: DataFrame, vocabulary: int, id_type: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32, ids of every document, decoded from its block."""
+def read_tokens(blocks: DataFrame, table: DataFrame, vocabulary: int, id_type: str, with_ids: bool = True) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 and ids (32 bits each) of every document, decoded from its block."""
     spark = blocks.sparkSession
     freq = np.zeros(vocabulary, np.int64)
     for i, f in table.collect():
@@ -236,9 +233,9 @@ def read_tokens(blocks: DataFrame, table: DataFrame, vocabulary: int, id_type: s
                 data = ids.tobytes()
                 parts = [data[4 * (e - k) : 4 * e] for e, k in zip(ends.tolist(), lengths.tolist(), strict=True)]
                 start = firsts[row["file_no"]] + row["file_start"] + ends - lengths
-                yield pa.RecordBatch.from_arrays([keys, pa.array(start), pa.array(lengths), pa.array([crc32(x) for x in parts], pa.int64()), pa.array(parts, pa.binary())], names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
+                yield pa.RecordBatch.from_arrays([keys, pa.array(start), pa.array(lengths), pa.array([crc32(x) for x in parts], pa.int64()), *([pa.array(parts, pa.binary())] if with_ids else [])], names=["doc_id", "start", "n_tokens", "ids_crc32", *(["ids"] if with_ids else [])])
 
-    return blocks.mapInArrow(decode, f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long, ids binary")
+    return blocks.mapInArrow(decode, f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long" + (", ids binary" if with_ids else ""))
 
 
 def token_digest(docs: DataFrame, path: str, end_id: int = 2, vocabulary: int = 50257) -> DataFrame:
@@ -248,4 +245,4 @@ def token_digest(docs: DataFrame, path: str, end_id: int = 2, vocabulary: int =
     of the input. The checks of payload and ids run on every block.
     """
     blocks, table = write_tokens(docs, path, end_id, max(vocabulary, end_id + 1))
-    return read_tokens(blocks, table, max(vocabulary, end_id + 1), docs.schema["doc_id"].dataType.simpleString()).drop("ids")
+    return read_tokens(blocks, table, max(vocabulary, end_id + 1), docs.schema["doc_id"].dataType.simpleString(), with_ids=False)

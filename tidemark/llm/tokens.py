@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import os
 from itertools import chain
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
 
-#: Distinct words that a worker keeps; beyond that it starts over, so memory stays bounded.
-CACHE_WORDS = 700_000
+#: Distinct words that a worker keeps for a tokenizer of each kind, and as many parts of words; beyond that it starts over,
+#: so memory stays bounded (about 200 bytes each).
+CACHE_WORDS = {"bytes": 700_000, "words": 300_000}
 CHUNK_ROWS = 512
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 500_000
 _made: dict[tuple[str, str], WordTokenizer] = {}
 
 
@@ -35,6 +37,25 @@ class _Numbers(dict):
         return n
 
 
+class _Column:
+    """An array that grows at its end; doubling keeps the copies few."""
+
+    def __init__(self, kind):
+        self._all, self.size = np.zeros(1 << 16, kind), 0
+
+    def extend(self, more: np.ndarray) -> int:
+        """Adds the values; returns the place of the first."""
+        at, self.size = self.size, self.size + len(more)
+        if self.size > len(self._all):
+            self._all = np.concatenate([self._all, np.zeros(max(self.size, len(self._all)), self._all.dtype)])
+        self._all[at : self.size] = more
+        return at
+
+    @property
+    def values(self) -> np.ndarray:
+        return self._all[: self.size]
+
+
 class WordTokenizer:
     """Ids as the tokenizers library gives for whole texts, with each distinct word encoded once.
 
@@ -50,37 +71,69 @@ class WordTokenizer:
         self.library, self.kind = Tokenizer.from_file(path), kind
         self.library.encode_special_tokens = True
         self._clear()
+        self._clear_parts()
 
     def _clear(self) -> None:
+        # where the ids of each word lie in `ids`; length -1: it can't be encoded alone
         self.numbers = _Numbers()
-        self.first, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids, self.used = np.zeros(1 << 20, np.uint32), 0
+        self.first, self.length, self.ids = _Column(np.int64), _Column(np.int64), _Column(np.uint32)
+
+    def _clear_parts(self) -> None:
+        # a word is one part, or a letter or digit last and punctuation after it; parts outlive words, as there are fewer
+        self.parts = _Numbers()
+        self.part_ids, self.part_ends = _Column(np.uint32), _Column(np.int64)
+        self.part_ends.extend(np.zeros(1, np.int64))
 
-    def _text(self, key) -> str:
+    def _unit(self, key) -> str:
+        """What is encoded for a word: with the space or line feed before it in the `bytes` kind."""
         if self.kind == "words":
             return key.decode()
-        return key[1:] if key[0] == "\r" else key if key[0] == "\n" else " " + key[1:]
+        return key[2:] if key[:2] == "\n\n" else key if key[:1] == "\n" else " " + key
 
     def _whole_only(self, key) -> bool:
         """Whether a `bytes` word has white space at an end, so that its ids depend on its neighbours."""
-        return self.kind == "bytes" and (len(key) == 1 or key[1].isspace() or key[-1].isspace())
+        word = key.lstrip("\n") if self.kind == "bytes" else "x"
+        return not word or word[0].isspace() or word[-1].isspace()
+
+    @staticmethod
+    def _gather(ids: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+        ends = np.cumsum(length)
+        return ids[np.repeat(first - (ends - length), length) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
     def _learn(self) -> None:
+        """Encodes the new words. Punctuation after a letter or digit is never joined with it, so it is a part of its own."""
         new, self.numbers.new = self.numbers.new, []
         if not new:
             return
-        odd = [self._whole_only(k) for k in new]
-        found = self.library.encode_batch_fast(["" if o else self._text(k) for k, o in zip(new, odd, strict=True)], add_special_tokens=False)
-        ids = [x.ids for x in found]
-        lengths = np.fromiter((-1 if o else len(x) for x, o in zip(ids, odd, strict=True)), np.int64, len(new))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32)
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used : self.used + len(flat)] = flat
-        sizes = np.maximum(lengths, 0)
-        self.first = np.concatenate([self.first, self.used + np.cumsum(sizes) - sizes])
-        self.length = np.concatenate([self.length, lengths])
-        self.used += len(flat)
+        part, cores, tails = self.parts.__getitem__, [], []
+        empty = part("")
+        for key in new:
+            if self._whole_only(key):
+                cores.append(-1)
+                tails.append(empty)
+                continue
+            unit = self._unit(key)
+            core = unit.rstrip(punctuation)
+            if core and core[-1].isalnum():
+                cores.append(part(core))
+                tails.append(part(unit[len(core) :]))
+            else:
+                cores.append(part(unit))
+                tails.append(empty)
+        texts, self.parts.new = self.parts.new, []
+        if texts:
+            found = [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            at = self.part_ids.extend(np.fromiter(chain.from_iterable(found), np.uint32))
+            self.part_ends.extend(at + np.cumsum(sizes))
+        cores = np.array(cores)
+        both = np.stack([np.maximum(cores, empty), np.array(tails)], 1).ravel()
+        ends = self.part_ends.values
+        first, sizes = ends[both], ends[both + 1] - ends[both]
+        at = self.ids.extend(self._gather(self.part_ids.values, first, sizes))
+        sizes = sizes.reshape(-1, 2).sum(1)
+        self.first.extend(at + np.cumsum(sizes) - sizes)
+        self.length.extend(np.where(cores < 0, -1, sizes))
 
     def _words(self, text: str) -> list:
         if not text:
@@ -88,10 +141,9 @@ class WordTokenizer:
         if self.kind == "words":
             return text.encode().lower().split()
         words = text.replace("\n", " \n").split(" ")
-        # marks: \r the first word (nothing before it), \n after a line feed, else a space came before
-        head = words[0]
-        rest = [w if w[:1] == "\n" else "\t" + w for w in words[1:]]
-        return ["\r" + head, *rest] if head else rest
+        # a space came before, but for words with a line feed, and the first one: two line feeds mark that
+        words[0] = "\n\n" + words[0]
+        return words if len(words[0]) > 2 else words[1:]
 
     def encode(self, column: pa.Array, end_id: int | None = None):
         """An array of ids for each text in turn; null is empty; end_id follows the ids of each."""
@@ -105,22 +157,22 @@ class WordTokenizer:
             yield from self._chunk(texts, end_id)
 
     def _chunk(self, texts: list[str], end_id: int | None) -> list[np.ndarray]:
-        if len(self.numbers) > CACHE_WORDS:
+        if len(self.numbers) > CACHE_WORDS[self.kind]:
             self._clear()
+        if len(self.parts) > CACHE_WORDS[self.kind]:
+            self._clear_parts()
         number, counts, parts = self.numbers.__getitem__, [], []
         for text in texts:
             words = self._words(text)
             counts.append(len(words))
             parts.append(np.fromiter(map(number, words), np.int64, len(words)))
         self._learn()
-        out = []
+        out, first, length = [], self.first.values, self.length.values
         for text, own in zip(texts, parts, strict=True):
-            lengths = self.length[own]
+            lengths = length[own]
             if len(own) and lengths.min() < 0:
                 ids = np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
             else:
-                ends = np.cumsum(lengths)
-                total = int(ends[-1]) if len(own) else 0
-                ids = self.ids[np.repeat(self.first[own] - (ends - lengths), lengths) + np.arange(total)]
+                ids = self._gather(self.ids.values, first[own], lengths)
             out.append(ids if end_id is None else np.append(ids, np.uint32(end_id)))
         return out
