@@ -77,6 +77,22 @@ def test_rules_keep_clean_and_drop_junk(spark):
     assert kept[1] > 0.97 and kept[0] < 0.1
 
 
+def test_rules_limits_follow_the_spread_of_each_source(spark):
+    """Most documents have no symbol or repeat; what the others have differs by source, and so does the spread of word length."""
+
+    def counts(i, source, wide):
+        some = (i % 5 == 0) * (1 + i % 7) * wide
+        return (i, "en", source, 1000, 5000 + (i % 21 - 10) * 10 * wide, 2 * some, 100, some, 6 * some)
+
+    rows = [counts(i, source, wide) for source, wide in (("even", 1), ("wide", 4)) for i in range(400)]
+    counted = spark.createDataFrame(rows, "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in rules._COUNTS))
+    even, wide = rules.thresholds(counted).orderBy("source").collect()
+    assert (even.source, wide.source) == ("even", "wide")
+    for m in rules.METRICS:
+        assert 1.5 * (even[f"{m}_max"] - 5 * (m == "word_length")) < wide[f"{m}_max"] - 5 * (m == "word_length")
+    assert wide.word_length_min < even.word_length_min < 5
+
+
 def test_lines_match_sql(spark):
     db = duckdb.connect()
     db.sql(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")

@@ -15,14 +15,18 @@ MIN_WORDS = 50
 SKETCH_K = 400
 #: A group with fewer documents takes the thresholds of its language, and that of all documents below it.
 LEAST_DOCS = 200
-#: metric: (spreads allowed over the median, least spread, spreads allowed below it or None). A spread is the distance from
-#: the median to the quartile on the other side, so that up to half of a group may be junk without moving its thresholds.
-METRICS = {
-    "symbols_per_word": (4.0, 0.02, None),
-    "dup_line_share": (4.0, 0.05, None),
-    "repeat_word_share": (4.0, 0.05, None),
-    "word_length": (4.0, 0.4, 4.0),
-}
+METRICS = ("symbols_per_word", "dup_line_share", "repeat_word_share", "word_length")
+#: Word length may be so many spreads beyond the quartiles. A spread is the distance from the median to the nearer quartile, so up to
+#: a quarter of a group may be junk on either side without moving the limits much.
+LENGTH_SPREADS = 5.0
+#: A share may be so many spreads over this quantile of its group; a spread is the distance from the median to the quantile. Shares are
+#: taken from documents that pass the base rules and whose word length is within its limits; 5 % of those may be junk.
+SHARE_QUANTILE, SHARE_SPREADS = 0.95, 2.0
+#: Guard against zero width: the least event (a symbol, a line that repeats, a passage of three words that occurs twice) in a document
+#: of the group's median size.
+LEAST_EVENT = {"symbols_per_word": (1, "n_words"), "dup_line_share": (1, "n_lines"), "repeat_word_share": (6, "n_words")}
+#: The same for word length, in characters a word.
+LEAST_LENGTH_SPREAD = 0.001
 
 _IS_SYMBOL = np.zeros(256, bool)
 _IS_SYMBOL[list(SYMBOLS)] = True
@@ -108,33 +112,62 @@ def _shares() -> dict[str, Column]:
     }
 
 
-def thresholds(counted: DataFrame) -> DataFrame:
-    """lang, source, and the lowest and highest allowed value of each metric there.
+def _group_quantiles(rows: DataFrame, wanted: dict[str, tuple[float, ...]]) -> DataFrame:
+    """lang, source, and for each column of `wanted` its quantiles as <column>_<place>. One row for each (language, source).
 
     One sketch for each (language, source) is built where the rows are and merged; sketches of a language and of all
-    documents are merges of those, so the documents are read once. One row for each (language, source).
+    documents are merges of those, so the rows are read once.
     """
-    base = counted.where(F.col("n_words") >= MIN_WORDS).withColumns(_shares())
-    own = base.groupBy("lang", "source").agg(F.count("*").alias("docs"), *(F.kll_sketch_agg_double(m, F.lit(SKETCH_K)).alias(m) for m in METRICS))
+    own = rows.groupBy("lang", "source").agg(F.count("*").alias("docs"), *(F.kll_sketch_agg_double(F.col(c).cast("double"), F.lit(SKETCH_K)).alias(c) for c in wanted))
     own = saved(own, "rule-sketches")
-    merged = [F.sum("docs").alias("docs"), *(F.kll_merge_agg_double(m, F.lit(SKETCH_K)).alias(m) for m in METRICS)]
+    merged = [F.sum("docs").alias("docs"), *(F.kll_merge_agg_double(c, F.lit(SKETCH_K)).alias(c) for c in wanted)]
     lang, every = own.groupBy("lang").agg(*merged), own.agg(*merged)
+    names = [f"{c}_{i}" for c, ranks in wanted.items() for i in range(len(ranks))]
 
-    def bounds(level: str) -> list[Column]:
-        out = [F.col("docs").alias(f"docs_{level}")]
-        for m, (up, least, down) in METRICS.items():
-            low, mid, high = (F.kll_sketch_get_quantile_double(m, F.lit(q)) for q in (0.25, 0.5, 0.75))
-            out.append((mid + up * F.greatest(mid - low, F.lit(least))).alias(f"{m}_max_{level}"))
-            out.append((mid - down * F.greatest(F.least(high - mid, mid - low), F.lit(least)) if down else F.lit(None).cast("double")).alias(f"{m}_min_{level}"))
-        return out
+    def quantiles(level: str) -> list[Column]:
+        values = (F.kll_sketch_get_quantile_double(c, F.lit(q)) for c, ranks in wanted.items() for q in ranks)
+        return [F.col("docs").alias(f"docs_{level}"), *(v.alias(f"{n}_{level}") for n, v in zip(names, values, strict=True))]
 
-    own, lang, every = own.select("lang", "source", *bounds("own")), lang.select(F.col("lang").alias("_l"), *bounds("lang")), every.where("docs > 0").select(*bounds("all"))
+    own, lang, every = own.select("lang", "source", *quantiles("own")), lang.select(F.col("lang").alias("_l"), *quantiles("lang")), every.where("docs > 0").select(*quantiles("all"))
     joined = own.join(lang, F.col("lang").eqNullSafe(F.col("_l"))).join(F.broadcast(every))  # `every` is one row
 
-    def pick(m: str) -> Column:
-        return F.when(F.col("docs_own") >= LEAST_DOCS, F.col(f"{m}_own")).when(F.col("docs_lang") >= LEAST_DOCS, F.col(f"{m}_lang")).otherwise(F.col(f"{m}_all")).alias(m)
+    def pick(n: str) -> Column:
+        return F.when(F.col("docs_own") >= LEAST_DOCS, F.col(f"{n}_own")).when(F.col("docs_lang") >= LEAST_DOCS, F.col(f"{n}_lang")).otherwise(F.col(f"{n}_all")).alias(n)
+
+    return joined.select("lang", "source", *(pick(n) for n in names))
+
+
+def _with_limits(counted: DataFrame, limits: DataFrame) -> DataFrame:
+    # one row of limits for each (language, source): Spark broadcasts it if its size allows, else splits skewed keys
+    limits = limits.withColumnsRenamed({"lang": "_l", "source": "_s"})
+    return counted.join(limits, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left").drop("_l", "_s")
+
+
+_FAILED = f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words"
 
-    return joined.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), *(pick(f"{m}_{side}") for m in METRICS for side in ("max", "min")))
+
+def thresholds(counted: DataFrame) -> DataFrame:
+    """lang, source, and the lowest and highest word length and the highest shares allowed there: a row for each (language, source).
+
+    Word length first, from the quartiles of all documents of MIN_WORDS words; then the shares, from documents within
+    those limits. Both passes read counts, never texts.
+    """
+    rows = counted.withColumns(_shares())
+    found = _group_quantiles(rows.where(F.col("n_words") >= MIN_WORDS), {"word_length": (0.25, 0.5, 0.75)})
+    low, mid, high = (F.col(f"word_length_{i}") for i in range(3))
+    beyond = LENGTH_SPREADS * F.greatest(F.least(high - mid, mid - low), F.lit(LEAST_LENGTH_SPREAD))
+    lengths = saved(found.select("lang", "source", (high + beyond).alias("word_length_max"), (low - beyond).alias("word_length_min")), "rule-lengths")
+    usual = _with_limits(rows, lengths).where(f"NOT ({_FAILED})").where("word_length BETWEEN word_length_min AND word_length_max")
+    found = _group_quantiles(usual, {**dict.fromkeys(LEAST_EVENT, (0.5, SHARE_QUANTILE)), "n_words": (0.5,), "n_lines": (0.5,)})
+
+    def share(m: str) -> Column:
+        mid, top = F.col(f"{m}_0"), F.col(f"{m}_1")
+        event, size = LEAST_EVENT[m]
+        return (top + SHARE_SPREADS * (top - mid) + event / F.greatest(F.col(f"{size}_0"), F.lit(1.0))).alias(f"{m}_max")
+
+    shares = found.select("lang", "source", *(share(m) for m in LEAST_EVENT))
+    # a group without such documents has no limits of shares: none of its documents can be kept
+    return _with_limits(lengths, shares)
 
 
 def apply_rules(docs: DataFrame) -> DataFrame:
@@ -146,13 +179,10 @@ def apply_rules(docs: DataFrame) -> DataFrame:
     """
     counted = saved(with_counts(docs), "rule-counts")
     limits = saved(thresholds(counted), "rule-thresholds")
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    # one row of limits for each (language, source): Spark broadcasts it if its size allows, else splits skewed keys
-    joined = counted.join(limits, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left").withColumns(_shares())
-    within = F.lit(True)
-    for m, (_, _, down) in METRICS.items():
+    failed = F.expr(_FAILED)
+    joined = _with_limits(counted, limits).withColumns(_shares())
+    within = F.col("word_length") >= F.col("word_length_min")
+    for m in METRICS:
         within &= F.col(m) <= F.col(f"{m}_max")
-        if down:
-            within &= F.col(m) >= F.col(f"{m}_min")
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return joined.select("doc_id", *counts, failed.alias("base_failed"), F.coalesce(~failed & within, F.lit(False)).alias("kept"), *METRICS)
