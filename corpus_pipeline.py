@@ -38,21 +38,34 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select(*names)
 
 
+def _with_key(docs: DataFrame) -> DataFrame:
+    """docs, written, with a number `_row` of its own for each row: doc_ids may be null or shared."""
+    return saved(docs.drop("_row").withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id stays, once."""
-    found = saved(near_duplicates(docs), "pipeline-groups")
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stays"))
+    """Of each group of linked rows the one with the smallest doc_id stays, once; a null doc_id comes last.
+
+    Rows are told apart by a number of their own, so rows of null or shared doc_ids with different, unlinked texts all
+    stay. Among equal doc_ids the least hash of the whole row decides: reruns agree. Rows without words all stay.
+    """
+    names = docs.columns
+    rows = _with_key(docs)
+    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "component_id")
+    ranked = rows.select("_row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(*names).alias("hash"), "_row").alias("rank"))
+    stay = found.join(ranked.hint("merge"), "_row").groupBy("component_id").agg(F.min("rank").getField("_row").alias("_row"))
     # both sides grow with the documents: the same join at every size
-    out = docs.join(stay.distinct().hint("merge"), F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi")
-    repeated = not found.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").isEmpty()
-    return out.dropDuplicates(["doc_id"]) if repeated else out
+    return rows.join(saved(stay.select("_row"), "pipeline-groups").hint("merge"), "_row", "left_semi").select(*names)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it: 0 to 3."""
-    taken = saved(mix_documents(docs), "pipeline-mix").where("copies > 0").select(F.col("doc_id").alias("_id"), F.sequence(F.lit(1), F.col("copies").cast("int")).alias("_times"))
-    joined = docs.join(taken.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return joined.select(*docs.columns, F.explode("_times").alias("_time")).drop("_time")
+    """Each document as many times as the mix takes it: 0 to 3. Null and shared doc_ids are documents of their own."""
+    names = docs.columns
+    rows = _with_key(docs)
+    # blocks are dealt by the hash of the whole row, which spreads null and shared doc_ids and is the same in reruns
+    mixed = mix_documents(rows.withColumn("doc_id", F.xxhash64(*names)), keep=("_row",))
+    taken = saved(mixed, "pipeline-mix").where("copies > 0").select("_row", F.sequence(F.lit(1), F.col("copies").cast("int")).alias("_times"))
+    return rows.join(taken.hint("merge"), "_row").select(*names, F.explode("_times").alias("_time")).drop("_time")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

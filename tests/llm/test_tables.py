@@ -123,3 +123,21 @@ def test_pipeline_stages(spark):
     assert mixed.groupby("doc_id").size().max() <= 3
     assert set(packed.doc_id) == set(mixed.doc_id) and packed.groupby("sequence_id").length.sum().max() <= 4096
     assert len(packed[packed.piece == 0]) == len(mixed)
+
+
+def test_pipeline_keeps_different_rows_of_null_and_shared_ids(spark):
+    """A null or shared doc_id joins nothing: one row of each linked group stays, and the mix takes each row by itself."""
+    dice = random.Random(7)
+    text = lambda: " ".join(f"w{dice.randrange(10_000)}" for _ in range(60))
+    own = [text() for _ in range(6)]
+    near = own[0] + " tail"
+    rows = [(None, own[0], "en", "a"), (None, own[0], "en", "a"), (None, near, "en", "a"), (None, own[1], "en", "a"), (None, own[2], "en", "b"), (7, own[3], "en", "b"), (7, own[4], "en", "b"), (8, own[5], "en", "b"), (9, own[5], "en", "b"), (None, own[5], "en", "b"), (None, "", "en", "b"), (None, None, "en", "b")]
+    docs = frame(spark, rows)
+    got = corpus_pipeline.near_duplicate_stage(spark, docs, SMALL)
+    kept = sorted((r.doc_id or 0, r.text or "") for r in got.collect())
+    first = [t for i, t in kept if t in (own[0], near)]
+    assert len(first) == 1 and kept == sorted([(0, first[0]), (0, own[1]), (0, own[2]), (7, own[3]), (7, own[4]), (8, own[5]), (0, ""), (0, "")])
+    again = corpus_pipeline.near_duplicate_stage(spark, docs.repartition(5), SMALL)
+    assert sorted((r.doc_id or 0, r.text or "") for r in again.collect()) == kept
+    mixed = Counter((r.doc_id, r.text) for r in corpus_pipeline.mixing_stage(spark, got, SMALL).where("text <> ''").collect())
+    assert len(mixed) >= 4 and max(mixed.values()) <= 3

@@ -149,20 +149,21 @@ def cube_sample(units: DataFrame, seed: int = 1) -> DataFrame:
     return done.select(*columns, F.col("p").cast("int").alias("taken01"))
 
 
-def mix_documents(docs: DataFrame, seed: int = 1) -> DataFrame:
+def mix_documents(docs: DataFrame, seed: int = 1, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, source, size, source_size, target, taken, copies of every document: the mix takes it `copies` times, 0 to 3.
 
     A document of a source is expected target / source_size times: the whole part is taken for sure, the rest is its
     inclusion probability for the cube method. So each source's taken words differ from its target by a part of one
     document at most, and reruns agree. Null texts and texts without words have size 0; null doc_ids are documents as any
-    others; an empty table gives an empty table; repeated rows are units of their own. Only numbers are shuffled.
+    others; an empty table gives an empty table; repeated rows are units of their own. Only numbers are shuffled, and the
+    columns `keep`, which come along.
     """
-    sizes = saved(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
+    sizes = saved(docs.select("doc_id", *keep, "source", word_count(F.col("text")).alias("size")), "mix-sizes")
     targets = saved(source_targets(sizes), "mix-targets")
     # targets has a row for each source; Spark broadcasts it only if its measured size allows, else the join is skew-split
-    units = sizes.alias("d").join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source"))).select("d.doc_id", "d.source", "d.size", "t.source_size", "t.target")
+    units = sizes.alias("d").join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source"))).select("d.doc_id", *(f"d.{c}" for c in keep), "d.source", "d.size", "t.source_size", "t.target")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     units = units.withColumn("whole", F.floor(rate + EPS).cast("long")).withColumn("p", F.greatest(F.lit(0.0), rate - F.col("whole")))
     sampled = cube_sample(units, seed)
     copies = F.col("whole") + F.col("taken01")
-    return sampled.select("doc_id", "source", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"))
+    return sampled.select("doc_id", *keep, "source", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"))
