@@ -96,6 +96,27 @@ def test_packing(spark, monkeypatch):
     assert packing.pack_documents(docs.limit(0), tokenizer_file("word_bpe_49k.json")).count() == 0
 
 
+@pytest.mark.parametrize("short", [0, 3, 200])
+def test_packing_has_no_last_single_group(spark, monkeypatch, short):
+    """Bins over half full fit no other: they are final where they are, and no task takes all of them."""
+    monkeypatch.setattr(packing, "BLOCK_ITEMS", 40)
+    dice = random.Random(5)
+    sizes = [dice.randint(2049, 4000) for _ in range(400)] + [dice.randint(50, 600) for _ in range(short)]
+    items = spark.createDataFrame(list(enumerate(sizes)), "id long, length long").selectExpr("*", "xxhash64(id) as _pack_block")
+    got = packing.pack(items).collect()
+    assert sorted((r.id, r.length) for r in got) == list(enumerate(sizes))
+    bins: dict = {}
+    for r in got:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    fills = sorted(sum(n for _, n in parts) for parts in bins.values())
+    assert fills[-1] <= 4096 and fills[0] + fills[1] > 4096 - packing.FREE_TOKENS
+    assert all(offset == sum(n for o, n in parts if o < offset) for parts in bins.values() for offset, _ in parts)
+    blocks: dict = {}
+    for b in bins:
+        blocks[b >> 32] = blocks.get(b >> 32, 0) + 1
+    assert max(blocks.values()) <= 100
+
+
 def test_best_fit_is_tight():
     at, offset = packing.best_fit(np.array([6, 5, 5, 4, 10, 3, 7]), 10)
     assert at.max() + 1 == 4

@@ -74,10 +74,11 @@ def _merge_bins(round_no: int, capacity: int):
 def pack(items: DataFrame, capacity: int = 4096) -> DataFrame:
     """items(..., _pack_block, length) with sequence_id and offset: no sequence is over capacity, offsets have no gaps.
 
-    Round 1 packs each block (20,000 items of a hash block) by best fit, which puts long items first. Bins with at most
-    FREE_TOKENS free places are final. The others are the items of the next round, in which many blocks meet, until one
-    task holds all that is left. Each round moves only underfull bins, and is written. A block's bins never exceed its
-    items, and blocks are of bounded size, so a task's memory is bounded.
+    Round 1 packs each block (20,000 items of a hash block) by best fit, which puts long items first. In each further round
+    the open bins are the items. A bin is final if at most FREE_TOKENS places are free in it, or fewer than the smallest open
+    bin takes, so bins that fit no other never move. The others are dealt to blocks of the same size by the rank of
+    their fill, from both ends: the first block has the smallest and the largest, and the smallest fits the largest, so
+    each round merges bins. No task takes more than about one block, however many bins stay open. A round is written.
     """
     columns = items.columns
     n = items.count()
@@ -96,24 +97,29 @@ def pack(items: DataFrame, capacity: int = 4096) -> DataFrame:
     final = placed.where(F.col("_pack_fill") >= capacity - FREE_TOKENS)
     open_bins = placed.where(F.col("_pack_fill") < capacity - FREE_TOKENS).groupBy("_pack_bin").agg(F.first("_pack_fill").alias("fill"))
     open_bins = open_bins.select(F.col("_pack_bin").alias("bin0"), F.col("_pack_bin").alias("bin"), F.lit(0).cast("long").alias("base"), "fill")
-    round_no, whole = 1, None
+    round_no, whole, before = 1, None, None
     while True:
         # bins of one block of this round are the items of the next; bin0 is a bin of round 1 and base its place in `bin`
         open_bins = saved(open_bins, "pack-open")
         items_now = open_bins.groupBy("bin").agg(F.first("fill").alias("fill"))
-        merged = max(1, -(-items_now.count() // BLOCK_ITEMS))
-        merged = min(merged, max(1, blocks // 2)) if round_no > 1 or merged >= blocks else merged
-        blocks, round_no = merged, round_no + 1
-
-        moves = items_now.withColumn("_pack_block", F.pmod(F.xxhash64("bin"), F.lit(blocks))).groupBy("_pack_block").applyInPandas(_merge_bins(round_no, capacity), "bin long, to long, shift long, full long")
-        moved = open_bins.join(moves, "bin").select("bin0", F.col("to").alias("bin"), (F.col("base") + F.col("shift")).alias("base"), F.col("full").alias("fill"))
-        if blocks == 1:
-            whole = moved if whole is None else whole.unionByName(moved)
-            break
-        moved = saved(moved, "pack-moved")
-        ended = moved.where(F.col("fill") >= capacity - FREE_TOKENS)
+        levels = sorted(tuple(r) for r in items_now.groupBy("fill").count().collect())  # a row for each fill: at most `capacity`
+        least = max(FREE_TOKENS + 1, levels[0][0]) if levels else 0
+        deal, n = [], 0
+        for fill, count in levels:
+            if fill <= capacity - least:
+                deal.append((fill, n, count))
+                n += count
+        last = n < 2 or sum(c for _, c in levels) == before
+        ended = (open_bins if last else open_bins.where(F.col("fill") > capacity - least)).select("bin0", "bin", "base")
         whole = ended if whole is None else whole.unionByName(ended)
-        open_bins = moved.where(F.col("fill") < capacity - FREE_TOKENS)
+        if last:
+            break
+        before, round_no, blocks = n, round_no + 1, -(-n // BLOCK_ITEMS)
+        ranks = F.broadcast(items.sparkSession.createDataFrame(deal, "fill long, _pack_below long, _pack_same long"))
+        rank = (F.col("_pack_below") + F.col("_pack_same") * (F.pmod(F.xxhash64("bin"), F.lit(1 << 30)) / (1 << 30))) / n
+        block = F.least(F.floor(2 * blocks * F.least(rank, 1 - rank)), F.lit(blocks - 1)).cast("long")
+        moves = items_now.join(ranks, "fill").select("bin", "fill", block.alias("_pack_block")).groupBy("_pack_block").applyInPandas(_merge_bins(round_no, capacity), "bin long, to long, shift long, full long")
+        open_bins = open_bins.join(moves, "bin").select("bin0", F.col("to").alias("bin"), (F.col("base") + F.col("shift")).alias("base"), F.col("full").alias("fill"))
     rest = placed.where(F.col("_pack_fill") < capacity - FREE_TOKENS).join(whole.select(F.col("bin0").alias("_pack_bin"), F.col("bin").alias("_pack_to"), F.col("base").alias("_pack_base")), "_pack_bin")
     out = final.select(*kept, F.col("_pack_bin").alias("sequence_id"), "offset")
     return out.unionByName(rest.select(*kept, F.col("_pack_to").alias("sequence_id"), (F.col("offset") + F.col("_pack_base")).alias("offset")))
