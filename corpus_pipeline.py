@@ -21,9 +21,14 @@ LEAST_SCORE = 0.7
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score LEAST_SCORE or more stay. The model learns from labelled rows with crc32(doc_id) mod 4 not 2."""
+    """Documents that score LEAST_SCORE or more stay. The model learns from labelled rows with crc32(doc_id) mod 4 not 2.
+
+    If nothing can be learned there (no label, none of quality 1, or no text of one), no document is judged and all stay.
+    """
     bounded_batches(spark)
     model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), key_crc32("doc_id") % 4 != 2)
+    if model is None:
+        return docs
     return quality.scored(docs, model, into="_quality").where(F.col("_quality") >= LEAST_SCORE).drop("_quality")
 
 

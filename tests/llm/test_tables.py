@@ -141,3 +141,10 @@ def test_pipeline_keeps_different_rows_of_null_and_shared_ids(spark):
     assert sorted((r.doc_id or 0, r.text or "") for r in again.collect()) == kept
     mixed = Counter((r.doc_id, r.text) for r in corpus_pipeline.mixing_stage(spark, got, SMALL).where("text <> ''").collect())
     assert len(mixed) >= 4 and max(mixed.values()) <= 3
+
+
+def test_pipeline_without_labels_keeps_all_documents(spark, tmp_path):
+    spark.read.parquet(f"{SMALL}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    got = corpus_pipeline.quality_stage(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns and got.count() == docs.count() > 0
