@@ -16,21 +16,20 @@ from tidemark.llm.queries import tokenizer_file
 
 ODD = [
     "", None, " ", "\n", "hello world's it's\nnew line", "  two  spaces", "\n\nlead", "tab\tin\t word", "end ", " start", "a\n\nb", "a \n b", "x\r\ny", "ÀÉ Σας ΣΑΣ ﬁ İx", "<|endoftext|> <|ENDOFTEXT|>", "é é ́x", "1234 abc123 %%%***",
-    "don't DON'T 'll", "　x y", "word... (word) word'", "’t is", "…a b…",
+    "don't DON'T 'll", "　x y", "word... (word) word'", "’t is", "…a b…", "a <|endoftext|> b", "a<|startoftext|>b\n<|endoftext|>", "a \x01 b\x01c \x01", "\n\x01\n", "\x1c x\x1c",
 ]
 
 
 def library(name):
     t = Tokenizer.from_file(tokenizer_file(name))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize(("name", "kind"), [("byte_bpe_50k.json", "bytes"), ("word_bpe_49k.json", "words")])
 def test_cached_words_give_the_librarys_ids(name, kind, monkeypatch):
-    monkeypatch.setattr(tokens, "CACHE_WORDS", {"bytes": 300, "words": 300})
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 300)
     dice = random.Random(1)
-    texts = ODD + ["".join(dice.choice("ab 1'.\n\té Σ%") for _ in range(dice.randint(0, 30))) for _ in range(2000)]
+    texts = ODD + ["".join(dice.choice(["a", "b", " ", "1", "'", ".", "\n", "\t", "é", " ", "Σ", "%", "\x01", "<|endoftext|>"]) for _ in range(dice.randint(0, 30))) for _ in range(2000)]
     own, want = tokens.WordTokenizer(tokenizer_file(name), kind), library(name)
     assert [x.tolist() for x in own.encode(pa.array(texts))] == [want(t) for t in texts]
 
@@ -53,7 +52,7 @@ def test_coder_round_trip():
 
 def test_token_files(spark):
     dice = random.Random(2)
-    rows = [(i, t) for i, t in enumerate(ODD)] + [(100, "x " * 40_000), (7, "again"), (7, "again"), (None, "no id")] + [(200 + i, " ".join(dice.choice(["one", "two", "zwölf"]) for _ in range(50))) for i in range(50)]
+    rows = [(i, t) for i, t in enumerate(ODD)] + [(100, "x " * 40_000), (7, "again"), (7, "again"), (None, "no id")] + [(200 + i, " ".join(dice.choice(["one", "two", "zwölf"]) for _ in range(500))) for i in range(50)]
     docs = frame(spark, rows, "doc_id long, text string").selectExpr("*", "1 as start", "2 as n_tokens")
     blocks, table = rans.write_tokens(docs, tokenizer_file("byte_bpe_50k.json"), 2, 50257)
     got = sorted((tuple(r) for r in rans.read_tokens(blocks, table, 50257, "bigint").collect()), key=lambda r: r[1])

@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 import os
-from itertools import chain
+import re
+from collections import defaultdict
+from itertools import count, islice
 from string import punctuation
 
 import numpy as np
 import pyarrow as pa
 
-#: Distinct words that a worker keeps for a tokenizer of each kind, and as many parts of words; beyond that it starts over,
-#: so memory stays bounded (about 200 bytes each).
-CACHE_WORDS = {"bytes": 700_000, "words": 300_000}
+#: Distinct words that a worker keeps for a tokenizer, and as many parts of words; beyond that it starts over, so memory stays
+#: bounded (about 200 bytes each).
+CACHE_WORDS = 1_000_000
 CHUNK_ROWS = 512
 CHUNK_CHARS = 500_000
+#: New parts of words that go to the library as one text, with a mark between them that is a token of its own there.
+JOINED_PARTS = 1_000
+_MARK = {"bytes": "\n", "words": " \x01 "}
+#: White space other than the space and the line feed, as Python and the tokenizers see it.
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 _made: dict[tuple[str, str], WordTokenizer] = {}
 
 
@@ -24,19 +31,6 @@ def tokenizer(path: str, kind: str) -> WordTokenizer:
     return _made[path, kind]
 
 
-class _Numbers(dict):
-    """Numbers keys as they come, and remembers the new ones."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list = []
-
-    def __missing__(self, key):
-        self[key] = n = len(self)
-        self.new.append(key)
-        return n
-
-
 class _Column:
     """An array that grows at its end; doubling keeps the copies few."""
 
@@ -60,8 +54,9 @@ class WordTokenizer:
     """Ids as the tokenizers library gives for whole texts, with each distinct word encoded once.
 
     Neither tokenizer joins characters over a single space between two non-spaces, so a text's ids are those of its
-    words in turn (`bytes`: a word with the space or line feed before it). Where other white space meets a space or a
-    line feed, the `bytes` kind encodes the whole text by the library. Special tokens' strings count as plain text.
+    words in turn (`bytes`: a word with the space or line feed before it). New words go to the library many at a time, as
+    one text in which a mark of one token stands between them. A whole text goes to the library where words aren't
+    enough: if it holds the string of an added token or, for `bytes`, if other white space meets a space or a line feed.
     """
 
     def __init__(self, path: str, kind: str):
@@ -69,31 +64,39 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.library, self.kind = Tokenizer.from_file(path), kind
-        self.library.encode_special_tokens = True
+        self.added = [x.content for x in self.library.get_added_tokens_decoder().values()]
+        (self.mark,) = self._library_ids([_MARK[kind]])[0]
         self._clear()
         self._clear_parts()
 
+    def _library_ids(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _clear(self) -> None:
-        # where the ids of each word lie in `ids`; length -1: it can't be encoded alone
-        self.numbers = _Numbers()
+        # numbers of words as they come, and where the ids of each lie in `ids`; length -1: it can't be encoded alone
+        self.numbers: dict = defaultdict(count().__next__)
         self.first, self.length, self.ids = _Column(np.int64), _Column(np.int64), _Column(np.uint32)
 
     def _clear_parts(self) -> None:
-        # a word is one part, or a letter or digit last and punctuation after it; parts outlive words, as there are fewer
-        self.parts = _Numbers()
+        # parts of words, which outlive them as there are fewer; the first two are no text and the mark, a line feed
+        self.parts: dict = defaultdict(count().__next__)
         self.part_ids, self.part_ends = _Column(np.uint32), _Column(np.int64)
-        self.part_ends.extend(np.zeros(1, np.int64))
+        self.parts[""], self.parts["\n"]
+        self.part_ids.extend(np.array([self.mark], np.uint32))
+        self.part_ends.extend(np.array([0, 0, 1]))
 
-    def _unit(self, key) -> str:
-        """What is encoded for a word: with the space or line feed before it in the `bytes` kind."""
+    def _units(self, new: list) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """What is encoded for each new word, whether a line feed comes before it, and whether it can't be encoded alone."""
         if self.kind == "words":
-            return key.decode()
-        return key[2:] if key[:2] == "\n\n" else key if key[:1] == "\n" else " " + key
-
-    def _whole_only(self, key) -> bool:
-        """Whether a `bytes` word has white space at an end, so that its ids depend on its neighbours."""
-        word = key.lstrip("\n") if self.kind == "bytes" else "x"
-        return not word or word[0].isspace() or word[-1].isspace()
+            units, after = [x.decode() for x in new], np.zeros(len(new), bool)
+            whole = [_MARK["words"].strip(" ") in x for x in units] if _MARK["words"].strip(" ") in "".join(units) else None
+        else:
+            units = [" " + x if x[:1] != "\n" else x.lstrip("\n") for x in new]
+            after = np.array([x[:1] == "\n" and x[1:2] != "\n" for x in new])
+            # white space at an end of the word: its ids depend on its neighbours
+            odd = _OTHER_SPACE.search("".join(new)) or "" in new or "\n" in new
+            whole = [not x.strip(" ") or x.strip(" ")[0].isspace() or x[-1].isspace() for x in units] if odd else None
+        return units, after, np.array(whole if whole else np.zeros(len(new), bool))
 
     @staticmethod
     def _gather(ids: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -101,39 +104,38 @@ class WordTokenizer:
         return ids[np.repeat(first - (ends - length), length) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
     def _learn(self) -> None:
-        """Encodes the new words. Punctuation after a letter or digit is never joined with it, so it is a part of its own."""
-        new, self.numbers.new = self.numbers.new, []
-        if not new:
+        """Encodes the words that came since the last call: each is a part that ends in a letter or digit and one of punctuation."""
+        n = len(self.numbers) - self.first.size
+        if not n:
             return
-        part, cores, tails = self.parts.__getitem__, [], []
-        empty = part("")
-        for key in new:
-            if self._whole_only(key):
-                cores.append(-1)
-                tails.append(empty)
-                continue
-            unit = self._unit(key)
-            core = unit.rstrip(punctuation)
-            if core and core[-1].isalnum():
-                cores.append(part(core))
-                tails.append(part(unit[len(core) :]))
-            else:
-                cores.append(part(unit))
-                tails.append(empty)
-        texts, self.parts.new = self.parts.new, []
-        if texts:
-            found = [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            at = self.part_ids.extend(np.fromiter(chain.from_iterable(found), np.uint32))
-            self.part_ends.extend(at + np.cumsum(sizes))
-        cores = np.array(cores)
-        both = np.stack([np.maximum(cores, empty), np.array(tails)], 1).ravel()
+        units, after, whole = self._units(list(islice(reversed(self.numbers), n))[::-1])
+        if whole.any():
+            units = ["" if w else x for x, w in zip(units, whole.tolist(), strict=True)]
+        cores = [x.rstrip(punctuation) for x in units]
+        cores = [c if c[-1:].isalnum() else x for c, x in zip(cores, units, strict=True)]
+        tails = [x[len(c) :] for c, x in zip(cores, units, strict=True)]
+        part = self.parts.__getitem__
+        parts = np.stack([after * 1, np.fromiter(map(part, cores), np.int64, n), np.fromiter(map(part, tails), np.int64, n)], 1).ravel()
+        self._learn_parts()
         ends = self.part_ends.values
-        first, sizes = ends[both], ends[both + 1] - ends[both]
-        at = self.ids.extend(self._gather(self.part_ids.values, first, sizes))
-        sizes = sizes.reshape(-1, 2).sum(1)
-        self.first.extend(at + np.cumsum(sizes) - sizes)
-        self.length.extend(np.where(cores < 0, -1, sizes))
+        first, length = ends[parts], ends[parts + 1] - ends[parts]
+        at = self.ids.extend(self._gather(self.part_ids.values, first, length))
+        length = length.reshape(n, 3).sum(1)
+        self.first.extend(at + np.cumsum(length) - length)
+        self.length.extend(np.where(whole, -1, length))
+
+    def _learn_parts(self) -> None:
+        n = len(self.parts) - self.part_ends.size + 1
+        if not n:
+            return
+        new, mark = list(islice(reversed(self.parts), n))[::-1], _MARK[self.kind]
+        found = self._library_ids([mark.join([*new[i : i + JOINED_PARTS], ""]) for i in range(0, n, JOINED_PARTS)])
+        ids = np.concatenate([np.array(x, np.uint32) for x in found])
+        is_mark = ids == self.mark
+        ends = np.flatnonzero(is_mark) - np.arange(int(is_mark.sum()))
+        if len(ends) != n:
+            raise AssertionError("the mark is no token of its own")
+        self.part_ends.extend(self.part_ids.extend(ids[~is_mark]) + ends)
 
     def _words(self, text: str) -> list:
         if not text:
@@ -157,21 +159,22 @@ class WordTokenizer:
             yield from self._chunk(texts, end_id)
 
     def _chunk(self, texts: list[str], end_id: int | None) -> list[np.ndarray]:
-        if len(self.numbers) > CACHE_WORDS[self.kind]:
+        if len(self.numbers) > CACHE_WORDS:
             self._clear()
-        if len(self.parts) > CACHE_WORDS[self.kind]:
+        if len(self.parts) > CACHE_WORDS:
             self._clear_parts()
-        number, counts, parts = self.numbers.__getitem__, [], []
+        number, parts = self.numbers.__getitem__, []
         for text in texts:
-            words = self._words(text)
-            counts.append(len(words))
-            parts.append(np.fromiter(map(number, words), np.int64, len(words)))
+            if any(x in text for x in self.added):
+                parts.append(None)
+            else:
+                words = self._words(text)
+                parts.append(np.fromiter(map(number, words), np.int64, len(words)))
         self._learn()
         out, first, length = [], self.first.values, self.length.values
         for text, own in zip(texts, parts, strict=True):
-            lengths = length[own]
-            if len(own) and lengths.min() < 0:
-                ids = np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+            if own is None or (len(lengths := length[own]) and lengths.min() < 0):
+                ids = np.array(self._library_ids([text])[0], np.uint32)
             else:
                 ids = self._gather(self.ids.values, first[own], lengths)
             out.append(ids if end_id is None else np.append(ids, np.uint32(end_id)))
