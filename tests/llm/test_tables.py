@@ -108,6 +108,21 @@ def test_top_k(spark, monkeypatch, buckets):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+@pytest.mark.parametrize("far", [1e11, 1e17, 1e200])
+def test_top_k_of_long_vectors(spark, monkeypatch, far):
+    """Products beyond 2^53 and beyond a long are compared as whole numbers; a score beyond a long is the nearest long."""
+    monkeypatch.setattr(topk, "BUCKET_ROWS", 16)
+    dice = random.Random(6)
+    rows = [(i, [dice.uniform(-1, 1) * (far if i % 3 else 1.0) for _ in range(3)]) for i in range(120)] + [(120, [1e307, 1.0, 1.0]), (150, [0.0, 0.0, 0.0])]
+    got = sorted(tuple(r) for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)).collect())
+    whole = {i: [math.floor(256 * x) if abs(x) < 2**60 else int(256 * x) for x in v] for i, v in rows if i != 120}
+    want = []
+    for i in (0, 50, 100, 150):
+        scores = sorted((-sum(map(int.__mul__, whole[i], v)), j) for j, v in whole.items() if j != i)[:5]
+        want += [(i, n + 1, j, max(-(1 << 63), min((1 << 63) - 1, -s))) for n, (s, j) in enumerate(scores)]
+    assert got == want
+
+
 def test_pipeline_stages(spark):
     """Each stage on what the one before kept: decisions take effect, columns stay, copies leave one."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
