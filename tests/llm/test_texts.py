@@ -105,13 +105,30 @@ def test_lines_edges(spark):
     common = [(10 + i, f"own line {i}\nshared line \n\nown {i}", "en", f"s{i}") for i in range(6)]
     near = [(30 + i, "four sites only", "en", f"s{i}") for i in range(4)] + [(40 + i, "same site", "en", "s1") for i in range(9)]
     rows = [(i, t, None, None) for i, t in EDGES] + common + near + [(60, "shared line\nshared line", None, None)]
-    got = {(r.doc_id, r.text, r.lines_removed, r.lines_left) for r in lines.remove_lines(frame(spark, rows).withColumn("lines_left", F.lit("clash"))).collect()}
+    clash = {c: F.lit(c) for c in ("lines_left", "_gone", "_d", "_t", "_doc", "_id", "_hash", "_site", "_first", "_h1")}
+    left = lines.remove_lines(frame(spark, rows).withColumns(clash)).collect()
+    assert all(r[c] == c for r in left for c in clash if c != "lines_left")
+    got = {(r.doc_id, r.text, r.lines_removed, r.lines_left) for r in left}
     assert (10, common[0][1], 0, 3) in got and (11, "own line 1\n\nown 1", 1, 2) in got and (60, "", 2, 0) in got
     assert {x[0] for x in got if x[2]} == {11, 12, 13, 14, 15, 60}
     assert (1, None, 0, 0) in got and (2, "", 0, 0) in got
     assert lines.remove_lines(frame(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("least", [2, 20, 60])
+def test_lines_near_the_limit_are_counted(spark, least):
+    """Lines on least - 1, least and least + 1 sites, each also many times on one site; estimates may be off by some."""
+    dice, rows = random.Random(4), []
+    for n in (least - 1, least, least + 1, 2 * least + 3):
+        rows += [(len(rows) + i, f"own {n} {i}\nline {n}\nline {n}", None, f"s{i % n}") for i in range(3 * n)]
+    dice.shuffle(rows)
+    out = lines.remove_lines(frame(spark, rows), min_sites=least).select("doc_id", "lines_removed").collect()
+    got = {r.doc_id: r.lines_removed for r in out}
+    for n in (least - 1, least, least + 1, 2 * least + 3):
+        own = sorted(r[0] for r in rows if f"line {n}\n" in r[1])
+        assert [got[i] for i in own] == ([0] * len(own) if n < least else [1] + [2] * (len(own) - 1))
+
+
 def brute_components(rows):
     sets = {}
     for i, text in rows:

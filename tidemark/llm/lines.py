@@ -27,21 +27,31 @@ def _site(site: str) -> Column:
     return F.coalesce(F.concat(F.lit("s"), F.col(site).cast("string")), F.lit("n")).alias("_site")
 
 
-def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
-    """_h1, _h2, _first of each line on at least min_sites distinct sites; _first is its first place (document, position).
+def _candidates(occurrences: DataFrame, min_sites: int) -> DataFrame:
+    """_h1, _h2, _sites (estimated), _first (the first place: document, position) of each line that may be on min_sites sites.
 
-    Counts of (line, site) are summed where the rows are, so a line that a third of all documents hold is one row a task.
-    Their sites go into one sketch a line, merged by the aggregation. Where the estimate is near the limit the distinct
-    (line, site) rows are counted: so the result is that of exact counts.
+    One HyperLogLog sketch a line takes its occurrences' sites where the rows are, and sketches of a line are merged: what
+    moves is one row for each line of a task, however often the line occurs and on however many sites.
     """
-    pairs = _occurrences(docs, site).groupBy("_h1", "_h2", "_site").agg(F.min(F.struct("_d", "_t", "_pos")).alias("_first"))
-    pairs = saved(pairs, "line-sites")
-    low, high = min_sites * (1 - MARGIN) - 0.5, min_sites * (1 + MARGIN) + 0.5
-    spread = pairs.groupBy("_h1", "_h2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("_site", F.lit(LOG2_REGISTERS))).alias("_sites"), F.min("_first").alias("_first"))
-    spread = saved(spread.where(F.col("_sites") >= low), "line-spread")
-    near = spread.where(F.col("_sites") <= high).select("_h1", "_h2")
-    exact = pairs.join(near, ["_h1", "_h2"], "left_semi").groupBy("_h1", "_h2").agg(F.count("*").alias("_sites"), F.min("_first").alias("_first"))
-    return saved(spread.where(F.col("_sites") > high).unionByName(exact.where(F.col("_sites") >= min_sites)).drop("_sites"), "line-boilerplate")
+    sketch = F.hll_sketch_estimate(F.hll_sketch_agg("_site", F.lit(LOG2_REGISTERS))).alias("_sites")
+    spread = occurrences.groupBy("_h1", "_h2").agg(sketch, F.min(F.struct("_d", "_t", "_pos")).alias("_first"))
+    return saved(spread.where(F.col("_sites") >= min_sites * (1 - MARGIN) - 0.5), "line-spread")
+
+
+def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> tuple[DataFrame, DataFrame]:
+    """The lines on at least min_sites distinct sites (_h1, _h2, _first), and the occurrences of the lines that were near or over.
+
+    Sketches of all lines come first. Only where the estimate is near the limit, within four standard errors and a half,
+    distinct sites are counted, so the result is that of exact counts: further from it no sketch is wrong so far.
+    """
+    occurrences = _occurrences(docs, site)
+    spread = _candidates(occurrences, min_sites)
+    rows = saved(occurrences.join(spread.select("_h1", "_h2"), ["_h1", "_h2"], "left_semi"), "line-occurrences")
+    near = F.col("_sites") <= min_sites * (1 + MARGIN) + 0.5
+    exact = rows.join(spread.where(near).select("_h1", "_h2"), ["_h1", "_h2"], "left_semi").groupBy("_h1", "_h2", "_site").agg(F.lit(1).alias("_one"))
+    exact = exact.groupBy("_h1", "_h2").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_sites).select("_h1", "_h2")
+    found = spread.where(~near).unionByName(spread.join(exact, ["_h1", "_h2"], "left_semi")).drop("_sites")
+    return saved(found, "line-boilerplate"), rows
 
 
 def remove_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
@@ -50,21 +60,24 @@ def remove_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SIT
     The first place of each boilerplate line (smallest doc_id, then position) keeps it, so nothing vanishes from the
     corpus. Null and empty texts stay as they are; lines without a word stay and are never counted; a null site is a site
     of its own; rows that are equal in doc_id and text count as one document; an empty table gives an empty table. Columns of
-    docs named lines_removed or lines_left are replaced. Texts are shuffled at most once, for the last join, by document.
+    docs named lines_removed or lines_left are replaced, all others stay. Texts are shuffled at most once, for the last
+    join, by document.
     """
     docs = docs.drop("lines_removed", "lines_left")
     names = docs.columns
-    found = boilerplate(docs, site, min_sites)
-    hits = _occurrences(docs, site).drop("_site").join(found, ["_h1", "_h2"]).where(F.struct("_d", "_t", "_pos") != F.col("_first"))
+    found, rows = boilerplate(docs, site, min_sites)
+    hits = rows.drop("_site").join(found, ["_h1", "_h2"]).where(F.struct("_d", "_t", "_pos") != F.col("_first"))
     # by document: as many positions as it has lines
     hits = hits.groupBy("_d", "_t").agg(F.collect_set("_pos").alias("_gone"))
-    joined = docs.join(hits, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_t")), "left")
-    lines = F.split("text", "\n")
+    whole = docs.select(F.struct(*names).alias("_doc"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
+    joined = whole.join(hits, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_t")), "left")
+    text = F.col("_doc")["text"]
+    lines = F.split(text, "\n")
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n")
     worded = F.size(F.filter(F.coalesce(lines, F.array().cast("array<string>")), lambda x: x.rlike(_WORD)))
     gone = F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone"))
-    out = {"text": F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)}
-    return joined.select(*(out[c].alias(c) if c in out else F.col(c) for c in names), gone.cast("long").alias("lines_removed"), (worded - gone).cast("long").alias("lines_left"))
+    out = {"text": F.when(F.col("_gone").isNull(), text).otherwise(kept)}
+    return joined.select(*(out.get(c, F.col("_doc")[c]).alias(c) for c in names), gone.cast("long").alias("lines_removed"), (worded - gone).cast("long").alias("lines_left"))
 
 
 def line_dedup_digest(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
