@@ -13,8 +13,9 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 #: Rank error of the KLL sketches falls with this number: about 0.7 %.
 SKETCH_K = 400
-#: A group with fewer documents takes the thresholds of its language, and that of all documents below it.
-LEAST_DOCS = 200
+#: Quantiles of a group of n documents weigh n / (n + this), those of its language the rest: no size is a switch. In the same way a
+#: language leans on all documents, but for word length, which languages don't share.
+PRIOR_DOCS = 200
 METRICS = ("symbols_per_word", "dup_line_share", "repeat_word_share", "word_length")
 #: Word length may be so many spreads beyond the quartiles. A spread is the distance from the median to the nearer quartile, so up to
 #: a quarter of a group may be junk on either side without moving the limits much.
@@ -132,7 +133,11 @@ def _group_quantiles(rows: DataFrame, wanted: dict[str, tuple[float, ...]]) -> D
     joined = own.join(lang, F.col("lang").eqNullSafe(F.col("_l"))).join(F.broadcast(every))  # `every` is one row
 
     def pick(n: str) -> Column:
-        return F.when(F.col("docs_own") >= LEAST_DOCS, F.col(f"{n}_own")).when(F.col("docs_lang") >= LEAST_DOCS, F.col(f"{n}_lang")).otherwise(F.col(f"{n}_all")).alias(n)
+        def blend(level: str, wider: Column) -> Column:
+            return wider + F.col(f"docs_{level}") / (F.col(f"docs_{level}") + PRIOR_DOCS) * (F.col(f"{n}_{level}") - wider)
+
+        lang = F.col(f"{n}_lang") if n.startswith("word_length") else blend("lang", F.col(f"{n}_all"))
+        return blend("own", lang).alias(n)
 
     return joined.select("lang", "source", *(pick(n) for n in names))
 
