@@ -13,8 +13,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_chunks
 
-#: Symbols: 0 for what is no letter, 1 to 26 for a to z, the others shared by all other letters, by code point.
-SYMBOL_BITS = 6
+#: Symbols: 0 for what is no letter, 1 to 26 for a to z; each script has some of its own, which its letters share by code point.
+SYMBOL_BITS = 7
+#: (first code point, code point after the last, number of symbols); all other letters share the last symbols.
+SCRIPTS = (
+    (0x00C0, 0x0250, 30), (0x0370, 0x0400, 8), (0x0400, 0x0530, 32), (0x0590, 0x0600, 6), (0x0600, 0x0780, 8), (0x0900, 0x0E00, 4), (0x0E00, 0x0F00, 2), (0x3040, 0x30A0, 2), (0x30A0, 0x3100, 2),
+    (0x3400, 0xA000, 2), (0xAC00, 0xD7B0, 2),
+)
 #: Blended spectrum: all lengths from 1 to this.
 LONGEST = 3
 #: Where the codes of each length begin, and how many codes there are.
@@ -31,7 +36,13 @@ def _symbols() -> tuple[np.ndarray, np.ndarray]:
     """Symbol of each code point, and whether it is a letter."""
     letter = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
     lower = np.fromiter((ord(x) if len(x := chr(c).lower()) == 1 else c for c in range(0x110000)), np.int64, 0x110000)
-    symbol = np.where((lower >= 97) & (lower <= 122), lower - 96, 27 + lower % 37)
+    first = 27 + sum(n for *_, n in SCRIPTS)
+    symbol = first + lower % ((1 << SYMBOL_BITS) - first)
+    at = 27
+    for low, high, n in SCRIPTS:
+        symbol[low:high] = at + lower[low:high] % n
+        at += n
+    symbol = np.where((lower >= 97) & (lower <= 122), lower - 96, symbol)
     return np.where(letter, symbol, 0).astype(np.int32), letter
 
 
@@ -95,10 +106,16 @@ def fit(grams: list[np.ndarray], labels: list[str]) -> LanguageModel | None:
 def learn(docs: DataFrame, learned: Column, per_language: int = PER_LANGUAGE) -> LanguageModel | None:
     """A model from the texts and languages of rows where `learned` holds: at most per_language rows of each language, those
     with the smallest hash of doc_id, and MOST_LEARNED in all (a bounded sample, whole texts). None if there is no such row.
+
+    A first pass counts the languages; only rows whose hash is among about the first 2 * per_language + 50 of their
+    language are ranked, so a language of any size costs its task no more than that. Rows of one doc_id are taken together.
     """
-    rows = docs.where(learned & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = rows.withColumn("_rank", rank).where(F.col("_rank") <= min(per_language, 1000)).orderBy("_rank", "lang").limit(MOST_LEARNED).select(F.col("doc_id").alias("_id")).distinct()
+    rows = docs.where(learned & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.col("lang").alias("_lang"), F.xxhash64("doc_id").alias("_hash"))
+    counts = rows.groupBy(F.col("_lang").alias("_l")).agg(F.count("*").alias("_n"))
+    few = F.pmod("_hash", F.lit(1 << 30)) * F.col("_n") < float(2 * per_language + 50) * (1 << 30)
+    rank = F.row_number().over(Window.partitionBy("_lang").orderBy(F.pmod("_hash", F.lit(1 << 30)), "doc_id"))
+    ranked = rows.join(counts, F.col("_lang") == F.col("_l")).where(few).withColumn("_rank", rank).where(F.col("_rank") <= per_language)
+    chosen = ranked.orderBy("_rank", "_lang").limit(MOST_LEARNED).select(F.col("doc_id").alias("_id")).distinct()
 
     def grams(batches):
         for batch in batches:
