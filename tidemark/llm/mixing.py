@@ -16,6 +16,8 @@ EPS = 1e-9
 BLOCK_ROWS = 5_000
 #: Units of all sizes that fly only in the landing, which looks at all choices of them and of the 2 that a flight leaves.
 HELD = 12
+#: Sources that one task sorts, about.
+SOURCES_A_TASK = 100_000
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0) -> DataFrame:
@@ -25,8 +27,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most:
     `most` times its source's size; the excess is reshared by weight among the others until none is above. Each round
     is one aggregate over one row for each source; sources without any size get a target of 0.
     """
-    totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_docs"))
-    ranked = numbered(totals, [F.col("source").isNull(), "source"], "_mix_rank", 1)
+    totals = saved(sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_docs")), "mix-totals")
+    tasks = min(int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + totals.count() // SOURCES_A_TASK)
+    ranked = numbered(totals, [F.col("source").isNull(), "source"], "_mix_rank", tasks)
     cycle = F.array(*[F.lit(float(w)) for w in weights])
     ranked = saved(ranked.select("source", "source_size", "source_docs", F.element_at(cycle, (F.col("_mix_rank") % len(weights) + 1).cast("int")).alias("weight")), "mix-sources")
     cap = F.lit(float(most)) * F.col("source_size")
@@ -126,7 +129,7 @@ def _flight_of_block(last: bool, base: int):
 def cube_sample(units: DataFrame, seed: int = 1) -> DataFrame:
     """units(source, doc_id, size, p, ...) with `taken01`, 0 or 1: a sample balanced on both totals of each source.
 
-    Blocks of a source (by the hash of doc_id, so that reruns agree) fly alone and leave HELD + 2 open units each at most; the open
+    Blocks of a source (by the hash of doc_id, size and number among equals, so that reruns agree) fly alone and leave HELD + 2 open units each at most; the open
     units of many blocks meet and fly again, until one block of each source is left, and its last units land. Each
     round is written, so a lost executor repeats one round at most. Work shrinks by the block size in each round.
     """
@@ -134,7 +137,9 @@ def cube_sample(units: DataFrame, seed: int = 1) -> DataFrame:
     schema = units.select(*columns, F.lit(0.0).alias("p"), F.lit(0).cast("long").alias("_cube_block")).schema
     rows = units.count()
     blocks = max(1, -(-rows // BLOCK_ROWS))
-    open_ = units.select(*columns, "p", F.pmod(F.xxhash64("doc_id", "size"), F.lit(blocks)).alias("_cube_block"))
+    # equal units, which are interchangeable, are told apart by their number, so that a hot one spreads
+    copies = units.groupBy(*columns, "p").agg(F.count("*").alias("_cube_copies")).withColumn("_cube_copy", F.explode(F.sequence(F.lit(1), F.col("_cube_copies"))))
+    open_ = copies.select(*columns, "p", F.pmod(F.xxhash64("doc_id", "size", "_cube_copy"), F.lit(blocks)).alias("_cube_block"))
     done = None
     while True:
         last = blocks == 1
@@ -155,8 +160,8 @@ def mix_documents(docs: DataFrame, seed: int = 1, keep: tuple[str, ...] = ()) ->
     A document of a source is expected target / source_size times: the whole part is taken for sure, the rest is its
     inclusion probability for the cube method. So each source's taken words differ from its target by a part of one
     document at most, and reruns agree. Null texts and texts without words have size 0; null doc_ids are documents as any
-    others; an empty table gives an empty table; repeated rows are units of their own. Only numbers are shuffled, and the
-    columns `keep`, which come along.
+    others; an empty table gives an empty table; repeated rows are units of their own, and a row that makes up a large
+    part of the table spreads over all blocks. Only numbers are shuffled, and the columns `keep`, which come along.
     """
     sizes = saved(docs.select("doc_id", *keep, "source", word_count(F.col("text")).alias("size")), "mix-sizes")
     targets = saved(source_targets(sizes), "mix-targets")
