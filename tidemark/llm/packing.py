@@ -128,9 +128,10 @@ def pack(items: DataFrame, capacity: int = 4096) -> DataFrame:
 def pack_documents(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of every document.
 
-    Null text counts as empty: its one piece is the end id. Only documents over capacity are cut. Repeated rows are
-    packed as documents of their own; an empty table gives an empty table. Tokens are made once and only lengths move.
+    Null text counts as empty: its one piece is the end id. Only documents over capacity are cut. Repeated rows and
+    rows with a null doc_id are packed as documents of their own; an empty table gives an empty table. Tokens are made once and only lengths move.
     """
     pieces = saved(cut_pieces(docs, path, capacity, end_id), "pack-pieces")
-    packed = pack(pieces.withColumn("_pack_block", F.xxhash64("doc_id", "piece", "ids_crc32")), capacity)
+    # by the place in the written table, so that repeated rows and null ids spread
+    packed = pack(pieces.withColumn("_pack_block", F.xxhash64(F.monotonically_increasing_id())), capacity)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
