@@ -408,12 +408,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Words are runs of [^\\x20\\x09-\\x0D], A-Z lower-cased; a set holds the distinct 5-word shingles of the whole text (the
     whole sequence if shorter). Two documents link when 100 * intersection >= 80 * union. Null texts and texts without
     words have no shingle and no link. Documents with equal sets are one from the start (by 128-bit keys), so groups of copies
-    cost one; links between different sets are all found (see index_keys). doc_id is taken as unique: rows that share it
-    are one document. An empty table gives an empty table.
+    cost one; links between different sets are all found (see index_keys). Rows that share a doc_id are one document. A
+    row with a null doc_id is a document of its own, whose links count as any others; its component is the smallest doc_id
+    that is reached, null if none is. An empty table gives an empty table.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text")
     sets = saved(_sets(docs, id_type), "jaccard-keys")
+    if not sets.where("doc_id is null and n > 0").isEmpty():
+        return _by_row(docs)
     reps = saved(sets.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "jaccard-reps")
     n_reps, tokens = reps.agg(F.count("rep"), F.sum("n")).first()
     if not n_reps:
@@ -446,3 +449,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("least", "doc_id")).alias("component_id"))
 
 
+
+
+def _by_row(docs: DataFrame) -> DataFrame:
+    """near_duplicates with a number for each row in place of doc_id, as null ids tell no documents apart."""
+    rows = saved(docs.withColumn("row", F.monotonically_increasing_id()), "jaccard-rows")
+    found = near_duplicates(rows.select(F.col("row").alias("doc_id"), "text")).withColumnRenamed("doc_id", "row")
+    found = saved(found.join(rows.select("row", "doc_id"), "row"), "jaccard-by-row")
+    # rows that share a doc_id are one document
+    shared = found.where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("a"), F.max("component_id").alias("b")).where("a <> b")
+    joined = found.join(shared.select("doc_id", "a"), "doc_id").select("a", F.col("component_id").alias("b"))
+    roots = components(saved(joined.where("a <> b"), "jaccard-shared"))
+    found = found.join(roots, F.col("component_id") == F.col("node"), "left").withColumn("component_id", F.coalesce("root", "component_id")).drop("node", "root")
+    least = found.groupBy("component_id").agg(F.min("doc_id").alias("least"))
+    return found.join(least, "component_id").select("doc_id", "n_shingles", F.col("least").alias("component_id"))
