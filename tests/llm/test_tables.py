@@ -10,11 +10,15 @@ from zlib import crc32
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.conftest import SMALL
 from tests.llm.helpers import frame, words
-from tidemark.llm import mixing, sharding, topk
+from tests.llm.test_texts import brute_components
+from tidemark.llm import mixing, quality, sharding, topk
+from tidemark.llm.common import key_crc32
+from tidemark.llm.queries import tokenizer_file
 
 ROWS = [(1, None, "en", "a"), (2, "", None, None), (3, "ä b", "de", "b"), (4, "x y z", "de", None), (4, "x y z", "de", None), (None, "no id", "en", "a"), *[(10 + i, "w " * (i % 7), "en", f"s{i % 3}") for i in range(200)]]
 
@@ -158,6 +162,64 @@ def test_pipeline_keeps_different_rows_of_null_and_shared_ids(spark):
     assert len(mixed) >= 4 and max(mixed.values()) <= 3
 
 
+def plain_lines(rows, least=5):
+    """(doc_id, text, source) without the lines on `least` sources or more, but for their first place."""
+    places, sites = {}, {}
+    for i, text, source in rows:
+        for pos, raw in enumerate((text or "").split("\n")):
+            if line := raw.strip(" \t\r\x0b\x0c"):
+                places[line] = min(places.get(line, (i, pos)), (i, pos))
+                sites.setdefault(line, set()).add(source)
+    out = []
+    for i, text, source in rows:
+        lines = (text or "").split("\n")
+        gone = {pos for pos, raw in enumerate(lines) if len(sites.get(line := raw.strip(" \t\r\x0b\x0c"), ())) >= least and places[line] != (i, pos)}
+        left = [x for pos, x in enumerate(lines) if pos not in gone]
+        if not gone or any(words(x) for x in left):
+            out.append((i, "\n".join(left) if gone else text, source))
+    return out
+
+
+def test_pipeline_against_plain_python(spark):
+    """Each stage against a plain version on the stage's own input: all 200 documents, with clashing columns beside."""
+    clash = {c: F.lit(c) for c in ("_quality", "score", "_stays", "_id", "_times", "_time", "_row", "row", "doc", "_gone", "_d", "lines_removed", "time")}
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumns(clash)
+    names = docs.columns
+    read = lambda df: sorted((r.doc_id, r.text, r.source) for r in df.collect())
+    frames = [docs]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        frames.append(stage(spark, frames[-1], SMALL).cache())
+        assert k == 4 or (frames[-1].columns == names and all(r[c] == c for r in frames[-1].limit(5).collect() for c in clash))
+    rows = [read(f) for f in frames[:5]]
+    model = quality.learn(docs, spark.read.parquet(f"{SMALL}/labels.parquet"), key_crc32("doc_id") % 4 != 2)
+
+    def score(text):
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        return float(model.score(quality.text_features(data, np.array([0, len(data)])))[0])
+
+    assert rows[1] == [r for r in rows[0] if score(r[1]) >= 0.7]
+    assert rows[2] == sorted(plain_lines(rows[1]))
+    component = brute_components([r[:2] for r in rows[2]])
+    assert rows[3] == [r for r in rows[2] if component[r[0]][1] == r[0]]
+    copies = Counter()
+    for _, text, source in rows[4]:
+        copies[source] += len(words(text))
+    _, target = expected_targets([(i, t, None, s) for i, t, s in rows[3]])
+    longest = max(len(words(t)) for _, t, _ in rows[3])
+    assert all(abs(copies[s] - target[s]) <= longest for s in target) and set(rows[4]) <= set(rows[3]) and max(Counter(rows[4]).values()) <= 3
+    library = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
+    want = Counter()
+    for i, text, _ in rows[4]:
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
+        want.update((i, k, crc32(ids[a : a + 4096].tobytes())) for k, a in enumerate(range(0, len(ids), 4096)))
+    packed = frames[5].collect()
+    assert Counter((r.doc_id, r.piece, r.ids_crc32) for r in packed) == want
+    fills = Counter()
+    for r in packed:
+        fills[r.sequence_id] += r.length
+    assert max(fills.values()) <= 4096 and len(fills) <= -(-sum(fills.values()) // 4096) * 1.02 + 1
+
+
 def test_pipeline_without_labels_keeps_all_documents(spark, tmp_path):
     spark.read.parquet(f"{SMALL}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")

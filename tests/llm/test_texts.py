@@ -181,6 +181,15 @@ def test_jaccard_components(spark, monkeypatch, far):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 
 
+def test_jaccard_null_ids_link_as_any_others(spark):
+    base = [f"w{i}" for i in range(60)]
+    extra = [f"x{i}" for i in range(10)]
+    rows = [(9, base + extra), (None, base), (4, extra + base), (None, ["quite", "different"]), (None, []), (7, ["quite", "different"]), (8, []), (None, ["no", "other"]), (7, ["quite", "different"])]
+    got = jaccard.near_duplicates(frame(spark, [(i, " ".join(w)) for i, w in rows], "doc_id long, text string").withColumn("row", F.lit("clash"))).collect()
+    want = Counter([(9, 66, 4), (None, 56, 4), (4, 66, 4), (None, 1, 7), (None, 0, None), (7, 1, 7), (8, 0, 8), (None, 1, None), (7, 1, 7)])
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+
+
 def test_jaccard_empty(spark):
     assert jaccard.near_duplicates(frame(spark, EDGES[:3])).count() == 3
     assert jaccard.near_duplicates(frame(spark, EDGES).limit(0)).count() == 0

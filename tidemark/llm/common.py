@@ -18,9 +18,11 @@ _own_folder: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which driver and executors share; a local one only where that is unset."""
+    """The folder in spark.checkpoint.dir, which driver and executors share; if that is unset, a local one in local mode only."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         if not _own_folder:
             _own_folder.append(tempfile.mkdtemp(prefix="tidemark-"))
         folder = f"file://{_own_folder[0]}"
@@ -28,8 +30,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Batches that go to Python are bounded by bytes too, so that runs of very long texts need no more memory than others."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    """Batches that go to Python are bounded by bytes too, so that runs of very long texts need no more memory than others.
+    A setting of the session; a lower number of bytes stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name).rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
