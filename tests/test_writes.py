@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.operators import export, layers, maintenance, merge, reports
+from tidemark.functions import scalars as S
+from tidemark.operators import documents, export, layers, maintenance, merge, privacy, reports
 from tidemark.plans.pruning import unpruned
 from tidemark.streaming import jobs
 from tests.test_rules import NOON, event, typed
@@ -20,22 +24,23 @@ def ids(spark, path):
 def test_insert_only_merge(spark, tmp_path):
     path = f"file://{tmp_path}/silver"
     a, b, c = (event(x, at=NOON + timedelta(hours=i)) for i, x in enumerate("abc"))
-    assert merge.insert_new_rows(typed(spark, a, b), path, "meta_id") == 2
-    assert merge.insert_new_rows(typed(spark, b, c), path, "meta_id") == 2
-    assert merge.insert_new_rows(typed(spark, a, a), path, "meta_id") == 1
-    assert merge.insert_new_rows(typed(spark, a).limit(0), path, "meta_id") == 0
+    assert merge.append_new(typed(spark, a, b), path, "meta_id") == 2
+    assert merge.append_new(typed(spark, b, c), path, "meta_id") == 2
+    assert merge.append_new(typed(spark, a, a), path, "meta_id") == 1
+    assert merge.append_new(typed(spark, a).limit(0), path, "meta_id") == 0
     assert ids(spark, path) == ["a", "b", "c"]
-    hours = merge.batch_hours(typed(spark, b))
-    assert not unpruned(spark.read.parquet(path).where(merge.hour_filter(hours)), "event_hour")
+    hours = merge.rows_of(merge.by_hour(typed(spark, b)))
+    assert list(hours.values()) == [1]
+    assert not unpruned(spark.read.parquet(path).where(merge.only(hours)), "event_hour")
     assert unpruned(spark.read.parquet(path).where(F.col("meta_id") == "a"), "event_hour")
 
 
 def test_upsert_keeps_first_stamp(spark, tmp_path):
     path = f"file://{tmp_path}/bursts"
     frame = lambda *rows: spark.createDataFrame(rows, "alert_id string, edits int, seen int, day string")
-    merge.merge_partitions(frame(("a", 5, 1, "d1"), ("b", 5, 1, "d2")), path, ["alert_id"], "day", ("seen",))
+    merge.upsert(frame(("a", 5, 1, "d1"), ("b", 5, 1, "d2")), path, ["alert_id"], "day", ("seen",))
     for _ in range(2):
-        merge.merge_partitions(frame(("b", 7, 2, "d2"), ("c", 6, 2, "d2")), path, ["alert_id"], "day", ("seen",))
+        merge.upsert(frame(("b", 7, 2, "d2"), ("c", 6, 2, "d2")), path, ["alert_id"], "day", ("seen",))
     assert sorted(map(tuple, spark.read.parquet(path).select("alert_id", "edits", "seen").collect())) == [("a", 5, 1), ("b", 7, 1), ("c", 6, 2)]
 
 
@@ -83,10 +88,77 @@ def test_minute_series_and_averages(spark):
     assert [(r.title, r.total_edits, r.avg_edits_per_recorded_hour) for r in reports.page_averages(w, activity, hours).collect()] == [("A", 4, 2.0), ("B", 0, 0.0)]
 
 
-def test_failed_export_keeps_last_good(spark, tmp_path):
-    path = f"file://{tmp_path}/doc"
-    good = spark.range(1).select(F.lit("{}").alias("json"), F.lit(2).cast("long").alias("bytes"))
-    assert export.export_all({"d": lambda: (good, None)}, {"d": path})["d"]["status"] == "success"
-    large = good.withColumn("bytes", F.lit(export.MAX_BYTES + 1).cast("long"))
-    assert export.export_all({"d": lambda: (large, None)}, {"d": path})["d"]["status"] == "failed"
-    assert spark.read.text(path).first()[0] == "{}"
+GOOD_ALERT = {
+    "alert_id": "a" * 64, "rule_id": "R1", "rule_name": "n", "severity": "high", "wiki": "enwiki", "title": "T", "category": "product", "owner_team": "t", "edit_type": None, "log_action": None,
+    "editor_type": "bot", "byte_delta": None, "edits_in_window": 3, "event_ts": "2026-10-03T12:00:00Z", "detected_at": "2026-10-03T12:00:00Z",
+}
+GOOD_ALERTS = {"schema_version": 1, "generated_at": "2026-10-03T12:00:00Z", "window_days": 7, "alerts": [GOOD_ALERT, GOOD_ALERT | {"arrived_late": None}], "digest": []}
+GOOD_META = {
+    "schema_version": 1, "generated_at": "2026-10-03T12:00:00Z", "dbt": {"status": "unknown", "finished_at": None, "models_ok": 0, "tests_ok": 0, "failures": 0},
+    "snapshots": {"alerts": 1, "digest": 0, "edits_per_min": None, "bot_share_hourly": None, "page_activity": None},
+    "exports": {"alerts": {"status": "ok", "failed_query": None}, "baseline": {"status": "failed", "failed_query": "edits_per_min"}},
+}
+GOOD_BASELINE = {"schema_version": 1, "generated_at": "2026-10-03T12:00:00Z", "edits_per_min": [], "bot_share_hourly": [{"hour": "2026-10-03T12:00:00Z", "edits": 1, "bot_edits": 1, "bot_share": 1.0}], "recorded_hours": ["2026-10-03T12:00:00Z"], "page_activity": [], "page_averages": []}
+BROKEN = [
+    ("alerts", GOOD_ALERTS, {}), ("meta", GOOD_META, {}), ("baseline", GOOD_BASELINE, {}), ("meta", {k: v for k, v in GOOD_META.items() if k != "exports"}, {}),
+    ("alerts", GOOD_ALERTS | {"user": "x"}, {"$: additionalProperties": 1}),
+    ("alerts", GOOD_ALERTS | {"alerts": [GOOD_ALERT | {"user_name": "x", "severity": "urgent"}] * 3}, {"alerts[]: additionalProperties": 3, "alerts[].severity: enum": 3}),
+    ("alerts", GOOD_ALERTS | {"alerts": [GOOD_ALERT] * 501}, {"alerts: maxItems": 1}),
+    ("alerts", GOOD_ALERTS | {"alerts": [1, {k: v for k, v in GOOD_ALERT.items() if k != "title"}], "window_days": 8}, {"alerts[]: type": 1, "alerts[].title: required": 1, "window_days: const": 1}),
+    ("alerts", GOOD_ALERTS | {"alerts": {}, "generated_at": "2026-10-03 12:00"}, {"alerts: type": 1, "generated_at: format": 1}),
+    ("alerts", GOOD_ALERTS | {"alerts": [GOOD_ALERT | {"alert_id": "A" * 64, "edits_in_window": "3", "event_ts": "2026-13-03T12:00:00Z"}]}, {"alerts[].alert_id: pattern": 1, "alerts[].edits_in_window: type": 1, "alerts[].event_ts: format": 1}),
+    ("baseline", GOOD_BASELINE | {"recorded_hours": ["2026-10-03T12:00:00Z", 3, "noon"], "bot_share_hourly": [{"hour": None, "edits": -1, "bot_edits": 1.5, "bot_share": 1.01}]}, {"recorded_hours[]: type": 1, "recorded_hours[]: format": 1, "bot_share_hourly[].hour: type": 1, "bot_share_hourly[].edits: minimum": 1, "bot_share_hourly[].bot_edits: type": 1, "bot_share_hourly[].bot_share: maximum": 1}),
+    ("meta", GOOD_META | {"exports": {"alerts": {"status": "odd", "failed_query": "s3://bucket"}}, "dbt": None}, {"exports.baseline: required": 1, "exports.alerts.status: enum": 1, "exports.alerts.failed_query: pattern": 1, "dbt: type": 1}),
+    ("meta", [1], {"$: type": 1}), ("meta", None, {"$: invalid_json": 1}),
+]
+
+
+def test_document_contracts(spark):
+    for name, doc, want in BROKEN:
+        texts = spark.createDataFrame([("{broken" if doc is None else json.dumps(doc),)], "json string")
+        assert dict(map(tuple, documents.violations(texts, name).collect())) == want, (name, want)
+
+
+def test_export_of_a_run_tells_of_failures(spark, tmp_path):
+    """What can't be built or breaks its contract isn't written; the run's document is, and then the export raises."""
+    paths = {name: f"file://{tmp_path}/{name}" for name in ("alerts", "baseline", "meta")}
+    doc = lambda body: spark.createDataFrame([(json.dumps(body),)], "json string")
+    run, now = spark.sql("SELECT 'success' AS status, 3L AS models_ok, 2L AS tests_ok, 0L AS failures"), F.lit("2026-10-03 12:00:00").cast("timestamp_ntz")
+    meta = lambda: json.loads(spark.read.text(paths["meta"]).first()[0])
+    lengths = export.export_run(spark, {"alerts": lambda: doc(GOOD_ALERTS), "baseline": lambda: doc(GOOD_BASELINE)}, paths, run, now)
+    assert lengths == {"alerts": {"alerts": 2, "digest": 0}, "baseline": {"edits_per_min": 0, "bot_share_hourly": 1, "page_activity": 0}}
+    assert meta()["exports"]["alerts"] == {"status": "ok", "failed_query": None} and meta()["snapshots"]["alerts"] == 2
+    with pytest.raises(export.ExportFailed, match="alerts, baseline"):
+        export.export_run(spark, {"alerts": lambda: doc(GOOD_ALERTS | {"extra": 1}), "baseline": lambda: doc(GOOD_BASELINE).select(F.raise_error(F.lit("secret")).alias("json"))}, paths, run, now)
+    assert meta()["exports"] == {"alerts": {"status": "failed", "failed_query": None}, "baseline": {"status": "failed", "failed_query": "baseline"}}
+    assert meta()["snapshots"]["alerts"] is None and json.loads(spark.read.text(paths["alerts"]).first()[0]) == GOOD_ALERTS
+    with pytest.raises(export.BrokenContract, match="bytes"):
+        export.publish(doc(GOOD_ALERTS | {"alerts": [GOOD_ALERT | {"title": "t" * 1_000_000}]}), "alerts", paths["alerts"])
+
+
+@pytest.mark.parametrize("spread", [1, 7, 10_000_019])
+def test_values_at_places(spark, spread):
+    dice = random.Random(spread)
+    numbers = [dice.randrange(0, 50) * spread - 20 * spread for _ in range(301)] + [dice.randrange(10**9) for _ in range(5 * (spread > 7))]
+    places = {"first": lambda n: n * 0, "p50": lambda n: F.floor(n / 2), "p95": lambda n: F.floor(n * 0.95), "last": lambda n: n - 1}
+    got = reports.values_at(spark.createDataFrame([(v,) for v in [*numbers, None]], "v long").repartition(3), places).first().asDict()
+    want, n = sorted(numbers), len(numbers)
+    assert got == {"n": n, "most": want[-1], "first": want[0], "p50": want[n // 2], "p95": want[int(n * 0.95)], "last": want[-1]}
+    assert reports.values_at(spark.createDataFrame([], "v long"), places).first().asDict() == {"n": 0, "most": None, "first": None, "p50": None, "p95": None, "last": None}
+
+
+def test_pseudonyms_stay_distinct(spark):
+    names = spark.range(50_000).select(F.concat(F.lit("~2026-"), F.col("id").cast("string"), F.lit("-1")).alias("u"))
+    out = names.select(privacy.pseudonym(F.col("u"), F.lit(False), "salt").alias("p"))
+    assert out.distinct().count() == 50_000 and out.where(~F.col("p").rlike(S.TEMPORARY_ACCOUNT)).isEmpty()
+
+
+def test_few_files_for_each_hour(spark, tmp_path, monkeypatch):
+    path = f"file://{tmp_path}/silver"
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("meta_id"), (F.lit(NOON).cast("timestamp_ntz") + F.make_dt_interval(hours=(F.col("id") % 3).cast("int"))).alias("event_ts")).repartition(8)
+    monkeypatch.setattr(merge, "ROWS_A_FILE", 400)
+    assert merge.append_new(rows.where("event_ts < timestamp_ntz'2026-10-03 14:00:00'"), path, "meta_id", ()) == 2000
+    files = spark.read.parquet(path).select("event_hour", F.col("_metadata.file_path").alias("f")).distinct().groupBy("event_hour").count()
+    assert {r["count"] for r in files.collect()} <= {1, 2, 3} and spark.read.parquet(path).count() == 2000
+    monkeypatch.setattr(merge, "ROWS_A_FILE", 10_000)
+    assert merge.append_new(rows, path, "meta_id", ()) == 3000 and spark.read.parquet(path).count() == 3000

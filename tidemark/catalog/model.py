@@ -3,19 +3,31 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import alerts, gold, layers
+from tidemark.plans.workspace import folder
 from tidemark.sources import feed
 
 
+def _stored(rows: DataFrame, name: str) -> DataFrame:
+    path = folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 class Run:
-    """Lazy frames of one run; burst windows of 10 minutes with 2 edits or more."""
+    """Lazy frames of one run; burst windows of 10 minutes with 2 edits or more.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, min_edits: int = 2):
-        self.spark, self.sf_dir, self.min_edits = spark, sf_dir, min_edits
+    With `stored` the typed layer is written once for the run, as it is in a running system, and what follows scans it for
+    the columns that it needs: for queries that use it more than once.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, min_edits: int = 2, stored: bool = False):
+        self.spark, self.sf_dir, self.min_edits, self.stored = spark, sf_dir, min_edits, stored
 
     @property
     def received(self) -> DataFrame:
@@ -37,9 +49,15 @@ class Run:
     def dlq(self) -> DataFrame:
         return layers.to_dlq(self.dlq_topic, feed.SESSION)
 
-    @property
+    @cached_property
     def silver(self) -> DataFrame:
-        return layers.silver(self.topic)
+        rows = layers.silver(self.topic)
+        return _stored(rows, "silver") if self.stored else rows
+
+    @cached_property
+    def _alerts(self) -> DataFrame:
+        found = alerts.find_alerts(self.silver, self.watchlist, self.rules)
+        return _stored(found, "alerts") if self.stored else found
 
     @property
     def watchlist(self) -> DataFrame:
@@ -52,9 +70,8 @@ class Run:
     @property
     def alerts(self) -> DataFrame:
         """With detected_at: a fixed delay after ingestion, as no clock is read."""
-        found = alerts.find_alerts(self.silver, self.watchlist, self.rules)
         event_id = F.substring("meta_id", 4, 20).cast("long")
-        return found.withColumn("detected_at", F.col("ingested_at") + F.make_dt_interval(secs=F.lit(1.5) * (event_id % 7)))
+        return self._alerts.withColumn("detected_at", F.col("ingested_at") + F.make_dt_interval(secs=F.lit(1.5) * (event_id % 7)))
 
     @property
     def bursts(self) -> DataFrame:

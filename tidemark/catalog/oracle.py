@@ -78,9 +78,9 @@ VIEWS = {
   FROM activity a LEFT JOIN ruledays USING (digest_date, wiki, title) LEFT JOIN burstdays USING (digest_date, wiki, title)""",
     "run": "SELECT date_trunc('second', max(ingested_at)) AS now FROM ev",
     "allalerts": """
-  SELECT alert_id, a.rule_id, r.rule_name, a.severity, wiki, title, category, owner_team, edit_type, log_action, editor_type, byte_delta, CAST(NULL AS BIGINT) AS edits_in_window, event_ts,
+  SELECT alert_id, a.rule_id, r.rule_name, a.severity, wiki, title, category, owner_team, edit_type, log_action, editor_type, byte_delta, CAST(NULL AS BIGINT) AS edits_in_window, event_ts, detected_at,
     revision_old, revision_new, ingested_at >= event_ts + INTERVAL 10 MINUTE AS arrived_late FROM alerts a JOIN rules r ON a.rule_id = r.rule_id
-  UNION ALL SELECT alert_id, b.rule_id, r.rule_name, b.severity, wiki, title, category, owner_team, NULL, NULL, NULL, NULL, edits, window_start, NULL, NULL, NULL FROM bursts b JOIN rules r ON b.rule_id = r.rule_id""",
+  UNION ALL SELECT alert_id, b.rule_id, r.rule_name, b.severity, wiki, title, category, owner_team, NULL, NULL, NULL, NULL, edits, window_start, window_end, NULL, NULL, NULL FROM bursts b JOIN rules r ON b.rule_id = r.rule_id""",
     "pages": """
   SELECT title, category, date_trunc('hour', event_ts) AS hour, count(*) AS edits FROM watched WHERE edit_type IN ('edit', 'new') GROUP BY 1, 2, 3""",
     "hours": "SELECT DISTINCT date_trunc('hour', window_start) AS hour FROM minutes",

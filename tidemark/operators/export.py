@@ -1,20 +1,32 @@
-"""Capped, checked JSON documents."""
+"""Capped, checked JSON documents, each written on its own, and the document about them."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
-from tidemark.operators.quality import contract_violations
+from tidemark.operators.documents import MAX_BYTES, VERSION, violations
+from tidemark.operators.merge import remove
 from tidemark.operators.reports import severity_rank
 
-MAX_BYTES = 1_000_000
-VERSION = 1
 ALERT_FIELDS = [
-    "alert_id", "arrived_late", "byte_delta", "category", "edit_type", "editor_type", "edits_in_window", "event_ts", "log_action", "owner_team",
+    "alert_id", "arrived_late", "byte_delta", "category", "detected_at", "edit_type", "editor_type", "edits_in_window", "event_ts", "log_action", "owner_team",
     "revision_new", "revision_old", "rule_id", "rule_name", "severity", "title", "wiki",
 ]
+#: The lists of each document whose lengths the document about the run gives.
+COUNTED = {"alerts": ("alerts", "digest"), "baseline": ("edits_per_min", "bot_share_hourly", "page_activity")}
+
+
+class ExportFailed(Exception):
+    """Some documents weren't written; the document about the run was, and names them."""
+
+
+class BrokenContract(ValueError):
+    """A document that must not be written: its first problems, never its values."""
 
 
 def as_array(rows: DataFrame, fields: list[str], order: list, name: str) -> DataFrame:
@@ -34,45 +46,74 @@ def document(parts: dict[str, DataFrame], now: Column, **fixed) -> DataFrame:
     return out.select(text.alias("json")).withColumn("bytes", F.octet_length("json").cast("long"))
 
 
-def alert_rows(top: DataFrame) -> DataFrame:
-    return top.withColumn("event_ts", S.iso_utc(F.col("event_ts"))).select(*ALERT_FIELDS, severity_rank().alias("_rank"))
-
-
 def alerts_document(top: DataFrame, digest: DataFrame, now: Column) -> DataFrame:
-    rows = alert_rows(top)
-    d = digest.withColumn("digest_date", F.date_format("digest_date", "yyyy-MM-dd"))
-    fields = [c for c in d.columns if c != "owner_team"]
+    """top: alerts with detected_at; both are capped by their makers."""
+    iso = {c: S.iso_utc(F.col(c)) for c in ("event_ts", "detected_at")}
     # newest first within a severity: the negated time sorts so
-    rows = rows.withColumn("_age", -F.unix_timestamp(F.to_timestamp(F.col("event_ts"))))
-    d = d.withColumn("_age", -F.unix_date(F.to_date("digest_date")))
+    rows = top.withColumns({"_rank": severity_rank(), "_age": -F.unix_timestamp(F.col("event_ts").cast("timestamp"))}).withColumns(iso)
+    d = digest.withColumns({"_age": -F.unix_date("digest_date"), "digest_date": F.date_format("digest_date", "yyyy-MM-dd")})
+    fields = [c for c in digest.columns if c != "owner_team"]
     return document({"alerts": as_array(rows, ALERT_FIELDS, ["_rank", "_age", "alert_id"], "alerts"), "digest": as_array(d, fields, ["_age", (-F.col("edits")).alias("e"), "wiki", "title"], "digest")}, now, window_days=7)
 
 
-def write_checked(doc: DataFrame, violations: DataFrame | None, path: str) -> None:
-    """Writes the document's text after its checks; the last good copy stays if they fail."""
-    if violations is not None and (broken := violations.take(5)):
-        raise ValueError("invalid: " + ", ".join(r["problem"] for r in broken))
-    row = doc.select("bytes").first()
-    if row is None or row[0] > MAX_BYTES:
-        raise ValueError("no document" if row is None else f"{row[0]} bytes, over the limit of {MAX_BYTES}")
-    doc.select("json").coalesce(1).write.mode("overwrite").text(path)
-
-
-def export_all(builders: dict, paths: dict[str, str]) -> dict[str, dict]:
-    """Builds, checks and writes each document on its own; the status of each, with the failing part's name only."""
-    status = {}
+def publish(doc: DataFrame, name: str, path: str) -> dict[str, int]:
+    """Writes the document if its contract and its size allow, and returns the lengths of its COUNTED lists.
+
+    The text is made once and staged; it is read again for the checks, so what is checked is what is written. If a check
+    fails, the last good copy stays.
+    """
+    spark = doc.sparkSession
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    doc.select("json").coalesce(1).write.text(staged)  # one row
+    try:
+        text = spark.read.text(staged).withColumnRenamed("value", "json")
+        if problems := violations(text, name).orderBy("problem").take(5):
+            raise BrokenContract(f"{name}: " + ", ".join(r["problem"] for r in problems))
+        lengths = {c: F.json_array_length(F.get_json_object("json", f"$.{c}")).alias(c) for c in COUNTED.get(name, ())}
+        found = text.select(F.octet_length("json").alias("_bytes"), *lengths.values()).collect()  # numbers of one document
+        if len(found) != 1 or found[0]["_bytes"] > MAX_BYTES:
+            raise BrokenContract(f"{name}: {len(found)} documents, or over {MAX_BYTES} bytes")
+        text.coalesce(1).write.mode("overwrite").text(path)
+        return {c: found[0][c] for c in lengths}
+    finally:
+        remove(spark, staged)
+
+
+def meta_document(spark: SparkSession, run: DataFrame, lengths: dict[str, dict[str, int]], exports: dict[str, dict] | None, now: Column) -> DataFrame:
+    """The document about a run: run (one row: status, models_ok, tests_ok, failures, finished_at if known), how many rows each list
+    has (null for a document that wasn't written) and, if given, how each export went."""
+    counts = {c: lengths.get(doc, {}).get(c) for doc, lists in COUNTED.items() for c in lists}
+    long = lambda v: F.lit(v).cast("long")
+    finished = S.iso_utc(F.col("finished_at")) if "finished_at" in run.columns else F.lit(None).cast("string")
+    parts = {
+        "dbt": run.select(F.struct("failures", finished.alias("finished_at"), "models_ok", "status", "tests_ok").alias("dbt")),
+        "snapshots": spark.range(1).select(F.struct(*(long(n).alias(c) for c, n in sorted(counts.items()))).alias("snapshots")),
+    }
+    if exports is not None:
+        one = lambda e: F.struct(F.lit(e["failed_query"]).cast("string").alias("failed_query"), F.lit(e["status"]).alias("status"))
+        parts["exports"] = spark.range(1).select(F.struct(*(one(e).alias(name) for name, e in sorted(exports.items()))).alias("exports"))
+    return document(parts, now)
+
+
+def export_run(spark: SparkSession, builders: dict[str, Callable[[], DataFrame]], paths: dict[str, str], run: DataFrame, now: Column) -> dict[str, dict[str, int]]:
+    """Publishes each document on its own, then the one about the run in any case; raises ExportFailed after that if any failed.
+
+    A failure is recorded with the name of the query that failed, which is the document's, or without one where the
+    document itself is at fault; never with a message, which may hold paths or values.
+    """
+    lengths, exports = {}, {}
     for name, build in builders.items():
         try:
-            doc, violations = build()
-            write_checked(doc, violations, paths[name])
-            status[name] = {"status": "success"}
-        except Exception as error:  # the others are still written; the caller raises after the status is stored
-            status[name] = {"status": "failed", "query": name, "kind": type(error).__name__}
-    return status
-
-
-def alert_violations(top: DataFrame) -> DataFrame:
-    return contract_violations(alert_rows(top))
+            lengths[name] = publish(build(), name, paths[name])
+            exports[name] = {"status": "ok", "failed_query": None}
+        except BrokenContract:
+            exports[name] = {"status": "failed", "failed_query": None}
+        except Exception:  # the others are still written
+            exports[name] = {"status": "failed", "failed_query": name}
+    publish(meta_document(spark, run, lengths, exports, now), "meta", paths["meta"])
+    if failed := sorted(name for name, e in exports.items() if e["status"] == "failed"):
+        raise ExportFailed(", ".join(failed))
+    return lengths
 
 
 def snapshot_status(texts: DataFrame, column: str = "json") -> DataFrame:

@@ -22,10 +22,19 @@ def incremental_bound(column: str, run_time: datetime, grain: str, first: bool =
     return F.col(column) >= F.lit(bound.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
 
+def counted(rows: DataFrame) -> DataFrame:
+    """Edits and new pages: what all counts are over."""
+    return rows.where(F.col("edit_type").isin(*S.COUNTED_TYPES))
+
+
+def activity_counts() -> list[Column]:
+    """What minutes hold, in the batch view and in the real-time one."""
+    return [F.count("*").alias("edits"), _count_if(F.col("is_bot"), "bot_edits"), F.coalesce(F.sum(F.abs("byte_delta")), F.lit(0)).alias("bytes_changed")]
+
+
 def edits_per_minute(rows: DataFrame) -> DataFrame:
     """Complete counts of each minute and wiki, late rows included."""
-    r = rows.where(F.col("edit_type").isin(*S.COUNTED_TYPES)).withColumn("window_start", S.minute(F.col("event_ts")))
-    out = r.groupBy("window_start", "wiki").agg(F.count("*").alias("edits"), _count_if(F.col("is_bot"), "bot_edits"), F.coalesce(F.sum(F.abs("byte_delta")), F.lit(0)).alias("bytes_changed"))
+    out = counted(rows).groupBy(S.minute(F.col("event_ts")).alias("window_start"), "wiki").agg(*activity_counts())
     return out.withColumn("window_end", F.col("window_start") + F.expr("INTERVAL 1 MINUTE"))
 
 

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.merge import table_exists
+from tidemark.operators.merge import replace_partitions, table_exists
 
 MIN_FILES = 5
 TARGET_BYTES = 128 << 20
@@ -48,14 +48,11 @@ def small_files(spark: SparkSession, path: str, partition: str, now: datetime) -
 
 def compact(spark: SparkSession, path: str, partition: str, now: datetime) -> int:
     """Rewrites the closed partitions with many small files, each to files of about TARGET_BYTES; returns how many. No row is
-    lost: a partition is staged in full before it is replaced."""
+    lost: a partition is staged in full, apart from other runs, before it is replaced."""
     if not table_exists(spark, path):
         return 0
     plan = small_files(spark, path, partition, now).collect()  # one row for each closed partition that needs it
     for p in plan:
-        n = max(1, -(-p["bytes"] // TARGET_BYTES))
-        staged = f"{path.rstrip('/')}_staged"
-        rows = spark.read.option("basePath", path).parquet(path).where(F.col(partition).cast("string") == p["partition"])
-        rows.repartition(n).write.mode("overwrite").parquet(staged)
-        spark.read.schema(rows.schema).parquet(staged).coalesce(n).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+        rows = spark.read.parquet(path).where(F.col(partition).cast("string") == p["partition"])
+        replace_partitions(rows.repartition(max(1, -(-p["bytes"] // TARGET_BYTES))), path, partition)
     return len(plan)

@@ -1,82 +1,115 @@
-"""Insert-only and upserting writes to partitioned tables; both are safe to repeat."""
+"""Tables in partitions by hour or day that are added to and corrected: appends of what is new, upserts. Both may be repeated."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import scalars as S
+from tidemark.operators.layers import first_copy
+
+#: The partition column of tables by hour, and how the hour is written there.
+HOUR, HOUR_FORMAT = "event_hour", "yyyy-MM-dd-HH"
+#: A partition of a write gets a file for each so many rows.
+ROWS_A_FILE = 1_000_000
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    at, files = _file_system(spark, path)
+    return files.exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this run made."""
+    at, files = _file_system(spark, path)
+    files.delete(at, True)
+
 
+def by_hour(rows: DataFrame, at: str = "event_ts") -> DataFrame:
+    """rows with the partition column; rows without a time have no hour, and no place in the table."""
+    return rows.where(F.col(at).isNotNull()).withColumn(HOUR, F.date_format(at, HOUR_FORMAT))
 
-def batch_hours(rows: DataFrame, column: str = "event_ts") -> list:
-    """The distinct hours of a batch, sorted: as many as it spans, never its rows."""
-    hours = rows.where(F.col(column).isNotNull()).select(S.hour(F.col(column)).alias("h")).distinct()
-    return sorted(r[0] for r in hours.collect())
 
+def rows_of(batch: DataFrame, partition: str = HOUR) -> dict[str, int]:
+    """Rows of each partition that the batch falls in, in order: as many numbers as partitions, never rows."""
+    return {label: n for label, n in sorted(tuple(r) for r in batch.groupBy(partition).agg(F.count("*")).collect())}
 
-def hour_filter(hours: list, column: str = "event_hour") -> Column:
-    if not hours:
-        raise ValueError("no hours")
-    return F.col(column).isin(*[h.strftime("%Y-%m-%d-%H") for h in hours])
 
+def only(partitions: Iterable[str], partition: str = HOUR) -> Column:
+    """A filter of literals on the partition column: the scan lists and reads no other partition."""
+    labels = list(partitions)
+    return F.col(partition).isin(*labels) if labels else F.lit(False)
 
-def with_hour(rows: DataFrame, column: str = "event_ts") -> DataFrame:
-    return rows.withColumn("event_hour", F.date_format(column, "yyyy-MM-dd-HH"))
 
+def laid_out(rows: DataFrame, sizes: dict[str, int], key: str, partition: str = HOUR) -> DataFrame:
+    """rows dealt so that a write makes one file for each partition, or one for every ROWS_A_FILE rows of a large one."""
+    large = {label: -(-n // ROWS_A_FILE) for label, n in sizes.items() if n > ROWS_A_FILE}
+    files = F.coalesce(F.create_map(*(F.lit(x) for pair in large.items() for x in pair))[F.col(partition)], F.lit(1)) if large else F.lit(1)
+    return rows.repartition(partition, F.pmod(F.xxhash64(key), files)) if large else rows.repartition(partition)
 
-def new_rows(rows: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """One row for each key of `rows` that the target lacks."""
-    return rows.dropDuplicates([key]).join(target.select(key), key, "left_anti")
 
+def missing(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """One row for each key that the table lacks."""
+    return rows.dropDuplicates([key]).join(table.select(key), key, "left_anti")
 
-def insert_new_rows(rows: DataFrame, path: str, key: str, stamp: Column | None = None, stamp_column: str = "processed_at") -> int:
-    """Appends rows whose key is not in the table at `path`; returns the number of distinct keys that came.
 
-    The table is partitioned by the hour of event_ts, and only the batch's hours of it are read (a literal filter on the
-    partition column). A repeated batch appends nothing.
+def append_new(rows: DataFrame, path: str, key: str, order: tuple[str, ...] | None = None, **stamps: Column) -> int:
+    """Appends the rows whose key isn't in the table by hours at `path`, with the stamps as more columns; returns how many keys came.
+
+    Of several rows with one key the first in `order` is taken, any one if that is None; an empty order says that keys are unique. Only the batch's hours of the
+    table are read, so a batch that is repeated adds nothing; a key that comes again with another hour is another row. The
+    batch is computed once; its hours are counted first, which prunes the table and sizes the files.
     """
     spark = rows.sparkSession
-    batch = with_hour(rows.dropDuplicates([key])).persist()
+    unique = rows.dropDuplicates([key]) if order is None else first_copy(rows, key, order) if order else rows
+    batch = by_hour(unique).persist()
     try:
-        hours = batch_hours(batch)
-        if not hours:
+        sizes = rows_of(batch)
+        if not sizes:
             return 0
         fresh = batch
         if table_exists(spark, path):
-            target = spark.read.option("basePath", path).parquet(path).where(hour_filter(hours))
-            fresh = batch.join(target.select(key), key, "left_anti")
-        if stamp is not None:
-            fresh = fresh.withColumn(stamp_column, stamp)
-        fresh.write.mode("append").partitionBy("event_hour").parquet(path)
-        return batch.count()
+            known = spark.read.schema(batch.select(key, HOUR).schema).parquet(path).where(only(sizes))
+            fresh = missing(batch, known, key)
+        laid_out(fresh.withColumns(stamps), sizes, key).write.mode("append").partitionBy(HOUR).parquet(path)
+        return sum(sizes.values())
     finally:
         batch.unpersist()
 
 
-def upserted(target: DataFrame, fresh: DataFrame, keys: list[str], keep_old: tuple[str, ...] = ()) -> DataFrame:
-    """The target with the fresh rows in place of those with the same keys; columns in keep_old keep the target's value."""
-    old = target.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in keep_old])
-    merged = fresh.join(old, keys, "left") if keep_old else fresh
-    for c in keep_old:
-        merged = merged.withColumn(c, F.coalesce(f"_old_{c}", c))
-    return target.join(fresh.select(*keys), keys, "left_anti").unionByName(merged.select(*target.columns))
+def corrected(table: DataFrame, fresh: DataFrame, keys: list[str], first_seen: tuple[str, ...] = ()) -> DataFrame:
+    """The table with fresh rows in place of those with the same keys; of the columns first_seen the table's own values stay."""
+    known = table.select(*keys, F.struct(*first_seen).alias("_known")) if first_seen else None
+    merged = fresh if known is None else fresh.join(known, keys, "left").withColumns({c: F.coalesce(F.col(f"_known.{c}"), F.col(c)) for c in first_seen})
+    return table.join(fresh.select(*keys), keys, "left_anti").unionByName(merged.select(*table.columns))
+
+
+def replace_partitions(rows: DataFrame, path: str, partition: str) -> None:
+    """Puts rows in place of the partitions they fall in. They may be computed from the table: they are staged in full first, in a
+    folder of this call alone, which goes afterwards."""
+    spark = rows.sparkSession
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    rows.write.parquet(staged)
+    try:
+        again = spark.read.schema(rows.schema).parquet(staged)
+        again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    finally:
+        remove(spark, staged)
 
 
-def merge_partitions(fresh: DataFrame, path: str, keys: list[str], partition: str, keep_old: tuple[str, ...] = ()) -> None:
-    """Upserts `fresh` into the table at `path`, rewriting only the partitions that fresh rows fall in."""
+def upsert(fresh: DataFrame, path: str, keys: list[str], partition: str, first_seen: tuple[str, ...] = ()) -> None:
+    """Upserts into the table at `path`; only partitions that fresh rows fall in are read and rewritten."""
     spark = fresh.sparkSession
-    if not table_exists(spark, path):
-        fresh.write.partitionBy(partition).parquet(path)
-        return
-    days = [r[0] for r in fresh.select(partition).distinct().collect()]  # one for each day or hour recomputed
-    target = spark.read.option("basePath", path).schema(fresh.schema).parquet(path).where(F.col(partition).isin(*days))
-    merged = upserted(target, fresh, keys, keep_old)
-    staged = f"{path.rstrip('/')}_staged"
-    merged.write.mode("overwrite").parquet(staged)
-    out = spark.read.schema(fresh.schema).parquet(staged)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    sizes = rows_of(fresh, partition)
+    if table_exists(spark, path):
+        table = spark.read.schema(fresh.schema).parquet(path).where(only(sizes, partition))
+        replace_partitions(laid_out(corrected(table, fresh, keys, first_seen), sizes, keys[0], partition), path, partition)
+    else:
+        laid_out(fresh, sizes, keys[0], partition).write.partitionBy(partition).parquet(path)

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 
 
+def pseudonym(user: Column, bot: Column, salt: str) -> Column:
+    """A stable name that doesn't tell whose it is: Bot- or Editor- and 10 digits of a salted hash. A temporary account gets the
+    form of one, with 128 bits of the hash as its numbers, so that no two of any number of accounts share a name."""
+    hashed = F.sha2(F.concat(F.lit(salt), user), 256)
+    number = lambda first: F.lpad(F.conv(F.substring(hashed, first, 16), 16, 10), 20, "0")
+    prefix = F.when(F.coalesce(bot, F.lit(False)), "Bot-").otherwise("Editor-")
+    return F.when(user.rlike(S.TEMPORARY_ACCOUNT), F.concat(F.lit("~2000-"), number(1), F.lit("-"), number(17))).when(user.isNotNull(), F.concat(prefix, F.substring(hashed, 1, 10)))
+
+
 def pseudonymised(rows: DataFrame, watchlist: DataFrame, salt: str) -> DataFrame:
-    """Typed rows without watched pages, with stable pseudonyms instead of names: Bot- or Editor- and 10 digits of a salted hash;
-    temporary accounts get a name of the same form from the hash, so each stays distinct. Rows in which an IP is left go."""
-    hashed = F.sha2(F.concat(F.lit(salt), F.col("user_name")), 256)
-    digits = F.lpad(F.pmod(F.xxhash64(hashed), F.lit(100000)).cast("string"), 5, "0")
-    temporary = F.concat(F.lit("~2000-"), digits, F.lit("-"), F.lpad(F.pmod(F.xxhash64(F.lit(1), hashed), F.lit(100)).cast("string"), 2, "0"))
-    prefix = F.when(F.coalesce("is_bot", F.lit(False)), "Bot-").otherwise("Editor-")
-    name = F.when(F.col("user_name").rlike(S.TEMPORARY_ACCOUNT), temporary).when(F.col("user_name").isNotNull(), F.concat(prefix, F.substring(hashed, 1, 10)))
-    out = rows.join(watchlist.select("wiki", "title"), ["wiki", "title"], "left_anti").withColumn("user_name", name)
+    """Typed rows without watched pages, with pseudonyms in place of names. Rows in which an IP is left go."""
+    out = rows.join(watchlist.select("wiki", "title"), ["wiki", "title"], "left_anti").withColumn("user_name", pseudonym(F.col("user_name"), F.col("is_bot"), salt))
     return out.where(~F.coalesce(S.contains_ip(F.col("title")), F.lit(False)) & ~F.coalesce(S.contains_ip(F.col("user_name")), F.lit(False)))
 
 

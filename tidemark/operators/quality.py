@@ -41,22 +41,23 @@ def watchlist_errors(watchlist: DataFrame) -> DataFrame:
 
 
 def rules_errors(rules: DataFrame) -> DataFrame:
-    """problem of each broken demand: R1 to R5 once each, known severities, enabled set, limits of R2 and R5, windows that
-    divide an hour."""
-    is_rule = lambda r: F.col("rule_id") == r
-    one = rules.agg(
-        (F.count("*") != 5).alias("rule missing or repeated a"),
-        (F.countDistinct(F.when(F.col("rule_id").isin(*S.RULE_IDS), F.col("rule_id"))) != 5).alias("rule missing or repeated"),
-        F.bool_or(~F.coalesce(F.col("severity").isin(*S.SEVERITIES), F.lit(False))).alias("unknown severity"),
-        F.bool_or(F.col("enabled").isNull()).alias("enabled not set"),
-        F.bool_or(is_rule("R2") & (F.col("min_removed_bytes").isNull() | F.col("min_removed_fraction").isNull())).alias("R2 without limits"),
-        F.bool_or(is_rule("R5") & (F.col("min_edits").isNull() | F.col("window_minutes").isNull())).alias("R5 without limits"),
-        F.bool_or(is_rule("R5") & ~F.coalesce((F.col("window_minutes") > 0) & (F.lit(60) % F.nullif(F.col("window_minutes"), F.lit(0)) == 0), F.lit(False))).alias("R5 window does not divide an hour"),
-    )
-    names = [c for c in one.columns if not c.endswith(" a")]
-    one = one.withColumn("rule missing or repeated", F.col("`rule missing or repeated`") | F.col("`rule missing or repeated a`"))
-    stacked = one.select(F.stack(F.lit(len(names)), *[x for c in names for x in (F.lit(c), F.coalesce(F.col(f"`{c}`"), F.lit(False)))]).alias("problem", "broken"))
-    return stacked.where("broken").select("problem")
+    """problem, found: ids of R1 to R5 that don't occur just once, and rules with an unknown id, an unknown severity, no flag, a
+    missing limit, or a window that doesn't divide an hour. No row for a good file."""
+    no = lambda c: ~F.coalesce(c, F.lit(False))
+    r2, r5 = F.col("rule_id") == "R2", F.col("rule_id") == "R5"
+    divides = (F.col("window_minutes") > 0) & (F.lit(60) % F.nullif(F.col("window_minutes"), F.lit(0)) == 0)
+    demands = {
+        "unknown rule": no(F.col("rule_id").isin(*S.RULE_IDS)),
+        "unknown severity": no(F.col("severity").isin(*S.SEVERITIES)),
+        "enabled not set": F.col("enabled").isNull(),
+        "R2 without limits": r2 & (F.col("min_removed_bytes").isNull() | F.col("min_removed_fraction").isNull()),
+        "R5 without limits": r5 & (F.col("min_edits").isNull() | F.col("window_minutes").isNull()),
+        "R5 window does not divide an hour": r5 & no(divides),
+    }
+    once = sum((F.when(F.count_if(F.col("rule_id") == r) != 1, 1).otherwise(0) for r in S.RULE_IDS), F.lit(0)).cast("long")
+    counts = {"rule missing or repeated": once} | {name: F.count_if(F.coalesce(bad, F.lit(False))) for name, bad in demands.items()}
+    one = rules.agg(*(c.alias(name) for name, c in counts.items()))
+    return one.select(F.stack(F.lit(len(counts)), *[x for c in counts for x in (F.lit(c), F.col(f"`{c}`"))]).alias("problem", "found")).where("found > 0")
 
 
 def offset_gaps(bronze: DataFrame) -> DataFrame:
@@ -117,25 +118,3 @@ def alert_link_errors(exported: DataFrame, alerts: DataFrame) -> DataFrame:
     joined = exported.where("rule_id <> 'R5'").join(own, "alert_id", "left")
     same = F.col("revision_old").eqNullSafe(F.col("o")) & F.col("revision_new").eqNullSafe(F.col("n")) & F.col("arrived_late").eqNullSafe(F.col("l"))
     return joined.where(F.col("known").isNull() | ~same).select("alert_id", "rule_id")
-
-
-#: Contract of exported alerts: field, the problem's name, and what a good value is (nulls pass unless required).
-ALERT_CONTRACT = [
-    ("alert_id", "pattern", lambda c: c.rlike("^[0-9a-f]{64}$"), True),
-    ("rule_id", "enum", lambda c: c.isin(*S.RULE_IDS), True),
-    ("severity", "enum", lambda c: c.isin(*S.SEVERITIES), True),
-    ("category", "enum", lambda c: c.isin(*S.CATEGORIES), True),
-    ("editor_type", "enum", lambda c: c.isin(*S.EDITOR_TYPES), False),
-    ("event_ts", "pattern", lambda c: c.rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ$"), True),
-    ("edits_in_window", "minimum", lambda c: c >= 1, False),
-    ("title", "required", lambda c: c.isNotNull(), True),
-    ("wiki", "required", lambda c: c.isNotNull(), True),
-]
-
-
-def contract_violations(rows: DataFrame, contract=ALERT_CONTRACT, most_rows: int = 500) -> DataFrame:
-    """field, problem, rows of every broken demand; more rows than allowed are one, too."""
-    bad = [F.count_if(F.when(F.col(f).isNull(), F.lit(required)).otherwise(~good(F.col(f)))).alias(f"{f}: {p}") for f, p, good, required in contract]
-    one = rows.agg(*bad, F.greatest(F.count("*") - most_rows, F.lit(0)).alias("rows: maxItems"))
-    stacked = one.select(F.stack(F.lit(len(one.columns)), *[x for c in one.columns for x in (F.lit(c), F.col(f"`{c}`"))]).alias("problem", "found"))
-    return stacked.where("found > 0")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,11 +16,13 @@ def severity_rank() -> Column:
 
 
 def alerts_union(alerts: DataFrame, bursts: DataFrame, rules: DataFrame) -> DataFrame:
-    """Edit alerts and burst alerts in one shape; what one kind lacks is null; alerts of unknown rules are left out."""
+    """Edit alerts and burst alerts in one shape; what one kind lacks is null; alerts of unknown rules are left out. A burst without a
+    time of detection of its own counts as detected at the end of its window."""
     names = rules.select("rule_id", "rule_name")
     a = alerts.withColumn("arrived_late", S.arrived_late(F.col("ingested_at"), F.col("event_ts")))
-    columns = ["alert_id", "rule_id", "severity", "wiki", "title", "category", "owner_team", "edit_type", "log_action", "editor_type", "byte_delta", "event_ts", "revision_old", "revision_new", "arrived_late"]
-    b = bursts.select("alert_id", "rule_id", "severity", "wiki", "title", "category", "owner_team", F.col("edits").alias("edits_in_window"), F.col("window_start").alias("event_ts"))
+    columns = ["alert_id", "rule_id", "severity", "wiki", "title", "category", "owner_team", "edit_type", "log_action", "editor_type", "byte_delta", "event_ts", "detected_at", "revision_old", "revision_new", "arrived_late"]
+    found = "detected_at" if "detected_at" in bursts.columns else "window_end"
+    b = bursts.select("alert_id", "rule_id", "severity", "wiki", "title", "category", "owner_team", F.col("edits").alias("edits_in_window"), F.col("window_start").alias("event_ts"), F.col(found).alias("detected_at"))
     return a.select(*columns).unionByName(b, allowMissingColumns=True).join(names, "rule_id")
 
 
@@ -89,7 +93,7 @@ def page_averages(watchlist: DataFrame, activity: DataFrame, hours: DataFrame) -
 
 def page_hours(activity: DataFrame, hours: DataFrame, watchlist: DataFrame) -> DataFrame:
     """Each watched title's edits in every recorded hour; hours and watched titles are capped reports of a few hundred rows."""
-    grid = hours.crossJoin(F.broadcast(watchlist.select("title").distinct().limit(100)))
+    grid = hours.crossJoin(F.broadcast(watchlist.select("title").distinct().orderBy("title").limit(100)))
     per = activity.groupBy("title", "hour").agg(F.sum("edits").alias("_e"))
     return grid.join(per, ["title", "hour"], "left").select("title", "hour", F.coalesce("_e", F.lit(0)).alias("edits"))
 
@@ -103,22 +107,58 @@ def severity_summary(union: DataFrame) -> DataFrame:
     return union.groupBy("severity").agg(F.count("*").alias("alerts"), F.max("event_ts").alias("newest"))
 
 
+#: Ranges that values are counted in, to find the few in which wanted places lie.
+RANGES = 4096
+
+
+def values_at(numbers: DataFrame, places: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """One row: n, the greatest value, and the value at each place of the sorted whole numbers v (places from 0, computed from n).
+
+    Exact, and no task takes all values: equal ones are counted where they are, then RANGES ranges, whose running sums name
+    the ranges of the wanted places; only values of those are ordered. Null values have no place.
+    """
+    counted = numbers.where("v is not null").groupBy("v").agg(F.count("*").alias("c"))
+    ends = counted.agg(F.min("v").alias("low"), F.max("v").alias("high"), F.coalesce(F.sum("c"), F.lit(0)).alias("n"))  # one row
+    width = F.floor((F.col("high") - F.col("low")) / RANGES) + 1
+    ranged = counted.crossJoin(F.broadcast(ends.select("low", width.alias("width")))).select("v", "c", F.floor((F.col("v") - F.col("low")) / F.col("width")).alias("r"))
+    sums = ranged.groupBy("r").agg(F.sum("c").alias("c"))  # at most RANGES rows, so one task orders them
+    sums = sums.withColumn("upto", F.sum("c").over(Window.orderBy("r"))).select("r", (F.col("upto") - F.col("c")).alias("below"), "upto")
+    wanted = ends.select(F.explode(F.array(*(F.struct(F.lit(name).alias("name"), place(F.col("n")).cast("long").alias("place")) for name, place in places.items()))).alias("w")).select("w.*")
+    inside = sums.join(F.broadcast(wanted), (F.col("place") >= F.col("below")) & (F.col("place") < F.col("upto")))  # a row for each place
+    near = ranged.join(F.broadcast(inside), "r").withColumn("until", F.col("below") + F.sum("c").over(Window.partitionBy("name").orderBy("v")))
+    found = near.where(F.col("until") > F.col("place")).agg(*(F.min(F.when(F.col("name") == name, F.col("v"))).alias(name) for name in places))
+    return ends.select("n", F.col("high").alias("most")).crossJoin(F.broadcast(found))  # one row each
+
+
+def _milliseconds(alerts: DataFrame) -> DataFrame:
+    return alerts.select(F.timestamp_diff("MILLISECOND", F.col("event_ts"), F.col("detected_at")).alias("v"))
+
+
+def _between(rank: float) -> dict[str, Callable[[Column], Column]]:
+    """The places on both sides of an interpolated rank."""
+    at = lambda n: F.greatest(n - 1, F.lit(0)) * F.lit(rank)
+    return {f"below_{rank}": lambda n: F.floor(at(n)), f"above_{rank}": lambda n: F.ceil(at(n))}
+
+
+def _interpolated(rank: float) -> Column:
+    """Seconds at the rank, between the milliseconds on its two sides."""
+    at = (F.col("n") - 1) * F.lit(rank)
+    low, high = F.col(f"`below_{rank}`") / 1000, F.col(f"`above_{rank}`") / 1000
+    return F.when(F.floor(at) == F.ceil(at), low).otherwise((F.ceil(at) - at) * low + (at - F.floor(at)) * high)
+
+
 def detection_latency(alerts: DataFrame) -> DataFrame:
     """samples, p50, p95 of the seconds from event to detection of alerts that arrived on time; exact percentiles, 1 digit."""
-    s = alerts.where(~S.arrived_late(F.col("ingested_at"), F.col("event_ts"))).select(S.seconds_between(F.col("event_ts"), F.col("detected_at")).alias("s"))
-    p = lambda q: F.round(F.percentile("s", q), 1)
-    return s.agg(F.count("*").alias("samples"), p(0.5).alias("p50"), p(0.95).alias("p95"))
+    on_time = alerts.where(~S.arrived_late(F.col("ingested_at"), F.col("event_ts")))
+    found = values_at(_milliseconds(on_time), _between(0.5) | _between(0.95))
+    return found.select(F.col("n").alias("samples"), *(F.round(_interpolated(q), 1).alias(name) for name, q in (("p50", 0.5), ("p95", 0.95))))
 
 
 def latency_summary(alerts: DataFrame) -> DataFrame:
     """Median, the value at place round(0.95 n) - 1 (half to even) of the sorted seconds, and the greatest, floored at 0."""
-    s = alerts.select(F.greatest(S.seconds_between(F.col("event_ts"), F.col("detected_at")), F.lit(0.0)).alias("s"))
-    counted = s.groupBy("s").agg(F.count("*").alias("n"))  # values repeat: milliseconds
-    below = F.sum("n").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, 0))
-    placed = counted.withColumn("_to", below)
-    total = s.agg(F.count("*").alias("_n"), F.median("s").alias("p50"), F.max("s").alias("max"))
-    at = F.greatest(F.bround(F.lit(0.95) * F.col("_n"), 0).cast("long") - 1, F.lit(0))
-    return placed.crossJoin(F.broadcast(total)).where(F.col("_to") > at).groupBy("p50", "max").agg(F.min("s").alias("p95"))
+    floored = _milliseconds(alerts).select(F.greatest("v", F.lit(0)).alias("v"))
+    found = values_at(floored, _between(0.5) | {"p95": lambda n: F.greatest(F.bround(F.lit(0.95) * n, 0).cast("long") - 1, F.lit(0))})
+    return found.where("n > 0").select(_interpolated(0.5).alias("p50"), (F.col("most") / 1000).alias("max"), (F.col("p95") / 1000).alias("p95"))
 
 
 def freshness(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFrame:
@@ -150,3 +190,14 @@ def late_gap(final: DataFrame, realtime: DataFrame) -> DataFrame:
 def set_difference(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Rows that only one side has: side is missing (only expected) or unexpected (only actual)."""
     return expected.exceptAll(actual).withColumn("side", F.lit("missing")).unionByName(actual.exceptAll(expected).withColumn("side", F.lit("unexpected")))
+
+
+def scenario(expected: DataFrame, found: DataFrame) -> DataFrame:
+    """Alerts (alert_id, rule_id, severity) by rule and severity: in both sets, only found (extra), only expected (missing). One set is
+    as expected if extra and missing are 0 throughout; an alert that occurs twice is extra once."""
+    side = lambda df, name: df.groupBy("alert_id", "rule_id", "severity").agg(F.count("*").alias(name))
+    rows = side(expected, "e").join(side(found, "f"), ["alert_id", "rule_id", "severity"], "full_outer").na.fill(0, ["e", "f"])
+    total = lambda c, name: F.sum(c).cast("long").alias(name)
+    return rows.groupBy("rule_id", "severity").agg(
+        total(F.least("e", "f"), "matched"), total(F.greatest(F.col("f") - F.col("e"), F.lit(0)), "extra"), total(F.greatest(F.col("e") - F.col("f"), F.lit(0)), "missing")
+    )

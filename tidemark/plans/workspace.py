@@ -11,9 +11,11 @@ _own: list[str] = []
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir, which driver and executors share; local only where that is unset."""
+    """A new folder under spark.checkpoint.dir, which driver and executors share; if that is unset, a local one in local mode only."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         if not _own:
             _own.append(tempfile.mkdtemp(prefix="tidemark-"))
         root = f"file://{_own[0]}"

@@ -2,33 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-_PAIR = T.StructType([T.StructField("old", T.LongType()), T.StructField("new", T.LongType())])
-
-#: The change event as it is parsed; unknown fields are ignored, mistyped ones read null.
-EVENT = T.StructType(
-    [
-        T.StructField("meta", T.StructType([T.StructField(f, T.StringType()) for f in ("id", "dt", "domain")])),
-        T.StructField("type", T.StringType()),
-        T.StructField("namespace", T.LongType()),
-        *[T.StructField(f, T.StringType()) for f in ("title", "wiki", "user")],
-        T.StructField("bot", T.BooleanType()),
-        T.StructField("length", _PAIR),
-        T.StructField("revision", _PAIR),
-        *[T.StructField(f, T.StringType()) for f in ("log_type", "log_action")],
-    ]
-)
-
 #: A decoded record of the stream.
 RECORD = "kafka_key string, raw string, kafka_partition int, kafka_offset bigint, ingested_at timestamp_ntz"
 WATCHLIST = "wiki string, title string, category string, owner_team string"
 RULES = "rule_id string, rule_name string, severity string, min_removed_bytes bigint, min_removed_fraction decimal(10,4), min_edits int, window_minutes int, enabled boolean"
-SILVER = (
-    "meta_id string, event_ts timestamp_ntz, ingested_at timestamp_ntz, wiki string, title string, namespace int, edit_type string, log_type string, "
-    "log_action string, user_name string, is_bot boolean, editor_type string, length_old bigint, length_new bigint, byte_delta bigint, "
-    "revision_old bigint, revision_new bigint, is_late boolean"
-)
 PROGRESS = (
     "session_id string, query string, run_id string, batch_id bigint, timestamp string, num_input_rows bigint, input_rows_per_second double, "
     "processed_rows_per_second double, trigger_ms bigint, add_batch_ms bigint, watermark string, "

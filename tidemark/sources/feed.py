@@ -69,9 +69,9 @@ def received(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main.unionByName(copies).unionByName(bad).unionByName(broken).unionByName(canary)
 
 
-def topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+def topic(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = ("base", "copy")) -> DataFrame:
     """The topic of valid events as decoded records: 6 partitions, offsets from 0 without gaps, copies after all others."""
-    rows = received(spark, sf_dir).where(F.col("kind").isin("base", "copy"))
+    rows = received(spark, sf_dir).where(F.col("kind").isin(*kinds))
     last = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("event_id").alias("_last"))
     i, p = F.col("event_id"), F.col("event_id") % 6
     rows = rows.crossJoin(F.broadcast(last))  # one row
