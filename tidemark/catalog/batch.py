@@ -667,7 +667,7 @@ def _union(run: Run) -> DataFrame:
     return reports.alerts_union(run.alerts, run.bursts, run.rules)
 
 
-_UNION = "alert_id, rule_id, rule_name, severity, wiki, title, category, owner_team, edit_type, log_action, editor_type, byte_delta, edits_in_window, event_ts, revision_old, revision_new, arrived_late"
+_UNION = "alert_id, rule_id, rule_name, severity, wiki, title, category, owner_team, edit_type, log_action, editor_type, byte_delta, edits_in_window, event_ts, detected_at, revision_old, revision_new, arrived_late"
 
 
 @query(f"SELECT {_UNION} FROM allalerts")
