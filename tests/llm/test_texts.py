@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,6 +35,68 @@ def test_language_edges(spark):
     assert language.identify(docs.limit(0), model).count() == 0
 
 
+def test_language_against_dense_kernel_ridge(spark):
+    """Predictions and scores are those of kernel ridge regression over sets of n-grams, written out plainly."""
+    text = "SELECT doc_id, substr(text, 1, 400) AS text, lang FROM {docs} WHERE text IS NOT NULL AND doc_id % 3 < 2"
+    docs = spark.sql(text, docs=spark.read.parquet(f"{SMALL}/documents.parquet")).unionByName(frame(spark, [(9001, "Привет, мир", None, None), (9002, "日本語 テキスト", None, None)]).select("doc_id", "text", "lang"))
+    rows = docs.collect()
+    symbol, letter = language._symbols()
+
+    def grams(text):
+        s = [int(symbol[ord(c)]) for c in text]
+        return {tuple(s[i : i + k]) for k in range(1, language.LONGEST + 1) for i in range(len(s) - k + 1)}
+
+    sets = [grams(r.text) for r in rows]
+    has_letter = [any(letter[ord(c)] for c in r.text) for r in rows]
+    known = [i for i, r in enumerate(rows) if r.doc_id % 3 == 0 and r.lang is not None and has_letter[i]]
+    assert 30 < len(known) < language.LANDMARKS
+    kernel = np.array([[len(a & sets[j]) / np.sqrt(max(1, len(a)) * len(sets[j])) for j in known] for a in sets])
+    names = sorted({rows[i].lang for i in known})
+    k = kernel[known]
+    y = np.array([[1.0 if rows[i].lang == x else -1.0 for x in names] for i in known])
+    weights = np.linalg.solve(k.T @ k + len(known) * (language.RIDGE * k + 1e-8 * np.eye(len(known))), k.T @ y)
+    values = kernel @ weights
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs, language.learn(docs, F.col("doc_id") % 3 == 0)).collect()}
+    for i, r in enumerate(rows):
+        want, score = (names[values[i].argmax()], float(np.clip((values[i].max() + 1) / 2, 0, 1))) if has_letter[i] else ("und", 0.0)
+        close = np.sort(values[i])[-1] - np.sort(values[i])[-2] < 1e-2
+        assert abs(got[r.doc_id][1] - score) < 2e-2 and (got[r.doc_id][0] == want or close)
+
+
+def test_language_symbols_keep_scripts_apart():
+    symbol, letter = language._symbols()
+    of = lambda text: {int(symbol[ord(c)]) for c in text}
+    scripts = ["abcxyzABC", "äöüßéñçøå", "αβγδΩ", "привет", "שלום", "سلام", "नमस्ते"[:2], "สวัส"[:2], "ひらがな", "カタカナ", "漢字語", "한국어"]
+    assert all(not of(a) & of(b) for i, a in enumerate(scripts) for b in scripts[:i]) and len(of("абвгд")) == 5
+    assert symbol.max() < 1 << language.SYMBOL_BITS and of("1 ,") == {0} and not letter[ord("1")]
+
+
+def test_quality_learning_follows_the_numeric_gradient():
+    """The weights are those of the same steps along a gradient by finite differences of the non-negative risk."""
+    dice = np.random.default_rng(3)
+    positive, unlabelled, prior = dice.normal(1, 1, (40, 3)), np.vstack([dice.normal(1, 1, (30, 3)), dice.normal(-1, 1, (50, 3))]), 0.4
+    model = quality.fit(positive.astype(np.float32), unlabelled.astype(np.float32), prior)
+    both = np.vstack([positive, unlabelled])
+    p, u = (np.clip((x - both.mean(0)) / both.std(0), -6, 6) for x in (positive, unlabelled))
+    loss = lambda x, w, sign: np.log1p(np.exp(-sign * (x @ w[:-1] + w[-1]))).mean()
+    negative = lambda w: loss(u, w, -1) - prior * loss(p, w, -1)
+    risk = lambda w: prior * loss(p, w, 1) + negative(w)
+
+    def slope(f, w, h=1e-5):
+        return np.array([(f(w + h * e) - f(w - h * e)) / (2 * h) for e in np.eye(len(w))])
+
+    w, m, v, switched = np.zeros(4), np.zeros(4), np.zeros(4), 0
+    for t in range(1, quality.EPOCHS + 1):
+        switched += negative(w) < 0
+        g = slope(risk, w) if negative(w) >= 0 else -slope(negative, w)
+        g[:-1] += quality.DECAY * w[:-1]
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w -= quality.STEP * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    assert np.abs(np.append(model.weights, model.bias) - w).max() < 2e-2
+    scores = model.score(both.astype(np.float32))
+    assert np.abs(scores - 1 / (1 + np.exp(-(np.vstack([p, u]) @ w[:-1] + w[-1])))).max() < 1e-2
+
+
 def test_quality_held_out(spark):
     got = queries.op6_quality_classifier(spark, ORACLE).join(spark.read.parquet(f"{ORACLE}/labels.parquet").select("doc_id", "quality"), "doc_id").where("held_out").collect()
     good, bad = [r.score for r in got if r.quality == 1], [r.score for r in got if r.quality == 0]
@@ -71,6 +135,49 @@ def test_rule_counts(spark):
     assert rules.apply_rules(frame(spark, rows).limit(0)).count() == 0
 
 
+def plain_verdicts(rows):
+    """Which of rows (id, lang, source, counts with lines) are kept, by sorted lists in place of sketches."""
+
+    def rank(values, q):
+        return sorted(values)[max(0, math.ceil(q * len(values)) - 1)]
+
+    def blended(found, lang, source, value, q, lean):
+        own, ofs = [value(r) for r in found if r[1:3] == (lang, source)], [value(r) for r in found if r[1] == lang]
+        if not own:
+            return None
+        toward = lambda wide, values: wide + len(values) / (len(values) + rules.PRIOR_DOCS) * (rank(values, q) - wide)
+        return toward(toward(rank([value(r) for r in found], q), ofs) if lean else rank(ofs, q), own)
+
+    count = lambda i: lambda r: r[3][i]
+    share = {"s": (lambda r: r[3][2] / max(1, r[3][0]), 1, 0), "d": (lambda r: r[3][3] / max(1, r[3][5]), 1, 5), "r": (lambda r: r[3][4] / max(1, r[3][0]), 6, 0)}
+    length = lambda r: r[3][1] / max(1, r[3][0])
+    groups = sorted({r[1:3] for r in rows}, key=str)
+    long_enough = [r for r in rows if r[3][0] >= 50]
+    limits = {}
+    for g in groups:
+        low, mid, high = (blended(long_enough, *g, length, q, False) for q in (0.25, 0.5, 0.75))
+        if low is not None:
+            spread = rules.LENGTH_SPREADS * max(min(high - mid, mid - low), rules.LEAST_LENGTH_SPREAD)
+            limits[g] = (low - spread, high + spread)
+    usual = [r for r in long_enough if 100 * r[3][4] <= 50 * r[3][0] and limits[r[1:3]][0] <= length(r) <= limits[r[1:3]][1]]
+    most = {}
+    for g in groups:
+        for name, (value, event, size) in share.items():
+            top, mid, n = blended(usual, *g, value, rules.SHARE_QUANTILE, True), blended(usual, *g, value, 0.5, True), blended(usual, *g, count(size), 0.5, True)
+            most[g, name] = None if top is None else top + rules.SHARE_SPREADS * (top - mid) + event / max(1.0, n)
+    return {r[0]: r in usual and all(most[r[1:3], name] is not None and value(r) <= most[r[1:3], name] for name, (value, *_) in share.items()) for r in rows}
+
+
+def test_rules_verdicts_match_sorted_lists(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").where("text is not null")
+    docs = docs.unionByName(docs.limit(30).selectExpr("doc_id + 100000 AS doc_id", "text", "CAST(NULL AS string) AS lang", "source", "n_chars"))
+    rows = [(r.doc_id, r.lang, r.source, (*expected_counts(r.text), sum(bool(words(x)) for x in r.text.split("\n")))) for r in docs.collect()]
+    assert len(rows) < rules.SKETCH_K and len({r[1:3] for r in rows}) > 20  # few enough for sketches to be exact
+    got = {r.doc_id: r.kept for r in rules.apply_rules(docs).select("doc_id", "kept").collect()}
+    want = plain_verdicts(rows)
+    assert got == want and 0 < sum(want.values()) < len(want)
+
+
 def test_rules_keep_clean_and_drop_junk(spark):
     got = queries.op10_adaptive_rules(spark, ORACLE).join(spark.read.parquet(f"{ORACLE}/labels.parquet"), "doc_id").where("not base_failed")
     kept = dict(got.groupBy("quality").agg(F.avg(F.col("kept").cast("int"))).collect())
