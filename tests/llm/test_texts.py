@@ -263,6 +263,7 @@ def brute_components(rows):
 def test_jaccard_components(spark, monkeypatch, far):
     monkeypatch.setattr(jaccard, "FREQUENT_DOCS", 8)
     monkeypatch.setattr(jaccard, "BLOCK_DOCS", 20)
+    monkeypatch.setattr(jaccard, "RANGE_BYTES", 64)  # more ranges than map parts
     dice = random.Random(4 + far)
     voc = ["".join(dice.choice("abcdefgh") for _ in range(3)) for _ in range(300)]
     doc = lambda n: [dice.choice(voc) for _ in range(n)]

@@ -21,6 +21,8 @@ LEAST_FOR_PAIRS = 16
 #: Bits of each map of token classes (2 to 4 for each token), and of document maps, at most: their size is bounded. A fuller map only
 #: makes tokens look more frequent, or documents more interesting, for all documents alike: it costs time, never a link.
 MOST_CLASS_BITS, MOST_DOC_BITS = 27, 27
+#: Bytes of token hashes that a task counts at a time, about; map parts that come back (as a power of two).
+RANGE_BYTES, _MAP_PARTS = 2 << 20, 8
 #: Buckets up to this size list all their pairs at once; larger ones first link to leaders, then what is still apart meets.
 SMALL_BUCKET = 8
 _BLOCK_BITS = 18
@@ -91,10 +93,13 @@ def _class_maps(docs: DataFrame, wanted: np.ndarray, bits: int, tokens: int) ->
     """Maps of the tokens that 2 documents have, and of those that FREQUENT_DOCS have, by their upper bits.
 
     Each distinct set counts once (nearly). Tokens go to the task of their range as 32-bit rests, each at most
-    FREQUENT_DOCS times from a batch; a task counts the documents of its tokens. The maps' size is fixed.
+    FREQUENT_DOCS times from a batch; a task counts the documents of its tokens. Ranges are so many that each takes about
+    RANGE_BYTES, however many tokens there are; the bits of neighbours are put together before they come back, in
+    2^_MAP_PARTS parts. The maps' size is fixed.
     """
-    spread = int(np.clip(np.ceil(np.log2(max(1, tokens * 4 / (2 << 20)))), 3, 14))
     class_bits = int(np.clip(int(tokens * 2).bit_length(), 18, MOST_CLASS_BITS))
+    spread = int(np.clip(np.ceil(np.log2(max(1, tokens * 4 / RANGE_BYTES))), 3, class_bits - 3))
+    together = max(0, spread - _MAP_PARTS)
 
     def deal(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
         every = np.concatenate(sets)
@@ -104,8 +109,9 @@ def _class_maps(docs: DataFrame, wanted: np.ndarray, bits: int, tokens: int) ->
         counts = np.diff(np.concatenate([[-1], at]))
         every = np.repeat(every[at], np.minimum(counts, FREQUENT_DOCS))
         rest = ((every >> _U(32 - spread)) & _U(0xFFFFFFFF)).astype(np.uint32)
-        cuts = np.searchsorted(every >> _U(64 - spread), np.arange((1 << spread) + 1, dtype=_U))
-        parts = [(b, rest[cuts[b] : cuts[b + 1]].tobytes()) for b in range(1 << spread) if cuts[b + 1] > cuts[b]]
+        ranges = (every >> _U(64 - spread)).astype(np.int64)
+        cuts = np.concatenate([[0], np.flatnonzero(ranges[1:] != ranges[:-1]) + 1, [len(ranges)]]).tolist()
+        parts = [(int(ranges[a]), rest[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         return pa.RecordBatch.from_arrays([pa.array([p[0] for p in parts], pa.int32()), pa.array([p[1] for p in parts], pa.binary())], names=["range", "rests"])
 
     def count(key, table):
@@ -120,11 +126,24 @@ def _class_maps(docs: DataFrame, wanted: np.ndarray, bits: int, tokens: int) ->
             found[name] = pa.array([np.packbits(own).tobytes()], pa.binary())
         return pa.table(found)
 
-    maps = [np.zeros((1 << class_bits) // 8, np.uint8) for _ in range(2)]
     width = 1 << (class_bits - spread - 3)
-    for at, *data in _over_sets(docs, wanted, bits, deal, "range int, rests binary").groupBy("range").applyInArrow(count, "range int, shared binary, frequent binary").collect():
+
+    def join(key, table):
+        found = {"range": pa.array([key[0].as_py()], pa.int32())}
+        first = key[0].as_py() << together
+        for name in ("shared", "frequent"):
+            own = np.zeros(width << together, np.uint8)
+            for at, data in zip(table.column("range").to_pylist(), table.column(name), strict=True):
+                own[(at - first) * width : (at - first + 1) * width] = np.frombuffer(data.as_buffer(), np.uint8)
+            found[name] = pa.array([own.tobytes()], pa.binary())
+        return pa.table(found)
+
+    maps = [np.zeros((1 << class_bits) // 8, np.uint8) for _ in range(2)]
+    schema = "range int, shared binary, frequent binary"
+    counted = _over_sets(docs, wanted, bits, deal, "range int, rests binary").groupBy("range").applyInArrow(count, schema)
+    for at, *data in counted.groupBy(F.shiftright("range", together).alias("part")).applyInArrow(join, schema).collect():
         for m, d in zip(maps, data, strict=True):
-            m[at * width : (at + 1) * width] = np.frombuffer(d, np.uint8)
+            m[at * (width << together) : (at + 1) * (width << together)] = np.frombuffer(d, np.uint8)
     return maps[0], maps[1]
 
 
