@@ -134,11 +134,14 @@ def src_snapshot_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT meta_id, wiki, title, edit_type, editor_type FROM silver")
 def sink_insert_only_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three batches by insert-only merge: the middle ones overlap, and one comes twice."""
+    """Three batches of a stream, each of some days, by insert-only merge: the second overlaps the first, and comes twice."""
     run, path = Run(spark, sf_dir), folder(spark, "merge")
     rows = layers.to_silver(run.topic)
-    number = F.substring("meta_id", 4, 20).cast("long")
-    for part in (number % 3 <= 1, number % 3 >= 1, number % 3 >= 1):
+    first, last = feed.base_events(spark, sf_dir).agg(F.min("event_ts"), F.max("event_ts")).first()
+    if first is None:
+        return rows.select("meta_id", "wiki", "title", "edit_type", "editor_type")
+    at = lambda share: F.col("event_ts") >= F.lit(first + (last - first) * share)
+    for part in (~at(0.6), at(0.4), at(0.4)):
         merge.append_new(rows.where(part), path, "meta_id")
     return spark.read.parquet(path).select("meta_id", "wiki", "title", "edit_type", "editor_type")
 
