@@ -5,7 +5,8 @@ Format of a token table (a folder written by Spark, one file for each range of d
   documents: their ids, lengths, and one payload of little-endian 32-bit words. Token i belongs to lane i mod lanes; all
   lanes share the payload and one static frequency table, kept beside the blocks with total 2^SCALE_BITS. `checkpoints`
   holds the lanes' states and the place in the payload every CHECKPOINT_STEPS steps, so that parts of a block can be decoded
-  in parallel; `payload_crc32` and `ids_crc32` guard the payload and the decoded ids.
+  in parallel; `payload_crc32` and `ids_crc32` guard the payload and the decoded ids. A document is never split, so a block holds
+  at most BLOCK_TOKENS ids and one document more; a text is one value of a row, which Spark bounds at 2 GB.
 """
 
 from __future__ import annotations
