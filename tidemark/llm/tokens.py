@@ -13,7 +13,7 @@ import pyarrow as pa
 
 #: Distinct words that a worker keeps for a tokenizer, and as many parts of words; beyond that it starts over, so memory stays
 #: bounded (about 200 bytes each).
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
 CHUNK_ROWS = 512
 CHUNK_CHARS = 500_000
 #: New parts of words that go to the library as one text, with a mark between them that is a token of its own there.
