@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches, saved
-from tidemark.llm.tokens import tokenizer
+from tidemark.llm.tokens import release, tokenizer
 
 #: Items that one task packs at a time; bins with at most this many free places are final at once.
 BLOCK_ITEMS = 20_000
@@ -88,6 +88,7 @@ def pack(items: DataFrame, capacity: int = 4096) -> DataFrame:
     order = [c for c in kept if c != "length"]
 
     def first(key, pdf):
+        release()
         pdf = pdf.sort_values(["length", *order], ascending=[False] + [True] * len(order), ignore_index=True, kind="stable")
         at, offset = best_fit(pdf["length"].to_numpy(), capacity)
         fill = np.bincount(at, weights=pdf["length"].to_numpy()).astype(np.int64)

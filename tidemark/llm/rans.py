@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches, saved
-from tidemark.llm.tokens import tokenizer
+from tidemark.llm.tokens import release, tokenizer
 
 SCALE_BITS = 22
 LANES = 1024
@@ -165,6 +165,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, vocabulary: int) -> tu
     shared = docs.sparkSession.sparkContext.broadcast(table)  # one number for each id of the vocabulary
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         coder, no, done, file_no = Coder(shared.value), 0, 0, -1
         held: list[np.ndarray] = []
         keys: list = []
@@ -223,6 +224,7 @@ def read_tokens(blocks: DataFrame, table: DataFrame, vocabulary: int, id_type: s
     arrow_id = spark.createDataFrame([], f"doc_id {id_type}").toArrow().schema.field(0).type
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         coder = Coder(shared.value)
         for batch in batches:
             for i in range(batch.num_rows):

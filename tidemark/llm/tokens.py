@@ -31,6 +31,11 @@ def tokenizer(path: str, kind: str) -> WordTokenizer:
     return _made[path, kind]
 
 
+def release() -> None:
+    """Frees the worker's tokenizers and their words: for tasks that come after all texts are encoded."""
+    _made.clear()
+
+
 class _Column:
     """An array that grows at its end; doubling keeps the copies few."""
 
