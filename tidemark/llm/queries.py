@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import language, quality
-from tidemark.llm.common import documents, key_crc32
+from tidemark.llm.common import bounded_batches, documents, key_crc32
+from tidemark.llm.conversations import repair_conversations
 from tidemark.llm.jaccard import near_duplicates
 from tidemark.llm.lines import DIGEST_SQL, line_dedup_digest
+from tidemark.llm.merkle import manifest
 from tidemark.llm.mixing import mix_documents
+from tidemark.llm.neighbours import near_vectors
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.rans import token_digest
 from tidemark.llm.rules import apply_rules
@@ -71,11 +74,24 @@ def op10_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(documents(spark, sf_dir))
 
 
+def op11_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(documents(spark, sf_dir))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return repair_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_line_dedup, op3_feistel_sharding, op4_jaccard_join, op5_cube_mixing, op6_quality_classifier, op7_rans_tokens, op8_norm_bucket_topk,
-        op9_residual_packing, op10_adaptive_rules,
+        op9_residual_packing, op10_adaptive_rules, op11_collision_counting, op12_merkle_manifest, op13_conversation_repair,
     )
 }
 
