@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+import os
 import random
+import tempfile
+import uuid
 from collections import Counter, defaultdict
 from zlib import crc32
 
@@ -63,6 +66,33 @@ def expected_targets(rows):
     return size, target
 
 
+def test_mixing_spreads_hot_rows(spark, monkeypatch):
+    """Equal rows, with and without columns of their own, are dealt over blocks; none is above a few BLOCK_ROWS."""
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 100)
+    sizes, fly = [], mixing._flight_of_block
+    folder = tempfile.mkdtemp(prefix="tidemark-test-")
+
+    def recorded(*args):
+        inner = fly(*args)
+
+        def run(key, pdf):
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                f.write(str(len(pdf)))
+            return inner(key, pdf)
+
+        return run
+
+    monkeypatch.setattr(mixing, "_flight_of_block", recorded)
+    docs = frame(spark, [(1, "one two three", "en", "a")] * 3000 + [(2, "one two", "en", "b")] * 300)
+    for given, keep in ((docs, ()), (docs.withColumn("row", F.monotonically_increasing_id()), ("row",))):
+        got = mixing.mix_documents(given, keep=keep)
+        assert got.count() == 3300
+        for r in got.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect():
+            assert abs(r.taken - r.target) <= 3
+    sizes = [int(open(f"{folder}/{x}").read()) for x in os.listdir(folder)]
+    assert max(sizes) < 200
+
+
 def test_mixing(spark):
     rows = ROWS + [(500 + i, "w " * 50, "en", "large") for i in range(40)]
     docs = frame(spark, rows).withColumn("taken", F.lit("clash"))

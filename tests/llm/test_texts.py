@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import duckdb
@@ -139,7 +140,8 @@ def plain_verdicts(rows):
     """Which of rows (id, lang, source, counts with lines) are kept, by sorted lists in place of sketches."""
 
     def rank(values, q):
-        return sorted(values)[max(0, math.ceil(q * len(values)) - 1)]
+        own = sorted(values)[max(0, math.ceil(q * len(values)) - 1)]
+        return rules.BIN_RATIO ** (math.floor(math.log(own) / math.log(rules.BIN_RATIO)) + 0.5) if own > 0 else 0.0
 
     def blended(found, lang, source, value, q, lean):
         own, ofs = [value(r) for r in found if r[1:3] == (lang, source)], [value(r) for r in found if r[1] == lang]
@@ -172,12 +174,85 @@ def test_rules_verdicts_match_sorted_lists(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").where("text is not null")
     docs = docs.unionByName(docs.limit(30).selectExpr("doc_id + 100000 AS doc_id", "text", "CAST(NULL AS string) AS lang", "source", "n_chars"))
     rows = [(r.doc_id, r.lang, r.source, (*expected_counts(r.text), sum(bool(words(x)) for x in r.text.split("\n")))) for r in docs.collect()]
-    assert len(rows) < rules.SKETCH_K and len({r[1:3] for r in rows}) > 20  # few enough for sketches to be exact
+    assert len({r[1:3] for r in rows}) > 20
     got = {r.doc_id: r.kept for r in rules.apply_rules(docs).select("doc_id", "kept").collect()}
     want = plain_verdicts(rows)
     assert got == want and 0 < sum(want.values()) < len(want)
 
 
+def test_rule_sketches_are_exact_counts(spark):
+    """Quantiles of many values are within half a bin of those of sorted lists, and the same in any order and partitioning."""
+    dice = np.random.default_rng(8)
+    values = np.concatenate([dice.lognormal(0, 2, 30_000), np.zeros(5_000), dice.random(5_000) * 1e-6])
+    rows = spark.createDataFrame([("en" if i % 3 else None, f"s{i % 2}", float(v)) for i, v in enumerate(values)], "lang string, source string, x double")
+    ranks = (0.05, 0.25, 0.5, 0.95, 1.0)
+    found = [sorted(map(repr, rules._group_quantiles(r, {"x": ranks}).collect())) for r in (rows, rows.repartition(7), rows.orderBy("x").coalesce(2))]
+    assert found[0] == found[1] == found[2]
+    every = rules._quantiles(rules._sketches(rows, ["x"]).withColumn("a", F.lit(0)), ["a"], {"x": ranks}, "all").first()
+    for i, q in enumerate(ranks):
+        exact = float(np.sort(values)[math.ceil(q * len(values)) - 1])
+        assert abs(every[f"x_{i}_all"] - exact) <= 0.0026 * exact
+    assert every.docs_all == len(values)
+
+
+def test_rules_agree_over_runs(spark):
+    docs = spark.read.parquet(f"{ORACLE}/documents.parquet")
+    one, two = (sorted(map(tuple, rules.apply_rules(d).collect())) for d in (docs, docs.repartition(5, "text")))
+    assert one == two
+
+
+def test_language_is_not_lost_behind_repeated_ids(spark):
+    """8,000 English rows share one doc_id; a third of all rows are one row."""
+    english, french = "the house stands in the garden and".split(), "la maison est dans le jardin et".split()
+    dice = random.Random(2)
+    some = lambda voc: " ".join(dice.choice(voc) for _ in range(8))
+    rows = [(1, some(english), "en", "s") for _ in range(4000)] + [(1, "the house and the garden", "en", "s")] * 4000 + [(i % 3, some(french), "fr", "s") for i in range(300)] + [(None, some(french), "xx", "s")] * 20
+    docs = frame(spark, rows)
+    model = language.learn(docs, F.col("doc_id").isNotNull())
+    assert model.languages == ["en", "fr"]
+    got = language.identify(frame(spark, [(i, some(voc), None, None) for i, voc in enumerate([english, french] * 50)]), model).collect()
+    assert [r.lang_pred for r in sorted(got, key=lambda r: r.doc_id)] == ["en", "fr"] * 50
+
+
+def test_language_sets_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_CODES", 200)
+    rows = [(i, t, lang, "s") for i, (t, lang) in enumerate([("the house and the garden", "en"), ("das haus und der garten", "de")] * 50)]
+    model = language.learn(frame(spark, rows), F.lit(True))
+    assert model.languages == ["de", "en"] and len(model.landmarks) < 10
+
+
+def test_quality_sample_has_all_strata(spark, monkeypatch):
+    """A rare language keeps its part in the unlabelled risk, and weighs as much as it has rows; repeated rows count once."""
+    seen = {}
+    monkeypatch.setattr(quality, "UNLABELLED", 200)
+    monkeypatch.setattr(quality, "fit", lambda p, u, prior, weight=None: seen.update(p=p, u=u, weight=weight))
+    rows = [(7, f"word number {i} of many", "en", "s") for i in range(4000)] + [(9, "one row", "en", "s")] * 2000 + [(100 + i, f"ein wort {i} " * 9, "de", "s") for i in range(5)]
+    quality.learn(frame(spark, rows), spark.createDataFrame([(100, 1, 0), (7, 0, 0)], "doc_id long, quality int, toxic int"), F.lit(True))
+    assert len(seen["p"]) == 1 and 200 <= len(seen["u"]) <= 200 + 3 * quality.LEAST
+    assert abs(seen["weight"].sum() - 4006) < 1e-6 and (seen["weight"] == 1).sum() >= 6
+
+
+def test_quality_learns_the_same_from_weights():
+    """A row that stands for three gives the model of three such rows."""
+    dice = np.random.default_rng(4)
+    positive, unlabelled = dice.normal(1, 1, (40, 3)).astype(np.float32), dice.normal(0, 1, (60, 3)).astype(np.float32)
+    stands = dice.integers(1, 4, 60)
+    one, many = quality.fit(positive, unlabelled, 0.3, stands.astype(float)), quality.fit(positive, np.repeat(unlabelled, stands, 0), 0.3)
+    # the scaling weighs positives by the rows that are drawn, so it is near but not the same
+    assert np.abs(one.score(unlabelled) - many.score(unlabelled)).max() < 0.1
+
+
+def test_lines_of_a_very_long_text(spark):
+    """Linear in the lines: 150,000 that go, and what stands between them stays in order."""
+    n = 200_000
+    text = "\n".join("same line" if i % 4 else f"own {i}" for i in range(n))
+    rows = [(i, "same line\nother", "en", f"s{i}") for i in range(6)] + [(50, text, "en", "s1")]
+    began = time.time()
+    got = {r.doc_id: r for r in lines.remove_lines(frame(spark, rows)).collect()}
+    assert got[50].text == "\n".join(f"own {i}" for i in range(0, n, 4)) and got[50].lines_removed == n - n // 4 and got[50].lines_left == n // 4
+    assert time.time() - began < 60
+
+
 def test_rules_keep_clean_and_drop_junk(spark):
     got = queries.op10_adaptive_rules(spark, ORACLE).join(spark.read.parquet(f"{ORACLE}/labels.parquet"), "doc_id").where("not base_failed")
     kept = dict(got.groupBy("quality").agg(F.avg(F.col("kept").cast("int"))).collect())

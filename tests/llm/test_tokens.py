@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import unicodedata
 from zlib import crc32
 
 import numpy as np
@@ -34,6 +35,18 @@ def test_cached_words_give_the_librarys_ids(name, kind, monkeypatch):
     assert [x.tolist() for x in own.encode(pa.array(texts))] == [want(t) for t in texts]
 
 
+@pytest.mark.parametrize(("name", "kind"), [("byte_bpe_50k.json", "bytes"), ("word_bpe_49k.json", "words")])
+def test_every_code_point_gives_the_librarys_ids(name, kind):
+    """All assigned code points between letters, beside punctuation and beside spaces."""
+    want = Tokenizer.from_file(tokenizer_file(name))
+    own = tokens.WordTokenizer(tokenizer_file(name), kind)
+    points = [chr(c) for c in range(1, 0x110000) if unicodedata.category(chr(c)) not in ("Cn", "Co", "Cs")]
+    for i in range(0, len(points), 20_000):
+        texts = [f"a{c}, {c}. x{c}y -{c}{c}" for c in points[i : i + 20_000]]
+        found = [x.ids for x in want.encode_batch_fast(texts, add_special_tokens=False)]
+        assert all(x.tolist() == y for x, y in zip(own.encode(pa.array(texts)), found, strict=True))
+
+
 def test_coder_round_trip():
     dice = np.random.default_rng(0)
     ids = np.minimum(dice.zipf(1.3, 300_000), 50_000).astype(np.uint32)

@@ -93,13 +93,16 @@ class Repair:
 
     @staticmethod
     def _with_inserts(found: dict) -> dict:
-        """What two inserts at most add (a third leads back to a state)."""
+        """What two inserts at most add (a third leads back to a state), without what can't win any more.
+
+        After an assistant all goes on as from nothing or after a system row, but that a later system row has to be deleted.
+        """
         for _ in range(2):
             for state, (cost, node, letters) in list(found.items()):
                 for to in _NEXT[state]:
                     if to != "s":
                         _offer(found, to, (cost + INSERT, node, letters + "I"))
-        return found
+        return {state: path for state, path in found.items() if path[0] <= found["a"][0] + {"0": DELETE, "s": 0}.get(state, INSERT)}
 
     def row(self, initial: str, must_go: bool, truncated: bool) -> None:
         """Takes the next row: its role's initial, whether it has to be deleted, and whether its text is cut off."""

@@ -11,11 +11,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_chunks
+from tidemark.llm.common import saved, text_chunks
 
 #: Symbols: 0 for what is no letter, 1 to 26 for a to z; each script has some of its own, which its letters share by code point.
 SYMBOL_BITS = 7
-#: (first code point, code point after the last, number of symbols); all other letters share the last symbols.
+#: (first code point, code point after the last, number of symbols); all other letters share the last symbols. Scripts of 2 to 4
+#: symbols are told from others, but languages that share one of them hardly from each other.
 SCRIPTS = (
     (0x00C0, 0x0250, 30), (0x0370, 0x0400, 8), (0x0400, 0x0530, 32), (0x0590, 0x0600, 6), (0x0600, 0x0780, 8), (0x0900, 0x0E00, 4), (0x0E00, 0x0F00, 2), (0x3040, 0x30A0, 2), (0x30A0, 0x3100, 2),
     (0x3400, 0xA000, 2), (0xAC00, 0xD7B0, 2),
@@ -27,6 +28,8 @@ _BASE = np.cumsum([0, *(1 << (SYMBOL_BITS * k) for k in range(1, LONGEST + 1))])
 N_CODES = int(_BASE[-1])
 #: Labelled documents that are learned from, of each language and at most; landmarks among them.
 PER_LANGUAGE, MOST_LEARNED, LANDMARKS = 400, 4000, 256
+#: Numbers of all their sets together, at most: what comes to the driver is 200 MB at most, or one set.
+MOST_CODES = 50_000_000
 RIDGE = 1e-3
 UNDETERMINED = "und"
 
@@ -104,35 +107,48 @@ def fit(grams: list[np.ndarray], labels: list[str]) -> LanguageModel | None:
 
 
 def learn(docs: DataFrame, learned: Column, per_language: int = PER_LANGUAGE) -> LanguageModel | None:
-    """A model from the texts and languages of rows where `learned` holds: at most per_language rows of each language, those
-    with the smallest hash of doc_id, and MOST_LEARNED in all (a bounded sample, whole texts). None if there is no such row.
-
-    A first pass counts the languages; only rows whose hash is among about the first 2 * per_language + 50 of their
-    language are ranked, so a language of any size costs its task no more than that. Rows of one doc_id are taken together.
+    """A model from the texts and languages of rows where `learned` holds: at most per_language distinct rows (doc_id, language and
+    text) of each language, those with the smallest hash, and MOST_LEARNED in all, MOST_CODES numbers in all (a bounded
+    sample of labelled rows, whole texts; languages take turns). None if there is no such row.
+
+    Repeated rows count once and rows that share a doc_id count each, so a language never vanishes behind the ids of another. A row of
+    which `learned` is null, as with a null doc_id, is not learned from. A first pass counts the languages' distinct rows;
+    only rows whose hash is among about the first 2 * per_language + 50 of their language are ranked, so a language of any
+    size costs its task no more than that.
     """
-    rows = docs.where(learned & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.col("lang").alias("_lang"), F.xxhash64("doc_id").alias("_hash"))
-    counts = rows.groupBy(F.col("_lang").alias("_l")).agg(F.count("*").alias("_n"))
+    rows = docs.where(learned & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", F.col("lang").alias("_lang"), F.xxhash64("doc_id", "lang", "text").alias("_hash"))
+    every = saved(rows.select("_lang", "_hash").distinct(), "language-rows")
+    counts = every.groupBy(F.col("_lang").alias("_l")).agg(F.count("*").alias("_n"))
     few = F.pmod("_hash", F.lit(1 << 30)) * F.col("_n") < float(2 * per_language + 50) * (1 << 30)
-    rank = F.row_number().over(Window.partitionBy("_lang").orderBy(F.pmod("_hash", F.lit(1 << 30)), "doc_id"))
-    ranked = rows.join(counts, F.col("_lang") == F.col("_l")).where(few).withColumn("_rank", rank).where(F.col("_rank") <= per_language)
-    chosen = ranked.orderBy("_rank", "_lang").limit(MOST_LEARNED).select(F.col("doc_id").alias("_id")).distinct()
+    rank = F.row_number().over(Window.partitionBy("_lang").orderBy(F.pmod("_hash", F.lit(1 << 30)), "_hash"))
+    ranked = every.join(counts, F.col("_lang") == F.col("_l")).where(few).withColumn("_rank", rank).where(F.col("_rank") <= per_language)
+    chosen = saved(ranked.orderBy("_rank", "_lang").limit(MOST_LEARNED).select(F.col("_hash").alias("_h"), "_rank"), "language-chosen")
 
     def grams(batches):
         for batch in batches:
             sets, kept, at = [], [], 0
-            for _, _, data, offsets in text_chunks(batch.column(1)):
+            for _, _, data, offsets in text_chunks(batch.column(0)):
                 for codes, has_letter in ngram_codes(data, offsets):
                     if has_letter:
                         sets.append(np.unique(codes).astype("<i4").tobytes())
                         kept.append(at)
                     at += 1
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(kept, pa.int64())), batch.column(2).take(pa.array(kept, pa.int64())), pa.array(sets, pa.binary())], names=["lang", "doc_id", "grams"])
-
-    # at most MOST_LEARNED ids are broadcast, and as many sets of at most N_CODES numbers come back
-    sample = docs.where(learned & F.col("lang").isNotNull()).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"), "left_semi")
-    found = sample.select("lang", "text", "doc_id").mapInArrow(grams, f"lang string, doc_id {docs.schema['doc_id'].dataType.simpleString()}, grams binary")
-    found = sorted(((r[0], r[1], r[2]) for r in found.orderBy(F.xxhash64("doc_id")).limit(MOST_LEARNED).collect()), key=lambda r: (str(r[1]), r[0], r[2]))
-    return fit([np.frombuffer(r[2], "<i4") for r in found], [r[0] for r in found])
+            take = pa.array(kept, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(take) for i in (1, 2, 3)), pa.array(sets, pa.binary())], names=["lang", "rank", "hash", "grams"])
+
+    # at most MOST_LEARNED hashes are broadcast; a repeated row is made one where it is, before its text moves
+    sample = rows.join(F.broadcast(chosen), F.col("_hash") == F.col("_h")).groupBy("_hash").agg(F.first("text").alias("text"), F.first("_lang").alias("lang"), F.first("_rank").alias("rank"))
+    found = saved(sample.select("text", "lang", "rank", "_hash").mapInArrow(grams, "lang string, rank int, hash long, grams binary"), "language-grams")
+    sizes = sorted((r[0], r[1], r[2], r[3]) for r in found.select("rank", "lang", "hash", F.length("grams")).collect())
+    total, kept = 0, []
+    for *_, row, size in sizes:
+        total += size // 4
+        if kept and total > MOST_CODES:
+            break
+        kept.append(row)
+    back = found.join(F.broadcast(docs.sparkSession.createDataFrame([(h,) for h in kept], "_h long")), F.col("hash") == F.col("_h"), "left_semi")
+    back = sorted(tuple(r) for r in back.select("lang", "hash", "grams").collect())
+    return fit([np.frombuffer(r[2], "<i4") for r in back], [r[0] for r in back])
 
 
 def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text") -> DataFrame:

@@ -126,8 +126,9 @@ def _flight_of_block(last: bool, base: int):
     return fly
 
 
-def cube_sample(units: DataFrame, seed: int = 1) -> DataFrame:
-    """units(source, doc_id, size, p, ...) with `taken01`, 0 or 1: a sample balanced on both totals of each source.
+def cube_sample(units: DataFrame, seed: int = 1, spread: tuple[str, ...] = ()) -> DataFrame:
+    """units(source, doc_id, size, p, ...) with `taken01`, 0 or 1: a sample balanced on both totals of each source. `spread` are
+    columns that tell units apart that are equal in doc_id and size.
 
     Blocks of a source (by the hash of doc_id, size and number among equals, so that reruns agree) fly alone and leave HELD + 2 open units each at most; the open
     units of many blocks meet and fly again, until one block of each source is left, and its last units land. Each
@@ -137,9 +138,14 @@ def cube_sample(units: DataFrame, seed: int = 1) -> DataFrame:
     schema = units.select(*columns, F.lit(0.0).alias("p"), F.lit(0).cast("long").alias("_cube_block")).schema
     rows = units.count()
     blocks = max(1, -(-rows // BLOCK_ROWS))
-    # equal units, which are interchangeable, are told apart by their number, so that a hot one spreads
-    copies = units.groupBy(*columns, "p").agg(F.count("*").alias("_cube_copies")).withColumn("_cube_copy", F.explode(F.sequence(F.lit(1), F.col("_cube_copies"))))
-    open_ = copies.select(*columns, "p", F.pmod(F.xxhash64("doc_id", "size", "_cube_copy"), F.lit(blocks)).alias("_cube_block"))
+    # equal units, which are interchangeable, are told apart by their number, so that a hot one spreads; numbers come in runs, which
+    # are dealt out before they are made one by one
+    copies = units.groupBy(*columns, "p").agg(F.count("*").alias("_cube_copies")).withColumn("_cube_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_cube_copies") - 1) / BLOCK_ROWS))))
+    parts = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copies = copies.repartition(parts, F.xxhash64(*columns, "_cube_run"))
+    last_one = F.least(F.col("_cube_copies"), (F.col("_cube_run") + 1) * BLOCK_ROWS)
+    copies = copies.withColumn("_cube_copy", F.explode(F.sequence(F.col("_cube_run") * BLOCK_ROWS + 1, last_one)))
+    open_ = copies.select(*columns, "p", F.pmod(F.xxhash64("doc_id", "size", *spread, "_cube_copy"), F.lit(blocks)).alias("_cube_block"))
     done = None
     while True:
         last = blocks == 1
@@ -161,7 +167,8 @@ def mix_documents(docs: DataFrame, seed: int = 1, keep: tuple[str, ...] = ()) ->
     inclusion probability for the cube method. So each source's taken words differ from its target by a part of one
     document at most, and reruns agree. Null texts and texts without words have size 0; null doc_ids are documents as any
     others; an empty table gives an empty table; repeated rows are units of their own, and a row that makes up a large
-    part of the table spreads over all blocks. Only numbers are shuffled, and the columns `keep`, which come along.
+    part of the table spreads over all blocks. Only numbers are shuffled, and the columns `keep`, which come along and tell rows
+    apart: rows of one doc_id and size go to blocks by them.
     """
     sizes = saved(docs.select("doc_id", *keep, "source", word_count(F.col("text")).alias("size")), "mix-sizes")
     targets = saved(source_targets(sizes), "mix-targets")
@@ -169,6 +176,6 @@ def mix_documents(docs: DataFrame, seed: int = 1, keep: tuple[str, ...] = ()) ->
     units = sizes.alias("d").join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source"))).select("d.doc_id", *(f"d.{c}" for c in keep), "d.source", "d.size", "t.source_size", "t.target")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     units = units.withColumn("whole", F.floor(rate + EPS).cast("long")).withColumn("p", F.greatest(F.lit(0.0), rate - F.col("whole")))
-    sampled = cube_sample(units, seed)
+    sampled = cube_sample(units, seed, keep)
     copies = F.col("whole") + F.col("taken01")
     return sampled.select("doc_id", *keep, "source", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"))

@@ -6,14 +6,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_chunks
+from tidemark.llm.common import saved, text_chunks
 from tidemark.llm.rules import text_metrics
 
-#: Trusted positives and unlabelled texts that are learned from, at most (those with the smallest hash of doc_id).
-POSITIVES, UNLABELLED = 4000, 8000
+#: Trusted positives that are learned from, at most.
+POSITIVES = 4000
+#: Unlabelled texts are drawn by strata of language (in so many groups by hash) and length (powers of 4): so many in proportion, but of
+#: each stratum LEAST or all it has. They weigh as many as they stand for, so the unlabelled risk is an unbiased one over
+#: all rows, and no language or length is without a part in it.
+UNLABELLED, LANGUAGE_GROUPS, LEAST = 8000, 64, 32
 EPOCHS, STEP, DECAY = 300, 0.03, 1e-4
 
 # byte classes: other, lower case, upper case, digit, space, line feed, end of a clause, other ASCII punctuation, bytes over 127
@@ -52,27 +56,29 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> QualityModel:
-    """Minimises prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)) with the logistic loss, by Adam over all rows.
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, weight: np.ndarray | None = None) -> QualityModel:
+    """weight: rows that each unlabelled one stands for. Minimises prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)) with the logistic loss, by Adam over all rows.
 
     Where the second part falls below 0, which only over-fitting can do, its own gradient is climbed instead. With the
     logistic loss the score estimates the probability of a positive.
     """
     n = len(positive) + len(unlabelled)
-    mean = (positive.sum(0, dtype=np.float64) + unlabelled.sum(0, dtype=np.float64)) / n
-    square = ((positive - mean) ** 2).sum(0) + ((unlabelled - mean) ** 2).sum(0)
+    share = np.full(len(unlabelled), 1 / len(unlabelled)) if weight is None else weight / weight.sum()
+    mean = (positive.sum(0, dtype=np.float64) + len(unlabelled) * (share @ unlabelled)) / n
+    square = ((positive - mean) ** 2).sum(0) + len(unlabelled) * (share @ (unlabelled - mean) ** 2)
     scale = np.where((scale := np.sqrt(square / n)) > 1e-6, scale, 1.0)
     p, u = (np.clip((x - mean) / scale, -6, 6).astype(np.float32) for x in (positive, unlabelled))
     w = np.zeros(p.shape[1] + 1)  # the last is the bias
     first, second = np.zeros_like(w), np.zeros_like(w)
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-    grad = lambda x, d: np.append(d.astype(np.float32) @ x, d.sum()) / len(x)
+    even = np.full(len(p), 1 / len(p))
+    grad = lambda x, d, part: np.append((d * part).astype(np.float32) @ x, d @ part)
     for t in range(1, EPOCHS + 1):
         v = w[:-1].astype(np.float32)
         zp, zu = (p @ v + w[-1]).astype(np.float64), (u @ v + w[-1]).astype(np.float64)
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        g_negative = grad(u, sigmoid(zu)) - prior * grad(p, sigmoid(zp))
-        g = prior * grad(p, sigmoid(zp) - 1) + g_negative if negative >= 0 else -g_negative
+        negative = share @ np.logaddexp(0, zu) - prior * np.logaddexp(0, zp).mean()
+        g_negative = grad(u, sigmoid(zu), share) - prior * grad(p, sigmoid(zp), even)
+        g = prior * grad(p, sigmoid(zp) - 1, even) + g_negative if negative >= 0 else -g_negative
         g[:-1] += DECAY * w[:-1]
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
         w -= STEP * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
@@ -94,30 +100,42 @@ def featurize(docs: DataFrame, keep: list[str]) -> DataFrame:
 def learn(docs: DataFrame, labels: DataFrame, learned: Column) -> QualityModel | None:
     """A model from rows where `learned` holds: trusted positives are those with quality 1; unlabelled are all texts.
 
-    The class prior is the share of positives among the labelled rows there. Negative labels serve for nothing else.
-    Both samples are bounded (POSITIVES, UNLABELLED) and taken by the hash of doc_id. None if there are no positives.
+    The class prior is the share of positives among the labelled rows there. Negative labels serve for nothing else. Rows
+    equal in doc_id and text count once, rows that share a doc_id count each; a row of which `learned` is null, as with a
+    null doc_id, is not learned from. Positives are those with the smallest hash of doc_id and text, POSITIVES at most;
+    unlabelled ones are drawn in the same way from each stratum (see LEAST). docs without a column lang are strata by length
+    alone: languages serve for the draw, never for a score. None if there are no positives.
     """
     marked = labels.where(learned & F.col("quality").isNotNull())
     totals = marked.agg(F.count("*"), F.sum(F.when(F.col("quality") == 1, 1).otherwise(0))).first()
     if not totals[1]:
         return None
     prior = min(0.98, totals[1] / totals[0])
-
-    def smallest(rows: DataFrame, n: int) -> DataFrame:
-        return rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-
-    trusted, others = smallest(marked.where("quality = 1"), POSITIVES), smallest(docs.where(learned), UNLABELLED)
-    ids = trusted.withColumn("kind", F.lit(1)).unionByName(others.withColumn("kind", F.lit(0)))
-    ids = ids.groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col("kind") == 1).alias("is_p"), F.max(F.col("kind") == 0).alias("is_u"))
-    # at most POSITIVES + UNLABELLED ids are broadcast, and as many rows of 520 numbers come back
-    sample = docs.where(learned).select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
-    rows = sorted(tuple(r) for r in featurize(sample, ["doc_id", "is_p", "is_u"]).orderBy(F.xxhash64("doc_id")).limit(2 * (POSITIVES + UNLABELLED)).collect())
-    if not rows:
+    group = F.pmod(F.xxhash64("lang"), F.lit(LANGUAGE_GROUPS)) if "lang" in docs.columns else F.lit(0).cast("long")
+    length = F.least(F.lit(15), F.floor(F.log(F.coalesce(F.octet_length("text"), F.lit(0)) + 1.0) / float(np.log(4.0))))
+    rows = docs.where(learned).select(F.col("doc_id").alias("_id"), "text", F.xxhash64("doc_id", "text").alias("_hash"), (group * 16 + length).cast("int").alias("_stratum"))
+    every = saved(rows.groupBy("_hash").agg(F.first("_id").alias("_id"), F.first("_stratum").alias("_stratum")), "quality-rows")
+    trusted = every.join(marked.where("quality = 1").select(F.col("doc_id").alias("_id")), "_id", "left_semi").orderBy("_hash").limit(POSITIVES)
+    # one row for each stratum: 16 * LANGUAGE_GROUPS at most
+    strata = {r[0]: r[1] for r in every.groupBy("_stratum").agg(F.count("*")).collect()}
+    total = sum(strata.values())
+    quota = {k: min(n, max(LEAST, round(UNLABELLED * n / total))) for k, n in strata.items()}
+    quotas = docs.sparkSession.createDataFrame([(k, n, quota[k]) for k, n in strata.items()], "_s int, _n long, _quota long")
+    few = F.pmod("_hash", F.lit(1 << 30)) * F.col("_n") < (F.col("_quota") * 2.0 + 50) * (1 << 30)
+    rank = F.row_number().over(Window.partitionBy("_stratum").orderBy(F.pmod("_hash", F.lit(1 << 30)), "_hash"))
+    drawn = every.join(F.broadcast(quotas), F.col("_stratum") == F.col("_s")).where(few).withColumn("_rank", rank).where(F.col("_rank") <= F.col("_quota"))
+    ids = trusted.select(F.col("_hash").alias("_h"), F.lit(True).alias("is_p"), F.lit(0.0).alias("stands")).unionByName(drawn.select(F.col("_hash").alias("_h"), F.lit(False).alias("is_p"), (F.col("_n") / F.col("_quota")).alias("stands")))
+    ids = saved(ids.groupBy("_h").agg(F.max("is_p").alias("is_p"), F.max("stands").alias("stands")), "quality-ids")
+    # at most POSITIVES + UNLABELLED + LEAST a stratum hashes are broadcast, and as many rows of 520 numbers come back; a repeated row
+    # is made one where it is, before its text moves
+    sample = rows.join(F.broadcast(ids), F.col("_hash") == F.col("_h")).groupBy("_hash").agg(*(F.first(c).alias(c) for c in ("text", "is_p", "stands")))
+    found = sorted(tuple(r) for r in featurize(sample, ["_hash", "is_p", "stands"]).collect())
+    if not found:
         return None
-    x = np.array([np.frombuffer(r[3], "<f4") for r in rows])
-    positive = x[[bool(r[1]) for r in rows]]
-    unlabelled = x[[bool(r[2]) for r in rows]]
-    return fit(positive, unlabelled, prior) if len(positive) and len(unlabelled) else None
+    x = np.array([np.frombuffer(r[3], "<f4") for r in found])
+    is_p, stands = np.array([bool(r[1]) for r in found]), np.array([r[2] for r in found])
+    drawn_rows = stands > 0
+    return fit(x[is_p], x[drawn_rows], prior, stands[drawn_rows]) if is_p.any() and drawn_rows.any() else None
 
 
 def scored(docs: DataFrame, model: QualityModel | None, text: str = "text", into: str = "score") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import language, quality
 from tidemark.llm.common import bounded_batches, documents, key_crc32
@@ -29,8 +30,8 @@ def tokenizer_file(name: str) -> str:
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
-    held_out = key_crc32("doc_id") % 5 == 0
-    model = language.learn(docs, ~held_out)
+    held_out = F.coalesce(key_crc32("doc_id") % 5 == 0, F.lit(False))
+    model = language.learn(docs, ~held_out & F.col("doc_id").isNotNull())
     return language.identify(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
 
 
@@ -51,10 +52,10 @@ def op5_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    held_out = key_crc32("doc_id") % 4 == 2
-    model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out)
-    out = quality.scored(docs.withColumn("held_out", held_out), model).drop("text")
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    held_out = F.coalesce(key_crc32("doc_id") % 4 == 2, F.lit(False))
+    model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out & F.col("doc_id").isNotNull())
+    out = quality.scored(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
     return out.withColumn("predicted", (out.score >= 0.7).cast("int"))
 
 

@@ -109,7 +109,7 @@ class WordTokenizer:
         return ids[np.repeat(first - (ends - length), length) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
     def _learn(self) -> None:
-        """Encodes the words that came since the last call: each is a part that ends in a letter or digit and one of punctuation."""
+        """Encodes the words that came since the last call: each is a part that ends in an ASCII letter or digit and one of ASCII punctuation."""
         n = len(self.numbers) - self.first.size
         if not n:
             return
@@ -117,7 +117,8 @@ class WordTokenizer:
         if whole.any():
             units = ["" if w else x for x, w in zip(units, whole.tolist(), strict=True)]
         cores = [x.rstrip(punctuation) for x in units]
-        cores = [c if c[-1:].isalnum() else x for c, x in zip(cores, units, strict=True)]
+        # after other letters, which the normalizer may turn into letter and mark, a cut could change the ids
+        cores = [c if c[-1:].isascii() and c[-1:].isalnum() else x for c, x in zip(cores, units, strict=True)]
         tails = [x[len(c) :] for c, x in zip(cores, units, strict=True)]
         part = self.parts.__getitem__
         parts = np.stack([after * 1, np.fromiter(map(part, cores), np.int64, n), np.fromiter(map(part, tails), np.int64, n)], 1).ravel()
