@@ -26,10 +26,10 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that score LEAST_SCORE or more stay. The model learns from labelled rows with crc32(doc_id) mod 4 not 2.
 
     If nothing can be learned there (no label, none of quality 1, or no text of one), no document is judged and all stay.
-    Null texts are scored as empty ones; equal rows are judged alike.
+    Null texts are scored as empty ones; equal rows are judged alike; rows with a null doc_id are judged, never learned from.
     """
     bounded_batches(spark)
-    model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), key_crc32("doc_id") % 4 != 2)
+    model = quality.learn(docs.select("doc_id", "text", "lang"), spark.read.parquet(f"{sf_dir}/labels.parquet"), key_crc32("doc_id") % 4 != 2)
     if model is None:
         return docs
     score = _free(docs, "score")
@@ -84,7 +84,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Documents without words, null texts among them, are taken at the rate of their source too.
     """
     rows = _with_row(docs)
-    # blocks are dealt by the hash of the whole row, which spreads null and shared doc_ids and is the same in reruns
+    # blocks are dealt by the hash of the whole row, which spreads null and shared doc_ids, and by the row's number, which spreads rows
+    # that are equal throughout: those are interchangeable, so only how many copies they get together depends on it
     mixed = mix_documents(rows.select(F.xxhash64("doc").alias("doc_id"), "doc.text", "doc.source", "row"), keep=("row",))
     taken = saved(mixed, "pipeline-mix").where("copies > 0").select("row", F.sequence(F.lit(1), F.col("copies").cast("int")).alias("times"))
     return rows.join(taken.hint("merge"), "row").select("doc", F.explode("times").alias("time")).select("doc.*")
