@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,10 +12,10 @@ from tidemark.catalog import query
 from tidemark.catalog.model import Run
 from tidemark.functions import scalars as S
 from tidemark.operators import alerts as A
-from tidemark.operators import contract, documents, export, gold, layers, maintenance, merge, ops, privacy, quality, reports
-from tidemark.plans.pruning import unpruned
+from tidemark.operators import contract, documents, export, gold, incremental, layers, maintenance, merge, ops, privacy, quality, reports, sketches, warehouse
+from tidemark.plans.pruning import bounded, unpruned
 from tidemark.plans.workspace import folder
-from tidemark.sources import feed, readers
+from tidemark.sources import feed, readers, seeds
 
 # ---- sources ----------------------------------------------------------------------------------------------------------
 
@@ -146,26 +148,46 @@ def sink_insert_only_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("meta_id", "wiki", "title", "edit_type", "editor_type")
 
 
-@query("SELECT alert_id, edits, CASE WHEN window_start < (SELECT now - INTERVAL 3 DAY FROM run) THEN 1 ELSE 2 END AS seen FROM bursts")
-def sink_incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bursts in two runs; the second recomputes the last days and keeps the first run's stamp of bursts it knew."""
-    run, path = Run(spark, sf_dir), folder(spark, "bursts")
-    rows = run.bursts.withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
-    limit = F.lit(run.now).cast("timestamp_ntz") - F.expr("INTERVAL 3 DAY")
-    merge.upsert(rows.where(F.col("window_start") < limit).withColumn("seen", F.lit(1)), path, ["alert_id"], "day", ("seen",))
-    since = F.date_trunc("day", limit).cast("timestamp_ntz")
-    merge.upsert(rows.where(F.col("window_start") >= since).withColumn("seen", F.lit(2)), path, ["alert_id"], "day", ("seen",))
-    return spark.read.parquet(path).select("alert_id", "edits", "seen")
+def _typed_by_hour(run: Run) -> str:
+    """The typed layer in its hours, as the stream leaves it."""
+    path = folder(run.spark, "typed")
+    rows = merge.by_hour(run.silver)
+    rows.repartition(merge.HOUR).write.partitionBy(merge.HOUR).parquet(path)
+    return path
 
 
-@query("SELECT wiki, title, category, owner_team, count(*) OVER () AS loaded FROM (SELECT DISTINCT wiki, title, 'product' AS category, 'team-' || namespace AS owner_team FROM ev)")
+@query("SELECT alert_id, edits, CASE WHEN window_start < (SELECT date_trunc('day', now - INTERVAL 1 DAY) FROM run) THEN 1 ELSE 2 END AS seen FROM bursts WHERE window_start >= (SELECT date_trunc('day', now - INTERVAL 8 DAY) FROM run)")
+def sink_incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bursts of the last week in three runs of the incremental model, a day apart, each over its own hours of the typed layer: stamps
+    are those of the run that first saw a burst. The first run knows the feed up to its own time alone."""
+    run, path = Run(spark, sf_dir), folder(spark, "bursts")
+    source = _typed_by_hour(run)
+    day = run.now.replace(hour=0, minute=0, second=0) - timedelta(days=1)
+    model = incremental.Model(lambda rows: gold.bursts(rows, run.watchlist, run.rules), ("alert_id",), "window_start", "day", ("seen",))
+    early = incremental.Model(lambda rows: model.build(rows.where(F.col("event_ts") < F.lit(day))), model.keys, model.at, model.grain, model.preserved)
+    incremental.refresh(spark, early, source, path, day, seen=F.lit(1)).commit()
+    for _ in range(2):  # the second run changes nothing
+        last = incremental.refresh(spark, model, source, path, run.now, since=day - timedelta(days=1), seen=F.lit(2))
+        last.commit()
+    # a model that never had a row has no table yet
+    return (spark.read.schema(last.rows.schema).parquet(path) if merge.table_exists(spark, path) else last.rows).select("alert_id", "edits", "seen")
+
+
+@query("SELECT wiki, title, 'product' AS category, 'team-' || min(namespace) AS owner_team, count(*) OVER () AS loaded, 1 AS refused FROM ev GROUP BY wiki, title")
 def sink_overwrite_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A reference table replaced as a whole: the second load wins."""
-    name = "ref_" + folder(spark, "x").rpartition("-")[2]
-    pages = feed.base_events(spark, sf_dir).select("wiki", "title", F.lit("product").alias("category"), F.concat(F.lit("team-"), F.col("namespace").cast("string")).alias("owner_team")).distinct()
-    maintenance.replace_table(pages.limit(1), name, "2024-01-01 00:00:00")
-    n = maintenance.replace_table(pages, name, "2024-01-02 00:00:00")
-    return spark.table(name).drop("loaded_at").withColumn("loaded", F.lit(n).cast("long"))
+    """Both seeds loaded as one version, three times: the second load wins, the third has pages twice and changes nothing."""
+    root = folder(spark, "reference")
+    pages = feed.base_events(spark, sf_dir).groupBy("wiki", "title").agg(F.lit("product").alias("category"), F.concat(F.lit("team-"), F.min("namespace").cast("string")).alias("owner_team"))
+    loaded, refused = {"watchlist": 0}, 0
+    for watchlist in (pages.limit(1), pages, pages.unionByName(pages)):
+        files = folder(spark, "seeds")
+        watchlist.write.csv(f"{files}/watchlist.csv", header=True)
+        Run(spark, sf_dir).rules.write.csv(f"{files}/alert_rules.csv", header=True)
+        try:
+            loaded = seeds.load(spark, files, root, "2024-01-02 00:00:00")
+        except seeds.SeedError:
+            refused += 1
+    return seeds.reference(spark, root).watchlist.drop("loaded_at").withColumns({"loaded": F.lit(loaded["watchlist"]).cast("long"), "refused": F.lit(refused)})
 
 
 @query("SELECT wiki, count(*) AS n FROM ev GROUP BY 1")
@@ -299,21 +321,30 @@ def counted_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT meta_id FROM silver WHERE event_ts >= (SELECT date_trunc('hour', now - INTERVAL 6 HOUR) FROM run)")
 def incremental_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hours of a run, read from the stored layer by a literal on its partitions."""
     run = Run(spark, sf_dir)
-    return run.silver.where(gold.incremental_bound("event_ts", run.now, "hour")).select("meta_id")
+    source = _typed_by_hour(run)
+    rows = spark.read.parquet(source).where(incremental.from_hour(incremental.lower_bound(run.now, "hour")))
+    return bounded(rows, {"typed": (source, merge.HOUR)}).select("meta_id")
 
 
 @query("SELECT meta_id FROM silver WHERE event_ts >= (SELECT date_trunc('day', now - INTERVAL 7 DAY) FROM run) AND ingested_at < (SELECT now - INTERVAL 15 MINUTE FROM run)")
 def recent_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = Run(spark, sf_dir)
-    settled = F.col("ingested_at") < F.lit(run.now).cast("timestamp_ntz") - F.expr("INTERVAL 15 MINUTE")
-    return run.silver.where(gold.incremental_bound("event_ts", run.now, "day", first=True) & settled).select("meta_id")
+    source = _typed_by_hour(run)
+    settled = F.col("ingested_at") < F.lit(run.now - timedelta(minutes=15)).cast("timestamp_ntz")
+    rows = spark.read.parquet(source).where(incremental.from_hour(incremental.lower_bound(run.now, "day", first=True)) & settled)
+    return bounded(rows, {"typed": (source, merge.HOUR)}).select("meta_id")
 
 
 @query("SELECT count(*) AS n FROM silver WHERE event_ts >= (SELECT now - INTERVAL 12 HOUR FROM run)")
 def run_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds as parameters of a statement; the partition's label is one, too."""
     run = Run(spark, sf_dir)
-    return spark.sql("SELECT count(*) AS n FROM {rows} WHERE event_ts >= :now - INTERVAL 12 HOUR", args={"now": run.now.replace(tzinfo=None)}, rows=run.silver)
+    source = _typed_by_hour(run)
+    since = (run.now - timedelta(hours=12)).replace(tzinfo=None)
+    out = spark.sql("SELECT count(*) AS n FROM {rows} WHERE event_hour >= :hour AND event_ts >= :since", args={"hour": since.strftime("%Y-%m-%d-%H"), "since": since}, rows=spark.read.parquet(source))
+    return bounded(out, {"typed": (source, merge.HOUR)})
 
 
 @query("SELECT meta_id FROM silver WHERE date_trunc('hour', event_ts) IN (SELECT max(date_trunc('hour', event_ts)) FROM silver)")
@@ -589,6 +620,36 @@ def detection_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.detection_latency(Run(spark, sf_dir).alerts)
 
 
+_BIN = f"CASE WHEN {_SECONDS} > 0 THEN CAST(floor(ln({_SECONDS}) / ln(1.01)) AS BIGINT) ELSE -2147483648 END"
+
+
+@query(f"""WITH b AS (SELECT {_BIN} AS bin, count(*) AS n FROM alerts WHERE ingested_at < event_ts + INTERVAL 10 MINUTE AND event_ts >= (SELECT date_trunc('hour', now - INTERVAL 7 DAY) FROM run) GROUP BY 1),
+u AS (SELECT bin, sum(n) OVER (ORDER BY bin) AS upto, sum(n) OVER () AS total FROM b), v AS (SELECT *, CASE WHEN bin = -2147483648 THEN 0 ELSE round(pow(1.01, bin + 0.5), 3) END AS value FROM u)
+SELECT CAST(coalesce(max(total), 0) AS BIGINT) AS samples, min(value) FILTER (WHERE upto >= ceil(0.5 * total)) AS p50, min(value) FILTER (WHERE upto >= ceil(0.95 * total)) AS p95, true AS within FROM v""")
+def detection_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of the last 7 days from sketches that each hour stored, and whether they are within their error of the exact ones."""
+    run, path = Run(spark, sf_dir, stored=True), folder(spark, "latencies")
+    on_time = run.alerts.where(~S.arrived_late(F.col("ingested_at"), F.col("event_ts")))
+    sketches.store_latencies(on_time, path)
+    bound = incremental.lower_bound(run.now, "hour", first=True)
+    found = sketches.latency_percentiles(spark, path, bound, {"p50": 0.5, "p95": 0.95})
+    exact = reports.values_at(on_time.where(F.col("event_ts") >= F.lit(bound)).select(F.timestamp_diff("MILLISECOND", F.col("event_ts"), F.col("detected_at")).alias("v")), {f"_{q}": (lambda n, q=q: F.greatest(F.ceil(n * q) - 1, F.lit(0))) for q in (0.5, 0.95)})
+    near = lambda c, q: F.abs(F.col(c) - F.greatest(F.col(f"`_{q}`"), F.lit(0)) / 1000) <= sketches.ERROR * F.greatest(F.col(f"`_{q}`"), F.lit(0)) / 1000 + 0.0005
+    return found.crossJoin(exact).select("samples", "p50", "p95", F.coalesce(near("p50", 0.5) & near("p95", 0.95), F.lit(True)).alias("within"))
+
+
+@query("""SELECT count(*) AS bronze, true AS within FROM topic WHERE date_trunc('hour', ingested_at) >= (SELECT date_trunc('hour', now - INTERVAL 12 HOUR) FROM run)""")
+def funnel_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and distinct ids of 12 hours from what each hour stored, and whether the estimate is within its error of the exact count."""
+    run, path = Run(spark, sf_dir), folder(spark, "ids")
+    sketches.store_ids(run.bronze, path)
+    bound = incremental.lower_bound(run.now - timedelta(hours=12), "hour", since=run.now - timedelta(hours=12))
+    found = sketches.distinct_ids(spark, path, bound)
+    exact = run.bronze.where(F.date_trunc("hour", "ingested_at").cast("timestamp_ntz") >= F.lit(bound)).agg(F.countDistinct("meta_id").alias("exact"))
+    within = F.abs(F.col("ids") - F.col("exact")) <= F.greatest(F.lit(1.0), sketches.ID_ERROR * F.col("exact"))
+    return found.crossJoin(exact).select("bronze", within.alias("within"))
+
+
 @query(f"WITH s AS (SELECT list_sort(list({_SECONDS})) AS l, median({_SECONDS}) AS p50 FROM alerts) SELECT p50, l[CAST(greatest(round_even(0.95 * len(l), 0) - 1, 0) AS INTEGER) + 1] AS p95, l[len(l)] AS max FROM s")
 def latency_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.latency_summary(Run(spark, sf_dir).alerts)
@@ -628,12 +689,6 @@ def severity_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.severity_summary(_union(Run(spark, sf_dir, stored=True)))
 
 
-@query("SELECT CASE kind WHEN 'canary' THEN 'canary' WHEN 'bad' THEN 'rejected' WHEN 'broken' THEN 'rejected' ELSE 'published' END AS outcome, count(*) AS events FROM received GROUP BY 1")
-def ingest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = contract.with_reason(Run(spark, sf_dir).received)
-    return ops.outcome_counts(found.withColumn("outcome", F.when(contract.is_canary(F.col("raw")), "canary").when(F.col("reason").isNotNull(), "rejected").otherwise("published")))
-
-
 @query("SELECT window_start, wiki, edits, bot_edits, bytes_changed FROM minutes")
 def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The minute counts by another way: straight from the payloads, without typed rows or models."""
@@ -832,15 +887,29 @@ def dq_bronze_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.bronze_report(run.bronze, run.silver.where(F.substring("meta_id", 4, 20).cast("long") % 50 != 0), highs)
 
 
-@query("SELECT count(*) AS rows, 0 AS unpruned_scans, 1 AS unpruned_without_bound FROM silver WHERE event_ts >= (SELECT date_trunc('hour', max(event_ts)) FROM silver)")
+@query("""WITH d AS (SELECT now - INTERVAL 7 DAY AS week, now - INTERVAL 12 HOUR AS half FROM run), w AS (SELECT * FROM silver, d WHERE event_ts >= week)
+SELECT 'edits_per_minute' AS report, (SELECT count(*) FROM (SELECT DISTINCT date_trunc('minute', event_ts), wiki FROM w WHERE edit_type <> 'log')) AS rows, 1 AS scans, 0 AS free
+UNION ALL SELECT 'bot_ratio_hourly', (SELECT count(*) FROM (SELECT DISTINCT date_trunc('hour', event_ts), wiki FROM w WHERE edit_type <> 'log')), 1, 0
+UNION ALL SELECT 'page_activity', (SELECT count(*) FROM (SELECT DISTINCT title, category, date_trunc('hour', event_ts) FROM watched, d WHERE event_ts >= week AND edit_type <> 'log')), 1, 0
+UNION ALL SELECT 'daily_digest', (SELECT count(*) FROM (SELECT DISTINCT CAST(event_ts AS DATE), wiki, title FROM watched, d WHERE event_ts >= week)), 3, 0
+UNION ALL SELECT 'detection_latency', 1, 1, 0 UNION ALL SELECT 'severities', (SELECT count(DISTINCT severity) FROM alerts, d WHERE event_ts >= week), 1, 0
+UNION ALL SELECT 'funnel', 1, 2, 0 UNION ALL SELECT 'freshness', 1, 3, 0 UNION ALL SELECT 'by no bound', (SELECT count(*) FROM silver), 1, 1 UNION ALL SELECT 'by a function', (SELECT count(*) FROM silver, d WHERE event_ts >= date_trunc('day', week)), 1, 1""")
 def dq_partition_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scans of a partitioned table without a bound on its partition column, read from the plan."""
-    run, path = Run(spark, sf_dir), folder(spark, "pruned")
-    merge.append_new(layers.to_silver(run.topic), path, "meta_id")
-    last = list(merge.rows_of(merge.by_hour(run.silver)))[-1:]
-    bound = spark.read.parquet(path).where(merge.only(last))
-    free = spark.read.parquet(path).where(F.date_format("event_ts", merge.HOUR_FORMAT) == last[0]) if last else bound
-    return bound.agg(F.count("*").alias("rows")).withColumns({"unpruned_scans": F.lit(len(unpruned(bound, "event_hour"))).cast("long"), "unpruned_without_bound": F.lit(len(unpruned(free, "event_hour"))).cast("long")})
+    """Every report over the stored layers: its rows, and the scans in its plan that nothing bounds. Two more are free on purpose: they must show."""
+    run, root = Run(spark, sf_dir, stored=True), folder(spark, "warehouse")
+    for layer, rows in (("bronze", run.bronze), ("dlq", run.dlq), ("silver", run.silver), ("alerts", run.alerts), ("bursts", run.bursts)):
+        warehouse.store(rows, root, layer)
+    house = warehouse.Warehouse(spark, root, run.now.replace(tzinfo=None), run.watchlist)
+    week = (run.now - warehouse.WEEK).strftime("%Y%m%d")
+    free = {
+        "by no bound": lambda w: spark.read.parquet(f"{root}/silver").select("meta_id"),
+        "by a function": lambda w: spark.read.parquet(f"{root}/silver").where(F.date_format("event_ts", "yyyyMMdd") >= week).select("meta_id"),
+    }
+    chosen, out = warehouse.REPORTS | free, None
+    for name, found in warehouse.audit(house, chosen).items():
+        own = chosen[name](house).agg(F.lit(name).alias("report"), F.count("*").alias("rows")).withColumns({"scans": F.lit(len(found)), "free": F.lit(sum(not s.bounded_by for s in found))})
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 @query("SELECT alert_id, rule_id FROM alerts WHERE event_id % 19 = 0")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,11 @@ from tidemark.operators import contract, reports
 from tidemark.operators.layers import to_silver
 from tidemark.plans.workspace import folder
 from tidemark.sources import feed, readers
-from tidemark.streaming import jobs
+from tidemark.sources.seeds import Reference
+from tidemark.streaming import application, jobs
+from tidemark.streaming.progress import Flusher, IngestReport, ProgressListener, json_files
+
+_STAMP = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
 
 
 def _files(run: Run, records: DataFrame, name: str, n: int = 4) -> str:
@@ -65,7 +70,7 @@ def sink_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream of four batches into the insert-only merge."""
     run, out = Run(spark, sf_dir), folder(spark, "silver")
     stream = readers.event_stream(spark, _files(run, run.topic, "topic"), max_files=1)
-    jobs.finished(jobs.silver_stream(stream, out, _checkpoint(spark, "silver"), F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")))
+    jobs.finished(jobs.silver_stream(stream, out, _checkpoint(spark, "silver"), _STAMP))
     return spark.read.parquet(out).agg(F.count("*").alias("rows"), F.countDistinct("meta_id").alias("ids"))
 
 
@@ -76,7 +81,7 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     for kind in ("base", "copy"):  # copies come later, in files of their own
         feed.topic(spark, sf_dir, (kind,)).coalesce(2).write.mode("append").parquet(path)
     for _ in range(2):
-        jobs.finished(jobs.silver_stream(readers.event_stream(spark, path, max_files=2), out, _checkpoint(spark, "silver"), F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")))
+        jobs.finished(jobs.silver_stream(readers.event_stream(spark, path, max_files=2), out, _checkpoint(spark, "silver"), _STAMP))
     return spark.read.parquet(out).select(*_SILVER.split(", "), "processed_at")
 
 
@@ -84,7 +89,7 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     run, out = Run(spark, sf_dir), folder(spark, "alerts")
     stream = readers.event_stream(spark, _files(run, run.topic, "topic"), max_files=2)
-    jobs.finished(jobs.alert_stream(stream, lambda: run.watchlist, lambda: run.rules, out, _checkpoint(spark, "alerts"), F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")))
+    jobs.finished(jobs.alert_stream(stream, lambda: Reference("", run.watchlist, run.rules), out, _checkpoint(spark, "alerts"), _STAMP))
     return spark.read.parquet(out).select("alert_id", "rule_id", "severity", "meta_id")
 
 
@@ -105,7 +110,7 @@ def hot_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.substring(F.get_json_object("raw", "$.meta.id"), 4, 20).cast("long")
     for rest, rules in ((0, run.rules), (1, feed.alert_rules(spark, 2, disabled=("R3",)))):
         run.topic.where(number % 2 == rest).repartition(2).write.mode("append").parquet(path)
-        jobs.finished(jobs.alert_stream(readers.event_stream(spark, path), lambda: run.watchlist, lambda rules=rules: rules, out, check, F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")))
+        jobs.finished(jobs.alert_stream(readers.event_stream(spark, path), lambda rules=rules: Reference("", run.watchlist, rules), out, check, _STAMP))
     return spark.read.parquet(out).groupBy("rule_id").agg(F.count("*").alias("n"))
 
 
@@ -188,40 +193,81 @@ def replay_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).groupBy("topic", "key").agg(F.count("*").alias("n"))
 
 
-@query("SELECT 'progress' AS query, count(*) AS rows FROM topic")
-def progress_listener(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The listener's log of one stream: as many input rows as the feed has."""
-    run, log, out = Run(spark, sf_dir), folder(spark, "progress"), folder(spark, "sink")
-    listener = jobs.ProgressListener(feed.SESSION)
-    path = _files(run, run.topic, "topic")
+@contextmanager
+def _listened(spark: SparkSession):
+    listener = ProgressListener(feed.SESSION)
     spark.streams.addListener(listener)
     try:
-        jobs.finished(jobs.append_to(readers.event_stream(spark, path, max_files=1), out, _checkpoint(spark, "progress"), "progress"))
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
-        listener.flush(spark, log, datetime(2024, 1, 31))
+        yield listener
     finally:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
         spark.streams.removeListener(listener)
-    rows = readers.progress_log(spark, log).where("query = 'progress'")
-    return rows.groupBy("query").agg(F.sum("num_input_rows").alias("rows"))
+
+
+@query("SELECT 'progress' AS query, count(*) AS rows, 0 AS unwritten FROM topic")
+def progress_listener(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of one stream that a thread writes while it runs, every other attempt of which fails: as many input rows as the feed has."""
+    run, log, out = Run(spark, sf_dir), folder(spark, "progress"), folder(spark, "sink")
+    path, write, attempts = _files(run, run.topic, "topic"), json_files(spark, log), []
+
+    def unsteady(batch) -> None:
+        attempts.append(batch.name)
+        write(batch)
+        if len(attempts) % 2:
+            raise OSError("the answer was lost")
+
+    with _listened(spark) as listener:
+        flusher = Flusher(listener, unsteady, 0.05, lambda: datetime(2024, 1, 31)).start()
+        jobs.finished(jobs.append_to(readers.event_stream(spark, path, max_files=1), out, _checkpoint(spark, "progress"), "progress"))
+    unwritten = flusher.stop()
+    rows = readers.progress_log(spark, log).where("query = 'progress' and dt = date'2024-01-31'")
+    return rows.groupBy("query").agg(F.sum("num_input_rows").alias("rows")).withColumn("unwritten", F.lit(unwritten))
 
 
 @query("SELECT query, CAST(rows AS BIGINT) AS rows FROM (SELECT 'sink' AS query, count(*) AS rows FROM topic)", "sink_progress_jsonl")
 def sink_progress_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Progress as JSON lines under its day; an empty buffer writes nothing."""
+    """Progress as JSON lines under its day; without records nothing is written."""
     run, log, out = Run(spark, sf_dir), folder(spark, "progress"), folder(spark, "sink")
-    listener = jobs.ProgressListener(feed.SESSION)
     path = _files(run, run.topic, "topic")
-    spark.streams.addListener(listener)
-    try:
+    with _listened(spark) as listener:
         jobs.finished(jobs.append_to(readers.event_stream(spark, path), out, _checkpoint(spark, "sink"), "sink"))
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
-        listener.flush(spark, log, datetime(2024, 1, 31))
-        listener.flush(spark, log, datetime(2024, 2, 1))
-    finally:
-        spark.streams.removeListener(listener)
+    for day in (datetime(2024, 1, 31), datetime(2024, 2, 1)):
+        Flusher(listener, json_files(spark, log), clock=lambda day=day: day).flush()
     return readers.progress_log(spark, log).where("query = 'sink' and dt = date'2024-01-31'").groupBy("query").agg(F.sum("num_input_rows").alias("rows"))
 
 
+@query("SELECT CASE kind WHEN 'canary' THEN 'canary' WHEN 'bad' THEN 'rejected' WHEN 'broken' THEN 'rejected' ELSE 'published' END AS outcome, count(*) AS events FROM received GROUP BY 1 HAVING count(*) > 0 UNION ALL SELECT 'rows', count(*) FROM received")
+def ingest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ingest's batches counted as they ran; no row is read again for it."""
+    run, path, out = Run(spark, sf_dir), folder(spark, "received"), folder(spark, "ingested")
+    run.received.select("raw", "ingested_at").repartition(4).write.parquet(path)
+    with _listened(spark) as listener:
+        stream = spark.readStream.schema("raw string, ingested_at timestamp_ntz").option("maxFilesPerTrigger", 2).parquet(path)
+        jobs.finished(jobs.ingest_stream(stream, out, _checkpoint(spark, "ingest")))
+    totals = IngestReport("ingest").add(listener.take()).totals
+    return spark.createDataFrame([(name, n) for name, n in totals.items() if n], "outcome string, events long")
+
+
+@query(f"""SELECT 'bronze' AS "table", count(*) AS rows FROM topic UNION ALL SELECT 'dlq', count(*) FROM received WHERE kind IN ('bad', 'broken') UNION ALL SELECT 'silver', count(*) FROM ev
+UNION ALL SELECT 'edits_per_min', count(*) FROM minutes WHERE {_CLOSED} UNION ALL SELECT 'alerts', count(*) FROM alerts UNION ALL SELECT 'progress', count(*) * 3 + (SELECT count(*) FROM received WHERE kind IN ('bad', 'broken')) FROM topic""")
+def application_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five queries under their supervisor until the feed is read, then a second start that finds nothing new: what each table holds.
+    The progress log counts the rows that queries took, but for the windows, whose plan has no such count of a single source."""
+    run = Run(spark, sf_dir)
+    edits, rejected, root = _files(run, run.topic, "topic"), _files(run, run.dlq_topic, "dlq"), folder(spark, "application")
+    settings = application.Settings(root, feed.SESSION, {"availableNow": True})
+    for _ in range(2):
+        app = application.Application(spark, settings, lambda: readers.event_stream(spark, edits), lambda: readers.event_stream(spark, rejected), lambda: Reference("", run.watchlist, run.rules), _STAMP)
+        app.run()
+    tables = ("bronze", "dlq", "silver", "edits_per_min", "alerts")
+    counts = [spark.read.parquet(app.path(t)).agg(F.lit(t).alias("table"), F.count("*").alias("rows")) for t in tables]
+    log = readers.progress_log(spark, app.path("progress")).where("query <> 'edits_per_min'")
+    out = log.agg(F.lit("progress").alias("table"), F.sum("num_input_rows").alias("rows"))
+    for own in counts:
+        out = out.unionByName(own)
+    return out
+
+
 @query("SELECT rule_id, severity, count(*) FILTER (WHERE event_id % 23 <> 0) AS matched, count(*) FILTER (WHERE event_id % 23 = 0) AS extra, 0 AS missing FROM alerts GROUP BY 1, 2")
 def alert_scenario(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The exact set that is expected against what the stream found: in both, found but not expected, expected but not found. The

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,13 +13,6 @@ def _count_if(c: Column, name: str) -> Column:
     return F.count_if(c).alias(name)
 
 
-def incremental_bound(column: str, run_time: datetime, grain: str, first: bool = False, since: datetime | None = None) -> Column:
-    """A literal lower bound: the run's time less 6 hours (7 days at first), floored to the hour or day; `since` wins."""
-    bound = since or run_time - (timedelta(days=7) if first else timedelta(hours=6))
-    bound = bound.replace(minute=0, second=0, microsecond=0, **({"hour": 0} if grain == "day" else {}))
-    return F.col(column) >= F.lit(bound.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
-
-
 def counted(rows: DataFrame) -> DataFrame:
     """Edits and new pages: what all counts are over."""
     return rows.where(F.col("edit_type").isin(*S.COUNTED_TYPES))
@@ -39,7 +30,7 @@ def edits_per_minute(rows: DataFrame) -> DataFrame:
 
 
 def bot_ratio_hourly(rows: DataFrame) -> DataFrame:
-    r = rows.where(F.col("edit_type").isin(*S.COUNTED_TYPES)).withColumn("hour_start", S.hour(F.col("event_ts")))
+    r = counted(rows).withColumn("hour_start", S.hour(F.col("event_ts")))
     bot = F.coalesce(F.col("is_bot"), F.lit(False))
     out = r.groupBy("hour_start", "wiki").agg(F.count("*").alias("edits"), _count_if(bot, "bot_edits"), _count_if(~bot, "human_edits"))
     return out.withColumn("bot_share", F.col("bot_edits").cast("double") / F.col("edits"))
@@ -49,7 +40,7 @@ def bursts(rows: DataFrame, watchlist: DataFrame, rules: DataFrame) -> DataFrame
     """R5: pages with min_edits edits or more in a fixed window of window_minutes, aligned to the hour. A disabled rule gives no
     row; the rule is one row."""
     rule = rules.where("rule_id = 'R5' and enabled").select("severity", "min_edits", "window_minutes")
-    r = watched(rows.where(F.col("edit_type").isin(*S.COUNTED_TYPES)), watchlist).crossJoin(F.broadcast(rule))
+    r = watched(counted(rows), watchlist).crossJoin(F.broadcast(rule))
     into = F.floor(F.minute("event_ts") / F.col("window_minutes")) * F.col("window_minutes")
     r = r.withColumn("window_start", S.hour(F.col("event_ts")) + F.make_dt_interval(mins=into.cast("int")))
     out = r.groupBy("wiki", "title", "category", "owner_team", "severity", "window_start").agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import replace_partitions, table_exists
@@ -26,7 +26,7 @@ def add_missing_columns(spark: SparkSession, name: str, columns: dict[str, str])
 
 
 def replace_table(df: DataFrame, name: str, stamp: str) -> int:
-    """Replaces a reference table in one commit, with loaded_at."""
+    """Replaces a table in one commit, with loaded_at. Reference data goes through sources.seeds, which checks it first."""
     df.withColumn("loaded_at", F.lit(stamp).cast("timestamp_ntz")).write.mode("overwrite").saveAsTable(name)
     return df.sparkSession.table(name).count()
 
@@ -38,21 +38,41 @@ def load_if_empty(df: DataFrame, name: str, stamp: str) -> int:
     return replace_table(df, name, stamp)
 
 
-def small_files(spark: SparkSession, path: str, partition: str, now: datetime) -> DataFrame:
-    """partition, files, bytes of closed partitions (before today, UTC) with MIN_FILES files or more."""
-    rows = spark.read.option("basePath", path).parquet(path)
-    files = rows.select(F.col(partition).cast("string").alias("partition"), F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s")).distinct()
-    closed = files.where(F.col("partition") < now.strftime("%Y-%m-%d"))
-    return closed.groupBy("partition").agg(F.count("*").alias("files"), F.sum("s").alias("bytes")).where(F.col("files") >= MIN_FILES)
+def listed_files(spark: SparkSession, path: str, partition: str) -> DataFrame:
+    """partition (its label), file, bytes of each data file of the table: from the listing alone, no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    label = F.url_decode(F.regexp_extract("path", rf"/{partition}=([^/]+)/[^/]+$", 1))
+    return files.select(label.alias("partition"), F.col("path").alias("file"), F.col("length").alias("bytes"))
 
 
-def compact(spark: SparkSession, path: str, partition: str, now: datetime) -> int:
-    """Rewrites the closed partitions with many small files, each to files of about TARGET_BYTES; returns how many. No row is
-    lost: a partition is staged in full, apart from other runs, before it is replaced."""
+def compaction_plan(files: DataFrame, now: datetime, target: int = TARGET_BYTES) -> DataFrame:
+    """partition, file, bytes, part: the files of closed partitions (before today, UTC) that have MIN_FILES or more, put together in the
+    order of their names into parts of about `target` bytes.
+
+    What a partition holds is its own list of files; partitions are planned apart from each other.
+    """
+    closed = files.where((F.col("partition") != "") & (F.col("partition") < now.strftime("%Y-%m-%d")))
+    before = Window.partitionBy("partition").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    many = closed.withColumns({"_files": F.count("*").over(Window.partitionBy("partition")), "_before": F.coalesce(F.sum("bytes").over(before), F.lit(0))})
+    return many.where(F.col("_files") >= MIN_FILES).select("partition", "file", "bytes", F.floor(F.col("_before") / target).cast("int").alias("part"))
+
+
+def compact(spark: SparkSession, path: str, partition: str, now: datetime, target: int = TARGET_BYTES) -> int:
+    """Rewrites the closed partitions with many small files, all in one job, each part of the plan to one file; returns how many.
+
+    Only files of the plan are read. No row is lost: everything is staged in full, apart from other runs, before a partition is
+    replaced; today's partition and those of few files aren't touched. Rows meet their part by the file they come from.
+    """
     if not table_exists(spark, path):
         return 0
-    plan = small_files(spark, path, partition, now).collect()  # one row for each closed partition that needs it
-    for p in plan:
-        rows = spark.read.parquet(path).where(F.col(partition).cast("string") == p["partition"])
-        replace_partitions(rows.repartition(max(1, -(-p["bytes"] // TARGET_BYTES))), path, partition)
-    return len(plan)
+    plan = compaction_plan(listed_files(spark, path, partition), now, target)
+    labels = [r[0] for r in plan.select("partition").distinct().collect()]  # as many as partitions that need it
+    if not labels:
+        return 0
+    rows = spark.read.parquet(path)
+    columns = rows.columns
+    chosen = rows.where(F.col(partition).cast("string").isin(labels)).withColumn("_file", F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/"))
+    parts = plan.select(F.regexp_replace("file", "^file:/+", "file:/").alias("_file"), F.col("part").alias("_part"))
+    placed = chosen.join(parts, "_file", "left").repartition(F.col(partition), F.coalesce("_part", F.lit(0))).select(*columns)
+    replace_partitions(placed, path, partition)
+    return len(labels)

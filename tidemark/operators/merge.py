@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,32 +58,56 @@ def laid_out(rows: DataFrame, sizes: dict[str, int], key: str, partition: str =
 
 
 def missing(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """One row for each key that the table lacks."""
-    return rows.dropDuplicates([key]).join(table.select(key), key, "left_anti")
+    """The rows whose key the table lacks."""
+    return rows.join(table.select(key), key, "left_anti")
+
+
+@dataclass(frozen=True)
+class Append:
+    """A planned append: the rows that the table lacks, and how many keys came in each hour."""
+
+    fresh: DataFrame
+    sizes: dict[str, int]
+    key: str
+    path: str
+
+    def commit(self) -> int:
+        """Writes the rows; returns how many keys came. Of two writers that plan at the same time, each may add a key that the other
+        adds, as a plan and its commit are two steps: a table has one writer, which the stream's checkpoint makes sure of."""
+        if self.sizes:
+            laid_out(self.fresh, self.sizes, self.key).write.mode("append").partitionBy(HOUR).parquet(self.path)
+        return sum(self.sizes.values())
+
+
+def plan_append(batch: DataFrame, path: str, key: str) -> Append:
+    """What of a batch by hours, with unique keys, the table lacks. Its hours are counted first: they prune the table and size the files."""
+    sizes = rows_of(batch)
+    if not sizes or not table_exists(batch.sparkSession, path):
+        return Append(batch, sizes, key, path)
+    known = batch.sparkSession.read.schema(batch.select(key, HOUR).schema).parquet(path)
+    return Append(missing(batch, known.where(only(sizes)), key), sizes, key, path)
 
 
 def append_new(rows: DataFrame, path: str, key: str, order: tuple[str, ...] | None = None, **stamps: Column) -> int:
     """Appends the rows whose key isn't in the table by hours at `path`, with the stamps as more columns; returns how many keys came.
 
-    Of several rows with one key the first in `order` is taken, any one if that is None; an empty order says that keys are unique. Only the batch's hours of the
-    table are read, so a batch that is repeated adds nothing; a key that comes again with another hour is another row. The
-    batch is computed once; its hours are counted first, which prunes the table and sizes the files.
+    Of several rows with one key the first in `order` is taken, any one if that is None; an empty order says that keys are
+    unique. Only the batch's hours of the table are read, so a batch that is repeated adds nothing; a key that comes again
+    with another hour is another row. The batch is held for the two passes over it, its hours and its rows.
     """
-    spark = rows.sparkSession
     unique = rows.dropDuplicates([key]) if order is None else first_copy(rows, key, order) if order else rows
-    batch = by_hour(unique).persist()
+    with held(by_hour(unique).withColumns(stamps)) as batch:
+        return plan_append(batch, path, key).commit()
+
+
+@contextmanager
+def held(rows: DataFrame):
+    """rows, computed once while the block runs."""
+    kept = rows.persist()
     try:
-        sizes = rows_of(batch)
-        if not sizes:
-            return 0
-        fresh = batch
-        if table_exists(spark, path):
-            known = spark.read.schema(batch.select(key, HOUR).schema).parquet(path).where(only(sizes))
-            fresh = missing(batch, known, key)
-        laid_out(fresh.withColumns(stamps), sizes, key).write.mode("append").partitionBy(HOUR).parquet(path)
-        return sum(sizes.values())
+        yield kept
     finally:
-        batch.unpersist()
+        kept.unpersist()
 
 
 def corrected(table: DataFrame, fresh: DataFrame, keys: list[str], first_seen: tuple[str, ...] = ()) -> DataFrame:

@@ -9,5 +9,6 @@ RULES = "rule_id string, rule_name string, severity string, min_removed_bytes bi
 PROGRESS = (
     "session_id string, query string, run_id string, batch_id bigint, timestamp string, num_input_rows bigint, input_rows_per_second double, "
     "processed_rows_per_second double, trigger_ms bigint, add_batch_ms bigint, watermark string, "
-    "sources array<struct<start_offset: string, end_offset: string, latest_offset: string>>"
+    "sources array<struct<start_offset: string, end_offset: string, latest_offset: string>>, "
+    "state_rows bigint, state_bytes bigint, state_dropped bigint, observed map<string, bigint>"
 )

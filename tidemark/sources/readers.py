@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 
 
-def event_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Unbounded scan of decoded records in files; `max_files` bounds a micro-batch."""
-    reader = spark.readStream.schema(schemas.RECORD)
-    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
+def event_stream(spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None, archive: str | None = None) -> DataFrame:
+    """Unbounded scan of decoded records in files. A micro-batch takes at most `max_files` files, or files of `max_bytes` together
+    (one file at least, whatever its size). Files go to `archive` after the batch that read them is committed."""
+    if max_files and max_bytes:
+        raise ValueError("a batch is bounded by files or by bytes")
+    options = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes, "sourceArchiveDir": archive, "cleanSource": "archive" if archive else None}
+    return spark.readStream.schema(schemas.RECORD).options(**{k: v for k, v in options.items() if v is not None}).parquet(path)
 
 
 def topic_stream(spark: SparkSession, servers: str, topic: str, max_offsets: int = 200_000) -> DataFrame:
