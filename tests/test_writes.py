@@ -17,22 +17,25 @@ from tidemark.streaming import jobs
 from tests.test_rules import NOON, event, typed
 
 
-def ids(spark, path):
-    return sorted(r[0] for r in spark.read.parquet(path).select("meta_id").collect())
-
-
-def test_insert_only_merge(spark, tmp_path):
-    path = f"file://{tmp_path}/silver"
-    a, b, c = (event(x, at=NOON + timedelta(hours=i)) for i, x in enumerate("abc"))
-    assert merge.append_new(typed(spark, a, b), path, "meta_id") == 2
-    assert merge.append_new(typed(spark, b, c), path, "meta_id") == 2
-    assert merge.append_new(typed(spark, a, a), path, "meta_id") == 1
-    assert merge.append_new(typed(spark, a).limit(0), path, "meta_id") == 0
-    assert ids(spark, path) == ["a", "b", "c"]
-    hours = merge.rows_of(merge.by_hour(typed(spark, b)))
-    assert list(hours.values()) == [1]
-    assert not unpruned(spark.read.parquet(path).where(merge.only(hours)), "event_hour")
-    assert unpruned(spark.read.parquet(path).where(F.col("meta_id") == "a"), "event_hour")
+def test_appends_hold_what_a_set_would(spark, tmp_path):
+    """Random batches with repeats, empty ones and ones that come again: the table is the set of all (key, hour) so far."""
+    path, dice, want = f"file://{tmp_path}/table", random.Random(7), {}
+    start = datetime(2026, 3, 1, 22)
+    at = {f"k{i}": start + timedelta(minutes=dice.randrange(400)) for i in range(40)}
+    for batch in [dice.choices(sorted(at), k=dice.randrange(1, 25)) for _ in range(5)] + [[]]:
+        rows = spark.createDataFrame([(k, at[k], f"{k}-{n}") for n, k in enumerate(batch)], "meta_id string, event_ts timestamp_ntz, note string")
+        for _ in range(2):
+            assert merge.append_new(rows, path, "meta_id", ("note",), seen=F.lit(len(want))) == len(set(batch))
+        for n, k in enumerate(batch):
+            note = min(f"{k}-{m}" for m, other in enumerate(batch) if other == k)
+            want.setdefault(k, note)
+    got = spark.read.parquet(path)
+    assert {r.meta_id: r.note for r in got.collect()} == want and got.count() == len(want)
+    plan = merge.plan_append(merge.by_hour(rows.limit(0)), path, "meta_id")
+    assert plan.sizes == {} and plan.commit() == 0
+    plan = merge.plan_append(merge.by_hour(spark.createDataFrame([("k0", at["k0"], "x"), ("new", at["k0"], "x")], rows.schema)), path, "meta_id")
+    assert [r.meta_id for r in plan.fresh.collect()] == (["new"] if "k0" in want else ["k0", "new"])
+    assert not unpruned(plan.fresh, merge.HOUR)
 
 
 def test_upsert_keeps_first_stamp(spark, tmp_path):

@@ -495,7 +495,7 @@ def anti_bronze_not_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = Run(spark, sf_dir)
     number = F.substring("meta_id", 4, 20).cast("long")
-    return merge.missing(layers.to_silver(run.topic), run.silver.where(number % 4 != 3), "meta_id").select("meta_id")
+    return merge.missing(layers.to_silver(run.topic).dropDuplicates(["meta_id"]), run.silver.where(number % 4 != 3), "meta_id").select("meta_id")
 
 
 @query("SELECT minute, final_edits, realtime_edits FROM merged")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from contextlib import contextmanager
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog import query
@@ -19,7 +19,10 @@ from tidemark.sources.seeds import Reference
 from tidemark.streaming import application, jobs
 from tidemark.streaming.progress import Flusher, IngestReport, ProgressListener, json_files
 
-_STAMP = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+
+def _stamp() -> Column:
+    return F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+
 
 
 def _files(run: Run, records: DataFrame, name: str, n: int = 4) -> str:
@@ -70,7 +73,7 @@ def sink_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream of four batches into the insert-only merge."""
     run, out = Run(spark, sf_dir), folder(spark, "silver")
     stream = readers.event_stream(spark, _files(run, run.topic, "topic"), max_files=1)
-    jobs.finished(jobs.silver_stream(stream, out, _checkpoint(spark, "silver"), _STAMP))
+    jobs.finished(jobs.silver_stream(stream, out, _checkpoint(spark, "silver"), _stamp()))
     return spark.read.parquet(out).agg(F.count("*").alias("rows"), F.countDistinct("meta_id").alias("ids"))
 
 
@@ -81,7 +84,7 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     for kind in ("base", "copy"):  # copies come later, in files of their own
         feed.topic(spark, sf_dir, (kind,)).coalesce(2).write.mode("append").parquet(path)
     for _ in range(2):
-        jobs.finished(jobs.silver_stream(readers.event_stream(spark, path, max_files=2), out, _checkpoint(spark, "silver"), _STAMP))
+        jobs.finished(jobs.silver_stream(readers.event_stream(spark, path, max_files=2), out, _checkpoint(spark, "silver"), _stamp()))
     return spark.read.parquet(out).select(*_SILVER.split(", "), "processed_at")
 
 
@@ -89,7 +92,7 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     run, out = Run(spark, sf_dir), folder(spark, "alerts")
     stream = readers.event_stream(spark, _files(run, run.topic, "topic"), max_files=2)
-    jobs.finished(jobs.alert_stream(stream, lambda: Reference("", run.watchlist, run.rules), out, _checkpoint(spark, "alerts"), _STAMP))
+    jobs.finished(jobs.alert_stream(stream, lambda: Reference("", run.watchlist, run.rules), out, _checkpoint(spark, "alerts"), _stamp()))
     return spark.read.parquet(out).select("alert_id", "rule_id", "severity", "meta_id")
 
 
@@ -110,7 +113,7 @@ def hot_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.substring(F.get_json_object("raw", "$.meta.id"), 4, 20).cast("long")
     for rest, rules in ((0, run.rules), (1, feed.alert_rules(spark, 2, disabled=("R3",)))):
         run.topic.where(number % 2 == rest).repartition(2).write.mode("append").parquet(path)
-        jobs.finished(jobs.alert_stream(readers.event_stream(spark, path), lambda rules=rules: Reference("", run.watchlist, rules), out, check, _STAMP))
+        jobs.finished(jobs.alert_stream(readers.event_stream(spark, path), lambda rules=rules: Reference("", run.watchlist, rules), out, check, _stamp()))
     return spark.read.parquet(out).groupBy("rule_id").agg(F.count("*").alias("n"))
 
 
@@ -257,7 +260,7 @@ def application_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     edits, rejected, root = _files(run, run.topic, "topic"), _files(run, run.dlq_topic, "dlq"), folder(spark, "application")
     settings = application.Settings(root, feed.SESSION, {"availableNow": True})
     for _ in range(2):
-        app = application.Application(spark, settings, lambda: readers.event_stream(spark, edits), lambda: readers.event_stream(spark, rejected), lambda: Reference("", run.watchlist, run.rules), _STAMP)
+        app = application.Application(spark, settings, lambda: readers.event_stream(spark, edits), lambda: readers.event_stream(spark, rejected), lambda: Reference("", run.watchlist, run.rules), _stamp())
         app.run()
     tables = ("bronze", "dlq", "silver", "edits_per_min", "alerts")
     counts = [spark.read.parquet(app.path(t)).agg(F.lit(t).alias("table"), F.count("*").alias("rows")) for t in tables]

@@ -25,12 +25,12 @@ def unpruned(df: DataFrame, column: str) -> list[str]:
 
 def bounds(filters: str, column: str) -> list[str]:
     """What bounds a partition column in a scan's partition filters: `literal` comparisons with constants, `dynamic` pruning by what
-    another side of a join holds. That the column isn't null is no bound, nor is a function of it, which lists every partition."""
+    another side of a join holds. That the column isn't null or isn't some value is no bound, nor is a function of it."""
     name = rf"{re.escape(column)}#\d+L?"
     found = []
     if re.search(rf"dynamicpruning(expression)?\(.*{name} IN", filters):
         found.append("dynamic")
-    plain = re.sub(r"dynamicpruning(expression)?\([^\]]*", "", filters)
+    plain = re.sub(r"dynamicpruning(expression)?\([^\]]*|NOT \([^()]*\)|NOT \S+ IN \([^()]*\)", "", filters)
     if re.search(rf"\({name} (=|<=>|>=|>|<=|<) (?![\w.]*#)[^)]+\)|{name} (IN|INSET) \(?(?!\(?subquery)|cast\({name} as date\) (=|>=|>|<=|<) ", plain):
         found.append("literal")
     return found

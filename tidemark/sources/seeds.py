@@ -12,7 +12,8 @@ from tidemark import schemas
 from tidemark.operators.quality import rules_errors, watchlist_errors
 from tidemark.sources import readers
 
-POINTER = "CURRENT"
+#: A folder of entries <number>-<version>; the greatest is the version that holds.
+LOG = "versions"
 
 
 class SeedError(ValueError):
@@ -42,36 +43,28 @@ def _files(spark: SparkSession, path: str):
 
 
 def current(spark: SparkSession, root: str) -> str | None:
-    """The version that holds now, None before the first load."""
-    _, at, files = _files(spark, f"{root}/{POINTER}")
+    """The version that holds now, None before the first load: that of the last entry in the log of versions."""
+    _, at, files = _files(spark, f"{root}/{LOG}")
     if not files.exists(at):
         return None
-    stream = files.open(at)
-    try:
-        return bytes(stream.readAllBytes()).decode().strip()
-    finally:
-        stream.close()
+    names = [f.getPath().getName() for f in files.listStatus(at)]
+    return max((n for n in names if not n.startswith((".", "_"))), default="-").partition("-")[2] or None
 
 
 def _point_to(spark: SparkSession, root: str, version: str) -> None:
-    """One rename puts the new pointer in place of the old one."""
-    hadoop, draft, files = _files(spark, f"{root}/_{POINTER}-{version}")
-    out = files.create(draft, True)
-    try:
-        out.write(version.encode())
-    finally:
-        out.close()
-    context = hadoop.FileContext.getFileContext(draft.toUri(), spark._jsc.hadoopConfiguration())
-    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context.rename(draft, hadoop.Path(f"{root}/{POINTER}"), options)
+    """One new, empty entry in the log, whose name says all: it is there or not, and no reader sees half of it."""
+    hadoop, at, files = _files(spark, f"{root}/{LOG}")
+    files.mkdirs(at)
+    last = max((int(f.getPath().getName().partition("-")[0]) for f in files.listStatus(at) if f.getPath().getName()[:1].isdigit()), default=0)
+    if not files.createNewFile(hadoop.Path(f"{root}/{LOG}/{last + 1:012d}-{version}")):
+        raise SeedError(f"version {version} is there already")
 
 
 def load(spark: SparkSession, seeds: str, root: str, stamp: str) -> dict[str, int]:
     """Loads <seeds>/watchlist.csv and <seeds>/alert_rules.csv as a new version under root; returns the rows of each.
 
     Both are read by their schemas and checked before anything is written; then both tables are written into a folder of this
-    version alone, with loaded_at; then the pointer moves. A malformed row, a broken rule or a failed write leaves the old version
+    version alone, with loaded_at; then the log of versions gets its entry. A malformed row, a broken rule or a failed write leaves the old version
     as it was, and a reader has either version in full.
     """
     found = {"watchlist": readers.seed_csv(spark, f"{seeds}/watchlist.csv", schemas.WATCHLIST), "alert_rules": readers.seed_csv(spark, f"{seeds}/alert_rules.csv", schemas.RULES)}

@@ -115,7 +115,8 @@ class Flusher:
     """Writes the listener's records every so many seconds on a thread of its own, so that no stream waits for storage.
 
     Records that couldn't be written stay and go first the next time, under the same name; a failure never ends the thread.
-    `stop` waits for a write under way and writes what is left; it returns how many records remain unwritten.
+    `stop` waits for a write under way and writes what is left, unless the sink fails `attempts` times in a row; it returns how
+    many records remain unwritten.
     """
 
     def __init__(self, listener: ProgressListener, write: Callable[[Batch], None], seconds: float = FLUSH_SECONDS, clock: Callable[[], datetime] | None = None):
@@ -154,10 +155,9 @@ class Flusher:
         self._stopped.set()
         if self._thread.is_alive():
             self._thread.join()
-        for _ in range(attempts):
-            self.flush()
-            if not self._waiting:
-                break
+        failed, _ = 0, self.flush()
+        while self._waiting and failed < attempts:
+            failed = 0 if self.flush() else failed + 1
         return sum(len(b.records) for b in self._waiting)
 
 
