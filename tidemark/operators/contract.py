@@ -90,12 +90,17 @@ def first_violation() -> Column:
 
 
 def with_reason(df: DataFrame, raw: str = "raw", into: str = "reason") -> DataFrame:
-    """df with the first violation of each payload. The payload is parsed once, and each field's type is found once."""
+    """df with the first violation of each payload. The payload is parsed once, and each field's type is found once.
+
+    The partition's number in the condition, which always holds, keeps Spark from copying the long expression into filters above: it would be
+    computed twice, in code too large to compile.
+    """
     parsed = df.withColumn("_v", F.try_parse_json(raw))
     kinds = {f"_k_{_name(f)}": F.schema_of_variant(F.try_variant_get("_v", f"$.{f}", "variant")) for f in _FIELDS} | {"_k_": F.schema_of_variant("_v")}
     texts = {f"_t_{_name(f)}": F.try_variant_get("_v", f"$.{f}", "string") for f in _TEXTS}
     found = parsed.withColumns(kinds | texts)
-    return found.withColumn(into, first_violation()).drop("_v", *kinds, *texts)
+    judged = found.withColumn(into, first_violation()).drop("_v", *kinds, *texts)
+    return judged.withColumn(into, F.when(F.spark_partition_id() >= 0, F.col(into)))
 
 
 def is_canary(raw: Column) -> Column:
