@@ -33,7 +33,10 @@ def test_permutation_is_one():
 
 
 def test_sharding(spark):
-    docs = frame(spark, ROWS).withColumn("slot", F.lit("clash"))
+    clash = ("slot", "row", "part", "at", "place", "first", "k0", "_nr_place", "_nr_id", "_shard_row")
+    docs = frame(spark, ROWS).withColumns({c: F.lit("clash") for c in clash})
+    kept = sharding.shard(docs, ["doc_id", "text", "source"]).first()
+    assert all(kept[c] == "clash" for c in clash[1:]) and set(kept.asDict()) == {*docs.columns, "shard"}
     got = sharding.documents_to_shards(docs, 24).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0, r.size, r.text_crc32) for r in got) == sorted((i is None, i or 0, len((t or "").encode()) + 8, crc32((t or "").encode())) for i, t, *_ in ROWS)
     slots = defaultdict(list)

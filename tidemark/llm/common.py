@@ -57,26 +57,26 @@ def key_crc32(column: str) -> Column:
 
 
 def numbered(df: DataFrame, order: list, into: str = "row_no", partitions: int | None = None) -> DataFrame:
-    """df, written to the shared folder, with the global number of each row in the given order, from 0.
+    """df, written to the shared folder, with the global number of each row in the given order, from 0, in the column `into`.
 
     Rows are dealt by range, also by their place in the input so that equal keys spread over tasks; only one count for
     each partition reaches the driver.
     """
-    df = df.withColumn("_nr_place", F.monotonically_increasing_id())
-    keys = [F.col(c) if isinstance(c, str) else c for c in order] + [F.col("_nr_place")]
+    # columns of df are kept in a struct of their own, so no name clashes
+    ranked = df.select(F.struct(*df.columns).alias("row"), *((F.col(c) if isinstance(c, str) else c).alias(f"k{i}") for i, c in enumerate(order)), F.monotonically_increasing_id().alias("place"))
+    keys = [*(f"k{i}" for i in range(len(order))), "place"]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_rows = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    sorted_rows = saved(sorted_rows.withColumns({"_nr_part": F.spark_partition_id(), "_nr_id": F.monotonically_increasing_id()}), "numbered")
+    dealt = ranked.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     # monotonically_increasing_id holds the partition in its upper bits and the place in it in the lower 33
-    sorted_rows = sorted_rows.withColumn("_nr_id", F.col("_nr_id").bitwiseAND((1 << 33) - 1))
+    dealt = saved(dealt.select("row", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("at")), "numbered")
     starts, total = {}, 0
-    for part, rows in sorted(tuple(r) for r in sorted_rows.groupBy("_nr_part").count().collect()):
+    for part, rows in sorted(tuple(r) for r in dealt.groupBy("part").count().collect()):
         starts[part] = total
         total += rows
     # one row for each partition: bounded by the number of partitions, never by the number of rows
-    first = df.sparkSession.createDataFrame(list(starts.items()), "_nr_part int, _nr_first long")
-    out = sorted_rows.join(F.broadcast(first), "_nr_part")
-    return out.withColumn(into, F.col("_nr_first") + F.col("_nr_id")).drop("_nr_part", "_nr_id", "_nr_place", "_nr_first")
+    first = df.sparkSession.createDataFrame(list(starts.items()), "part int, first long")
+    out = dealt.join(F.broadcast(first), "part")
+    return out.select(*(F.col("row")[c].alias(c) for c in df.columns if c != into), (F.col("first") + F.col("at")).alias(into))
 
 
 # ---- text kernels -----------------------------------------------------------------------------------------------------

@@ -46,17 +46,17 @@ def shard(df: DataFrame, order: list, shards: int = 24, seed: int = 1) -> DataFr
     same result however they are partitioned. Nulls in `order` come first; an empty table gives an empty table; repeated
     rows get a place each; columns of df named shard or slot are replaced. One range shuffle of df.
     """
-    rows = numbered(df.drop("shard", "slot"), order, "_shard_row")
+    rows = numbered(df.drop("shard", "slot"), order, "slot")
     n = rows.count()
     names = rows.columns
 
     def place(batch: pa.RecordBatch) -> pa.RecordBatch:
-        at = names.index("_shard_row")
+        at = names.index("slot")
         p = permute(batch.column(at).to_numpy(), n, seed)
         kept = [(name, batch.column(i)) for i, name in enumerate(names) if i != at]
         return pa.RecordBatch.from_arrays([*(c for _, c in kept), pa.array((p % shards).astype(np.int32)), pa.array(p // shards)], names=[*(x for x, _ in kept), "shard", "slot"])
 
-    schema = rows.drop("_shard_row").withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")}).schema
+    schema = rows.drop("slot").withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")}).schema
     return map_batches(rows, place, schema)
 
 
