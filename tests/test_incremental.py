@@ -9,7 +9,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import incremental, maintenance, merge, sketches, warehouse
+from tidemark.operators import incremental, maintenance, merge, reports, sketches, warehouse
 from tidemark.plans import pruning
 
 START = datetime(2026, 5, 1)
@@ -133,6 +133,17 @@ def test_latency_sketches_against_sorted_lists(spark, tmp_path):
     assert none.samples == 0 and none.p50 is None
 
 
+def test_exact_places_with_far_outliers(spark):
+    dice = random.Random(6)
+    values = [dice.randrange(3000) for _ in range(800)] + [10**14, -(10**13), 10**14]
+    ordered = sorted(values)
+    places = {f"p{k}": (lambda n, k=k: F.lit(k)) for k in (0, 1, 57, 400, 799, 800, 802)}
+    got = reports.values_at(spark.createDataFrame([(v,) for v in [*values, None]], "v long"), places).first()
+    assert got.n == len(values) and got.most == 10**14 and all(got[name] == ordered[int(name[1:])] for name in places)
+    one = reports.values_at(spark.createDataFrame([(7,)] * 3, "v long"), places).first()
+    assert one.n == 3 and one.p0 == one.p1 == 7 and one.p57 is None
+
+
 def test_id_sketches_are_within_their_error(spark, tmp_path):
     path = f"file://{tmp_path}/ids"
     rows = spark.range(60_000).select(F.concat(F.lit("e"), (F.col("id") % 20_000).cast("string")).alias("meta_id"), (F.lit(START).cast("timestamp_ntz") + F.make_dt_interval(hours=(F.col("id") / 2_000).cast("int"))).alias("ingested_at"))

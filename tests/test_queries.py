@@ -16,7 +16,7 @@ from tidemark.catalog import batch, streams  # noqa: F401
 NAMES = [
     "to_silver", "contract_reason", "rules_union", "burst_alerts", "daily_digest", "edits_per_min_final", "full_outer_minutes", "minute_gap_fill", "detection_latency", "latency_summary",
     "sink_insert_only_merge", "dq_bronze_complete", "set_diff", "change_link", "streaming_stats", "stream_edits_per_min", "export_alerts", "contains_ip",
-    "sink_append", "record_filter", "pseudonymise", "alert_scenario", "dq_rules_seed", "cross_rule_params", "dq_snapshot_contract", "export_meta", "export_isolated", "sink_snapshot_json", "stream_silver",
+    "sink_append", "record_filter", "pseudonymise", "ingest_stats", "sink_overwrite_ref", "detection_sketch", "offset_gaps", "alert_scenario", "dq_rules_seed", "cross_rule_params", "dq_snapshot_contract", "export_meta", "export_isolated", "sink_snapshot_json", "stream_silver",
 ]
 
 

@@ -115,17 +115,25 @@ def values_at(numbers: DataFrame, places: dict[str, Callable[[Column], Column]])
     """One row: n, the greatest value, and the value at each place of the sorted whole numbers v (places from 0, computed from n).
 
     Exact, and no task takes all values: equal ones are counted where they are, then RANGES ranges, whose running sums name
-    the ranges of the wanted places; only values of those are ordered. Null values have no place.
+    the ranges of the wanted places, then as many parts of each of those; only values of the parts found are ordered, which are
+    whole numbers in 1 / RANGES^2 of the span: a far outlier doesn't bring all others together. Null values have no place.
     """
     counted = numbers.where("v is not null").groupBy("v").agg(F.count("*").alias("c"))
     ends = counted.agg(F.min("v").alias("low"), F.max("v").alias("high"), F.coalesce(F.sum("c"), F.lit(0)).alias("n"))  # one row
     width = F.floor((F.col("high") - F.col("low")) / RANGES) + 1
-    ranged = counted.crossJoin(F.broadcast(ends.select("low", width.alias("width")))).select("v", "c", F.floor((F.col("v") - F.col("low")) / F.col("width")).alias("r"))
+    fine = F.floor(F.col("width") / RANGES) + 1
+    ranged = counted.crossJoin(F.broadcast(ends.select("low", width.alias("width")))).withColumn("r", F.floor((F.col("v") - F.col("low")) / F.col("width")))
+    ranged = ranged.select("v", "c", "r", F.floor((F.col("v") - F.col("low") - F.col("r") * F.col("width")) / fine).alias("part"))
     sums = ranged.groupBy("r").agg(F.sum("c").alias("c"))  # at most RANGES rows, so one task orders them
     sums = sums.withColumn("upto", F.sum("c").over(Window.orderBy("r"))).select("r", (F.col("upto") - F.col("c")).alias("below"), "upto")
     wanted = ends.select(F.explode(F.array(*(F.struct(F.lit(name).alias("name"), place(F.col("n")).cast("long").alias("place")) for name, place in places.items()))).alias("w")).select("w.*")
-    inside = sums.join(F.broadcast(wanted), (F.col("place") >= F.col("below")) & (F.col("place") < F.col("upto")))  # a row for each place
-    near = ranged.join(F.broadcast(inside), "r").withColumn("until", F.col("below") + F.sum("c").over(Window.partitionBy("name").orderBy("v")))
+    holds = (F.col("place") >= F.col("below")) & (F.col("place") < F.col("upto"))
+    inside = sums.join(F.broadcast(wanted), holds).select("name", "place", "r", "below")  # a row for each place
+    # the same within each place's range
+    parts = ranged.join(F.broadcast(inside), "r").groupBy("name", "place", "r", "below", "part").agg(F.sum("c").alias("c"))
+    parts = parts.withColumn("upto", F.col("below") + F.sum("c").over(Window.partitionBy("name").orderBy("part"))).withColumn("below", F.col("upto") - F.col("c"))
+    parts = parts.where(holds).select("name", "place", "r", "part", "below")
+    near = ranged.join(F.broadcast(parts), ["r", "part"]).withColumn("until", F.col("below") + F.sum("c").over(Window.partitionBy("name").orderBy("v")))
     found = near.where(F.col("until") > F.col("place")).agg(*(F.min(F.when(F.col("name") == name, F.col("v"))).alias(name) for name in places))
     return ends.select("n", F.col("high").alias("most")).crossJoin(F.broadcast(found))  # one row each
 
