@@ -15,7 +15,7 @@ from tidemark.functions import scalars as S
 from tidemark.operators.layers import to_silver
 from tidemark.sources import feed, readers, seeds
 from tidemark.streaming import application, jobs
-from tidemark.streaming.progress import Flusher, IngestReport, ProgressListener, json_files
+from tidemark.streaming.progress import ProgressWriter, IngestReport, ProgressListener, json_files
 
 
 def stamp():
@@ -40,7 +40,7 @@ def test_flusher_loses_and_doubles_nothing(spark, tmp_path):
         if len(attempts) % 3 == 2:
             raise OSError("after")
 
-    flusher = Flusher(listener, unsteady, 0.01, lambda: datetime(2026, 1, 2)).start()
+    flusher = ProgressWriter(listener, unsteady, 0.01, lambda: datetime(2026, 1, 2)).start()
     began = time.time()
     for n in range(200):
         listener.add(record(n))
@@ -57,7 +57,7 @@ def test_flusher_keeps_what_cannot_be_written():
     def broken(batch):
         raise OSError
 
-    flusher = Flusher(listener, broken, 60)
+    flusher = ProgressWriter(listener, broken, 60)
     listener.add(record(1))
     assert flusher.flush() == 0 and flusher.flush() == 0 and flusher.stop() == 1
     flusher.write = lambda batch: None
@@ -213,7 +213,7 @@ def test_a_reader_keeps_one_version_during_a_swap(spark, tmp_path):
 
 def test_session_id_needs_something_safe(spark):
     make = lambda text: spark.createDataFrame([(text,)], "c string").select(S.session_id(F.col("c"))).first()[0]
-    assert make("_redpanda.0f/1e!") == "redpanda-0f-1e"
+    assert make("_cluster.0f/1e!") == "cluster-0f-1e"
     for text in ("", "...", "--", None):
         with pytest.raises(Exception, match="letter or digit"):
             make(text)

@@ -17,7 +17,7 @@ from tidemark.plans.workspace import folder
 from tidemark.sources import feed, readers
 from tidemark.sources.seeds import Reference
 from tidemark.streaming import application, jobs
-from tidemark.streaming.progress import Flusher, IngestReport, ProgressListener, json_files
+from tidemark.streaming.progress import ProgressWriter, IngestReport, ProgressListener, json_files
 
 
 def _stamp() -> Column:
@@ -220,7 +220,7 @@ def progress_listener(spark: SparkSession, sf_dir: str) -> DataFrame:
             raise OSError("the answer was lost")
 
     with _listened(spark) as listener:
-        flusher = Flusher(listener, unsteady, 0.05, lambda: datetime(2024, 1, 31)).start()
+        flusher = ProgressWriter(listener, unsteady, 0.05, lambda: datetime(2024, 1, 31)).start()
         jobs.finished(jobs.append_to(readers.event_stream(spark, path, max_files=1), out, _checkpoint(spark, "progress"), "progress"))
     unwritten = flusher.stop()
     rows = readers.progress_log(spark, log).where("query = 'progress' and dt = date'2024-01-31'")
@@ -235,7 +235,7 @@ def sink_progress_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     with _listened(spark) as listener:
         jobs.finished(jobs.append_to(readers.event_stream(spark, path), out, _checkpoint(spark, "sink"), "sink"))
     for day in (datetime(2024, 1, 31), datetime(2024, 2, 1)):
-        Flusher(listener, json_files(spark, log), clock=lambda day=day: day).flush()
+        ProgressWriter(listener, json_files(spark, log), clock=lambda day=day: day).flush()
     return readers.progress_log(spark, log).where("query = 'sink' and dt = date'2024-01-31'").groupBy("query").agg(F.sum("num_input_rows").alias("rows"))
 
 

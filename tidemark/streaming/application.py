@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.layers import to_silver
 from tidemark.sources.seeds import Reference
 from tidemark.streaming import jobs
-from tidemark.streaming.progress import FLUSH_SECONDS, Flusher, ProgressListener, json_files
+from tidemark.streaming.progress import FLUSH_SECONDS, ProgressWriter, ProgressListener, json_files
 
 #: State of all queries lives in RocksDB, on disk and off the heap, and checkpoints only what changed.
 STATE_STORE = {
@@ -52,7 +52,7 @@ class Application:
         self.edits, self.rejected, self.reference = edits, rejected, reference
         self.stamp = F.current_timestamp().cast("timestamp_ntz") if stamp is None else stamp
         self.listener = ProgressListener(settings.session)
-        self.flusher = Flusher(self.listener, json_files(spark, self.path("progress")), settings.flush_seconds)
+        self.writer = ProgressWriter(self.listener, json_files(spark, self.path("progress")), settings.flush_seconds)
         self.running: list = []
 
     def path(self, table: str) -> str:
@@ -75,7 +75,7 @@ class Application:
         for name, value in STATE_STORE.items():
             self.spark.conf.set(name, value)
         self.spark.streams.addListener(self.listener)
-        self.flusher.start()
+        self.writer.start()
         try:
             for begin in self.queries().values():
                 self.running.append(begin())
@@ -124,7 +124,7 @@ class Application:
         finally:
             self.spark.streams.removeListener(self.listener)
             self.running = []
-        return self.flusher.stop()
+        return self.writer.stop()
 
     def run(self) -> None:
         """Start, wait for the end or a failure, stop."""

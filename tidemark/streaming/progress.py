@@ -111,7 +111,7 @@ def json_files(spark: SparkSession, path: str) -> Callable[[Batch], None]:
     return write
 
 
-class Flusher:
+class ProgressWriter:
     """Writes the listener's records every so many seconds on a thread of its own, so that no stream waits for storage.
 
     Records that couldn't be written stay and go first the next time, under the same name; a failure never ends the thread.
@@ -126,9 +126,9 @@ class Flusher:
         self._waiting: list[Batch] = []
         self._turn = threading.Lock()
         self._stopped = threading.Event()
-        self._thread = threading.Thread(target=self._run, name="progress-flusher", daemon=True)
+        self._thread = threading.Thread(target=self._run, name="progress-writer", daemon=True)
 
-    def start(self) -> Flusher:
+    def start(self) -> ProgressWriter:
         self._thread.start()
         return self
 
