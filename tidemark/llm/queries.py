@@ -29,6 +29,7 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row with a null doc_id is not held out, and never learned from."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     held_out = F.coalesce(key_crc32("doc_id") % 5 == 0, F.lit(False))
     model = language.learn(docs, ~held_out & F.col("doc_id").isNotNull())
@@ -52,6 +53,7 @@ def op5_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row with a null doc_id is not held out, and never learned from. Languages serve for the draw of unlabelled texts alone."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     held_out = F.coalesce(key_crc32("doc_id") % 4 == 2, F.lit(False))
     model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out & F.col("doc_id").isNotNull())
@@ -124,8 +126,10 @@ given AS (SELECT conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS
   FROM conversations c JOIN convs ON c.conv_id IS NOT DISTINCT FROM convs.conv_id),
 hurt AS (SELECT conv, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM given WHERE kind <> 0),
 rows_ AS (SELECT *, blank OR again AS gone, NOT blank AND NOT again AND last NOT IN ('.', '!', '?') AS cut FROM (SELECT conv, role, text, turn, substr(role, 1, 1) AS first,
-    row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text, copy) AS place, NOT regexp_matches(text, '[^ 	-]') AS blank,
-    regexp_matches(text, '[^ 	-]') AND row_number() OVER (PARTITION BY conv, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again, right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last FROM hurt)),
+    row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text, copy) AS place, NOT regexp_matches(text, '[^ 	-
+]') AS blank,
+    regexp_matches(text, '[^ 	-
+]') AND row_number() OVER (PARTITION BY conv, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again, right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last FROM hurt)),
 paths AS ({inserted(f"SELECT conv, 0 AS place, {{'c': 0, 't': ''}} AS z, {none} AS s, {none} AS u, {none} AS a FROM convs")} UNION ALL {inserted(moved)}),
 ends AS (SELECT p.conv, {best("z", "a")} AS found FROM paths p LEFT JOIN (SELECT conv, max(place) AS n FROM rows_ GROUP BY 1) r ON r.conv = p.conv WHERE p.place = coalesce(r.n, 0)),
 edits AS (SELECT conv, k, substr(t, k, 1) AS edit FROM (SELECT conv, found.t AS t, unnest(range(1, length(found.t) + 1)) AS k FROM ends)),
