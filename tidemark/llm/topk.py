@@ -13,8 +13,8 @@ from tidemark.llm.common import saved
 BUCKET_ROWS, QUERY_ROWS = 2048, 1024
 #: Buckets, and blocks, of a tile: what meets in one task. A block is moved once for each tile of buckets, not for each bucket.
 TILE = 8
-#: Blocks that share a salt where the blocks' and buckets' lengths are compared.
-SALT_BLOCKS = 64
+#: Blocks for each salt where the tiles' lengths are compared.
+SALT_BLOCKS = 512
 #: Products below 2^53 are exact in double precision; others are multiplied as whole numbers of any size.
 _EXACT = float(1 << 53)
 _LONG = (1 << 63) - 1
@@ -194,9 +194,10 @@ def top_k(vectors: DataFrame, query_ids_divide_by: int = 50, k: int = 5, scale:
     empty table gives an empty table; other columns don't matter.
 
     Steps: (1) vectors are dealt by length into buckets; (2) each block of queries finds its k best in its dimension's
-    longest bucket, whose last score is a lower bound; (3) blocks and buckets are compared by lengths alone, and only
-    pairs that may hold a better product are kept; (4) the vectors of those meet in tiles of TILE blocks by TILE
-    buckets, are pruned one by one against the bounds, multiplied and merged.
+    longest bucket, whose last score is a lower bound; (3) tiles of TILE blocks and of TILE buckets are compared by
+    lengths alone, and only pairs that may hold a better product are kept, each of which is the work of one group; (4)
+    there blocks and buckets are compared by lengths again, vectors are pruned one by one against the bounds,
+    multiplied and merged. Pairs of blocks and buckets are never listed.
     """
     spark = vectors.sparkSession
     rows = saved(quantized(vectors, scale).withColumn("row", F.monotonically_increasing_id()), "topk-vectors")
@@ -206,16 +207,16 @@ def top_k(vectors: DataFrame, query_ids_divide_by: int = 50, k: int = 5, scale:
     queries = saved(_bucketed(rows.where(F.col("vec_id") % query_ids_divide_by == 0), QUERY_ROWS, max(1, parts // query_ids_divide_by)), "topk-queries")
     queries = queries.select(F.col("bucket").alias("block"), F.col("tile").alias("q_tile"), "dim", "ids", "rows", "data")
 
-    def together(pairs: DataFrame, asked: DataFrame, function, schema: str) -> DataFrame:
-        """function(key, blocks, buckets) for each tile of pairs(block, q_tile, bucket, b_tile); payloads are fetched by the pairs."""
-        left = pairs.select("block", "q_tile", "b_tile").distinct().join(asked.drop("q_tile"), "block")
-        right = pairs.select("bucket", F.col("q_tile").alias("for_q"), F.col("b_tile").alias("for_b")).distinct().join(buckets.drop("b_tile"), "bucket")
+    def together(pairs: DataFrame, asked: DataFrame, against: DataFrame, function, schema: str) -> DataFrame:
+        """function(key, blocks, buckets) for each pair(q_tile, b_tile) of tiles."""
+        left = pairs.join(asked, "q_tile")
+        right = pairs.select(F.col("q_tile").alias("for_q"), F.col("b_tile").alias("for_b")).join(against, F.col("for_b") == F.col("b_tile")).drop("b_tile")
         return left.groupBy("q_tile", "b_tile").cogroup(right.groupBy("for_q", "for_b")).applyInArrow(function, schema)
 
     def warm(key, left, right):
         found = {"block": [], "floors": [], "reach": []}
         longest = _side(right)
-        for block in _side(left):
+        for block in (x for x in _side(left) if x["dim"] == longest[0]["dim"]):
             best = _best(block, longest, np.full(len(block["v"]), -np.inf), k)
             floors = np.array([_at_most(b[0][-1]) if b is not None and len(b[0]) == k else -np.inf for b in best])
             # a bucket matters to a query if its greatest length is at least floor / length of the query
@@ -236,16 +237,18 @@ def top_k(vectors: DataFrame, query_ids_divide_by: int = 50, k: int = 5, scale:
         columns = list(zip(*out, strict=True)) if out else [()] * 6
         return pa.table({c: pa.array(x, pa.string() if c == "exact" else pa.int64()) for c, x in zip(("q_row", "query_id", "vec_id", "row", "score", "exact"), columns, strict=True)})
 
-    sizes = buckets.select("bucket", "b_tile", "dim", "most")
-    longest = sizes.groupBy("dim").agg(F.max_by("bucket", F.struct("most", "bucket")).alias("bucket"))
-    first = queries.select("block", "q_tile", "dim").join(longest, "dim").select("block", "q_tile", "bucket", F.col("bucket").alias("b_tile"))
-    floors = saved(together(first, queries, warm, "block long, floors binary, reach double"), "topk-floors")
-    # lengths alone decide which blocks and buckets meet; a salt beside the dimension spreads the blocks
+    # the longest bucket of each dimension is a tile of its own here; blocks of a tile that spans dimensions stay apart
+    first = buckets.groupBy("dim").agg(F.max_by("bucket", F.struct("most", "bucket")).alias("bucket"))
+    longest = buckets.join(first.select("bucket"), "bucket").withColumn("b_tile", F.col("bucket"))
+    begin = queries.select("q_tile", "dim").distinct().join(longest.select("dim", "b_tile"), "dim")
+    floors = saved(together(begin.select("q_tile", "b_tile"), queries, longest, warm, "block long, floors binary, reach double"), "topk-floors")
+    # lengths alone decide which tiles meet; a salt beside the dimension spreads them
     salts = max(1, -(-queries.count() // SALT_BLOCKS))
-    asking = queries.select("block", "q_tile", "dim").join(floors.select("block", "reach"), "block").withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salts)))
-    salted = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    pairs = asking.join(salted, ["dim", "salt"]).where(F.col("most") * (1 + 1e-12) >= F.col("reach")).select("block", "q_tile", "bucket", "b_tile")
-    found = together(saved(pairs, "topk-pairs"), queries.join(floors.drop("reach"), "block"), meet, _FOUND)
+    asking = queries.select("block", "q_tile", "dim").join(floors.select("block", "reach"), "block").groupBy("q_tile", "dim").agg(F.min("reach").alias("reach"))
+    asking = asking.withColumn("salt", F.pmod(F.xxhash64("q_tile"), F.lit(salts)))
+    salted = buckets.groupBy("b_tile", "dim").agg(F.max("most").alias("most")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    pairs = asking.join(salted, ["dim", "salt"]).where(F.col("most") * (1 + 1e-12) >= F.col("reach")).select("q_tile", "b_tile").distinct()
+    found = together(saved(pairs, "topk-pairs"), queries.join(floors.drop("reach"), "block"), buckets, meet, _FOUND)
 
     def merge(key, table):
         ids, own = (table.column(c).to_numpy() for c in ("vec_id", "row"))
