@@ -63,11 +63,16 @@ def test_coder_round_trip():
         assert (part == ids[first * rans.LANES :][: len(part)]).all()
 
 
-def test_token_files(spark):
+@pytest.mark.parametrize(("lanes", "steps", "block"), [(1024, 128, 1 << 18), (8, 4, 100)])
+def test_token_files(spark, monkeypatch, lanes, steps, block):
+    """With small parts nearly all documents lie over several, and blocks hold a few documents."""
+    for name, value in (("LANES", lanes), ("CHECKPOINT_STEPS", steps), ("BLOCK_TOKENS", block)):
+        monkeypatch.setattr(rans, name, value)
     dice = random.Random(2)
-    rows = [(i, t) for i, t in enumerate(ODD)] + [(100, "x " * 40_000), (7, "again"), (7, "again"), (None, "no id")] + [(200 + i, " ".join(dice.choice(["one", "two", "zwölf"]) for _ in range(500))) for i in range(50)]
+    rows = [(i, t) for i, t in enumerate(ODD)] + [(100, "x " * (40_000 if lanes > 8 else 500)), (7, "again"), (7, "again"), (None, "no id")] + [(200 + i, " ".join(dice.choice(["one", "two", "zwölf"]) for _ in range(500))) for i in range(50 if lanes > 8 else 5)]
     docs = frame(spark, rows, "doc_id long, text string").selectExpr("*", "1 as start", "2 as n_tokens")
     blocks, table = rans.write_tokens(docs, tokenizer_file("byte_bpe_50k.json"), 2, 50257)
+    assert blocks.where(f"n_tokens > {lanes * steps}").count() == 0
     got = sorted((tuple(r) for r in rans.read_tokens(blocks, table, 50257, "bigint").collect()), key=lambda r: r[1])
     want = library("byte_bpe_50k.json")
     at = 0
@@ -80,7 +85,7 @@ def test_token_files(spark):
     broken = next(r for r in blocks.collect() if r.payload).asDict()
     broken["payload"] = bytes([broken["payload"][0] ^ 1]) + bytes(broken["payload"][1:])
     with pytest.raises(ValueError, match="checksum"):
-        rans.decode_block(None, broken)
+        rans.decode_part(None, broken)
     assert rans.token_digest(docs.limit(0), tokenizer_file("byte_bpe_50k.json")).count() == 0
 
 

@@ -38,11 +38,11 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, **options) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage, survives lost executors and is read in pieces."""
     bounded_batches(df.sparkSession)
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(**{"compression": "zstd"} | options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
