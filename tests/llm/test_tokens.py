@@ -63,7 +63,7 @@ def test_coder_round_trip():
         assert (part == ids[first * rans.LANES :][: len(part)]).all()
 
 
-@pytest.mark.parametrize(("lanes", "steps", "block"), [(1024, 128, 1 << 18), (8, 4, 100)])
+@pytest.mark.parametrize(("lanes", "steps", "block"), [(rans.LANES, rans.CHECKPOINT_STEPS, rans.BLOCK_TOKENS), (8, 4, 100)])
 def test_token_files(spark, monkeypatch, lanes, steps, block):
     """With small parts nearly all documents lie over several, and blocks hold a few documents."""
     for name, value in (("LANES", lanes), ("CHECKPOINT_STEPS", steps), ("BLOCK_TOKENS", block)):

@@ -24,10 +24,10 @@ from tidemark.llm.common import map_batches, saved
 from tidemark.llm.tokens import release, tokenizer
 
 SCALE_BITS = 22
-LANES = 1024
+LANES = 4096
 #: Tokens after which a block is closed (at the end of a document).
-BLOCK_TOKENS = 1 << 18
-CHECKPOINT_STEPS = 128
+BLOCK_TOKENS = 1 << 20
+CHECKPOINT_STEPS = 64
 _LOW = np.uint64(1 << 31)
 PART_SCHEMA = (
     "file_no int, block_no long, part int, first long, n_tokens long, doc_ids binary, lengths binary, before long, after long, states binary, payload binary, payload_crc32 long, ids_crc32 long"
@@ -72,16 +72,16 @@ class Coder:
         marks: list[tuple[int, np.ndarray]] = []
         written = 0
         for step in range(steps - 1, -1, -1):
-            part = ids[step * self.lanes : (step + 1) * self.lanes]
+            part = ids[step * self.lanes : (step + 1) * self.lanes].astype(np.int64)
             k = len(part)
-            x, f = state[:k], self.freq[part]
+            x, f = state[:k], self.freq.take(part)
             full = np.flatnonzero(x >= f << np.uint64(63 - SCALE_BITS))  # (2^31 >> bits) << 32 states per frequency
             if full.size:
                 words.append((x[full] & np.uint64(0xFFFFFFFF)).astype(np.uint32)[::-1])
                 written += full.size
                 x[full] >>= np.uint64(32)
             q = x // f
-            state[:k] = (q << bits) + (x - q * f) + self.start[part]
+            state[:k] = (q << bits) + (x - q * f) + self.start.take(part)
             if step % self.gap == 0:
                 marks.append((written, state.copy()))
         payload = np.concatenate(words)[::-1] if words else np.zeros(0, np.uint32)
@@ -98,8 +98,9 @@ class Coder:
             k = min(self.lanes, n - step * self.lanes)
             x = state[:k]
             slot = x & mask
-            part = self.symbol[slot]
-            x = self.freq[part] * (x >> bits) + slot - self.start[part]
+            part = self.symbol.take(slot.view(np.int64))
+            at_part = part.astype(np.int64)
+            x = self.freq.take(at_part) * (x >> bits) + slot - self.start.take(at_part)
             low = np.flatnonzero(x < _LOW)
             if low.size:
                 x[low] = (x[low] << np.uint64(32)) | payload[at : at + low.size]
