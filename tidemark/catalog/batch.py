@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.catalog import query
-from tidemark.catalog.model import Run
+from tidemark.catalog.model import Run, stored_as
 from tidemark.functions import scalars as S
 from tidemark.operators import alerts as A
 from tidemark.operators import contract, documents, export, gold, incremental, layers, maintenance, merge, ops, privacy, quality, reports, sketches, warehouse
@@ -136,9 +136,10 @@ def src_snapshot_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT meta_id, wiki, title, edit_type, editor_type FROM silver")
 def sink_insert_only_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three batches of a stream, each of some days, by insert-only merge: the second overlaps the first, and comes twice."""
+    """Three batches of a stream, each of some days, by insert-only merge: the second overlaps the first, and comes twice. The records
+    are stored once, as a topic keeps them, and each batch reads and parses them."""
     run, path = Run(spark, sf_dir), folder(spark, "merge")
-    rows = layers.to_silver(run.topic)
+    rows = layers.to_silver(stored_as(run.topic, "topic"))
     first, last = feed.base_events(spark, sf_dir).agg(F.min("event_ts"), F.max("event_ts")).first()
     if first is None:
         return rows.select("meta_id", "wiki", "title", "edit_type", "editor_type")

@@ -13,7 +13,8 @@ from tidemark.plans.workspace import folder
 from tidemark.sources import feed
 
 
-def _stored(rows: DataFrame, name: str) -> DataFrame:
+def stored_as(rows: DataFrame, name: str) -> DataFrame:
+    """rows, written and read back."""
     path = folder(rows.sparkSession, name)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
@@ -52,12 +53,12 @@ class Run:
     @cached_property
     def silver(self) -> DataFrame:
         rows = layers.silver(self.topic)
-        return _stored(rows, "silver") if self.stored else rows
+        return stored_as(rows, "silver") if self.stored else rows
 
     @cached_property
     def _alerts(self) -> DataFrame:
         found = alerts.find_alerts(self.silver, self.watchlist, self.rules)
-        return _stored(found, "alerts") if self.stored else found
+        return stored_as(found, "alerts") if self.stored else found
 
     @property
     def watchlist(self) -> DataFrame:
