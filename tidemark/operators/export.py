@@ -49,8 +49,8 @@ def document(parts: dict[str, DataFrame], now: Column, **fixed) -> DataFrame:
 def alerts_document(top: DataFrame, digest: DataFrame, now: Column) -> DataFrame:
     """top: alerts with detected_at; both are capped by their makers."""
     iso = {c: S.iso_utc(F.col(c)) for c in ("event_ts", "detected_at")}
-    # newest first within a severity: the negated time sorts so
-    rows = top.withColumns({"_rank": severity_rank(), "_age": -F.unix_timestamp(F.col("event_ts").cast("timestamp"))}).withColumns(iso)
+    # newest first within a severity: the negated time sorts so, to the microsecond, before the texts of whole seconds take its place
+    rows = top.withColumns({"_rank": severity_rank(), "_age": -F.unix_micros(F.col("event_ts").cast("timestamp"))}).withColumns(iso)
     d = digest.withColumns({"_age": -F.unix_date("digest_date"), "digest_date": F.date_format("digest_date", "yyyy-MM-dd")})
     fields = [c for c in digest.columns if c != "owner_team"]
     return document({"alerts": as_array(rows, ALERT_FIELDS, ["_rank", "_age", "alert_id"], "alerts"), "digest": as_array(d, fields, ["_age", (-F.col("edits")).alias("e"), "wiki", "title"], "digest")}, now, window_days=7)
