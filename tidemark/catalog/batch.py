@@ -353,8 +353,11 @@ def hour_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table by hours, read for the last hour alone."""
     run, path = Run(spark, sf_dir), folder(spark, "hours")
     merge.append_new(layers.to_silver(run.topic), path, "meta_id")
-    last = list(merge.rows_of(merge.by_hour(run.silver)))[-1:]
-    return spark.read.parquet(path).where(merge.only(last)).select("meta_id")
+    if not merge.table_exists(spark, path):  # a feed without events makes no table
+        return run.silver.select("meta_id").limit(0)
+    table = spark.read.parquet(path)
+    last = list(merge.rows_of(table))[-1:]  # the scan takes the hours of its files' folders, and no column of the rows
+    return table.where(merge.only(last)).select("meta_id")
 
 
 @query("SELECT DISTINCT date_trunc('hour', event_ts) AS hour FROM silver")
