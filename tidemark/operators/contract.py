@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import EVENT_TYPES, contains_ip
+from tidemark.functions.scalars import EVENT_TYPES, contains_ip, once
 
+_WIKI = "^[a-z0-9_]+$"
 _INTEGER = r"^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL\(\d+,0\))$"
 
 
@@ -18,29 +19,51 @@ _FIELDS = (
 _TEXTS = ("type", "title", "wiki", "meta.id")
 
 
-def _name(path: str) -> str:
-    return path.removeprefix("$.").replace(".", "_")
+def _object(*fields: str) -> str:
+    """A pattern of an object's type as Spark names it: its fields in order, each `name: types`, `?` after those that may be absent."""
+    return "OBJECT<" + "".join(f"((, )?{f.rstrip('?')})" + ("?" if f.endswith("?") else "") for f in fields) + ">"
+
 
+def _changes(name: str) -> str:
+    one = r"(TINYINT|SMALLINT|INT|BIGINT|DECIMAL\(\d+,0\)|VOID)"
+    return f"{name}: {_object(f'new: {one}?', f'old: {one}?')}?"
 
-def _kind(path: str) -> Column:
-    """The type of a field as Spark names it; null if the field is absent, VOID if it is a JSON null."""
-    return F.col(f"_k_{_name(path)}")
 
+#: The type of events that hold no fields but known ones, all of a right type. Names of other characters than letters, digits and _
+#: are quoted in a type, so no name can feign one.
+_USUAL = "^" + _object(
+    "bot: BOOLEAN?", _changes("length"), "log_action: (STRING|VOID)?", "log_type: (STRING|VOID)?",
+    f"meta: {_object('domain: STRING?', 'dt: STRING', 'id: STRING', 'stream: STRING?')}", f"namespace: {_INTEGER[1:-1]}", _changes("revision"),
+    f"timestamp: {_INTEGER[1:-1]}?", "title: STRING", "type: STRING", "user: STRING?", "wiki: STRING",
+) + "$"
 
-def _text(path: str) -> Column:
-    return F.col(f"_t_{_name(path)}")
 
+def _usual() -> Column:
+    """Whether an event is valid by the type of the whole alone, and its texts: most are. The others go through all checks."""
+    texts = F.col("_t_type").isin(*EVENT_TYPES) & (F.col("_t_title") != "") & F.col("_t_wiki").rlike(_WIKI) & (F.col("_t_meta_id") != "")
+    return F.coalesce(F.col("_k_").rlike(_USUAL) & texts, F.lit(False))
 
-def first_violation() -> Column:
-    """Over the columns that with_reason adds: `path: rule`, invalid_json, not_an_object, or null for a valid event.
+
+def _name(path: str) -> str:
+    return path.removeprefix("$.").replace(".", "_")
+
+
+def first_violation(event: Column) -> Column:
+    """Over a struct of the columns that with_reason finds: `path: rule`, invalid_json, not_an_object, or null for a valid event.
 
     Violations are ordered by the length of their path, then path, then rule; missing root fields are the root's own, in the
     schema's order. The value itself never shows. A whole number may be written 1.0; dates are not checked here.
 
-    Tests of absent fields are null, which is no violation. Nothing more is spelled out than needed: the JVM compiles no method
-    of over 8,000 bytes, and all checks together are one.
+    Tests of absent fields are null, which is no violation.
     """
 
+    def _kind(path: str) -> Column:
+        """The type of a field as Spark names it; null if the field is absent, VOID if it is a JSON null."""
+        return event[f"_k_{_name(path)}"]
+
+    def _text(path: str) -> Column:
+        return event[f"_t_{_name(path)}"]
+
     def kind_is(path: str, *names: str) -> Column:
         return _kind(path).isin(*names) if len(names) > 1 else _kind(path) == names[0]
 
@@ -72,7 +95,7 @@ def first_violation() -> Column:
         text_type("title"),
         (~kind_is("$.type", "STRING") | ~_text("$.type").isin(*EVENT_TYPES), "type: enum"),
         text_type("user"),
-        (kind_is("$.wiki", "STRING") & ~_text("$.wiki").rlike("^[a-z0-9_]+$"), "wiki: pattern"),
+        (kind_is("$.wiki", "STRING") & ~_text("$.wiki").rlike(_WIKI), "wiki: pattern"),
         text_type("wiki"),
         whole_or_null("length.new"),
         whole_or_null("length.old"),
@@ -84,24 +107,24 @@ def first_violation() -> Column:
         whole_or_null("revision.new"),
         whole_or_null("revision.old"),
     ]
-    found = F.when(F.col("_k_").isNull(), "invalid_json").when(~F.col("_k_").startswith("OBJECT"), "not_an_object")
+    found = F.when(event["_k_"].isNull(), "invalid_json").when(~event["_k_"].startswith("OBJECT"), "not_an_object")
     for bad, name in checks:
         found = found.when(bad, name)
     return found
 
 
 def with_reason(df: DataFrame, raw: str = "raw", into: str = "reason") -> DataFrame:
-    """df with the first violation of each payload. The payload is parsed once, and each field's type is found once.
-
-    The partition's number in the condition, which always holds, keeps Spark from copying the long expression into filters above: it would be
-    computed twice, in code too large to compile.
+    """df with the first violation of each payload. The payload is parsed once; what is usual is valid, and the types of single fields are
+    found, each once, for the rest alone: for the others the fields of a null are looked at, which takes no time. The JVM compiles no
+    method of over 8,000 bytes, and Spark makes one of all this: so the checks of the rest are the body of a lambda, which isn't part of it.
     """
     parsed = df.withColumn("_v", F.try_parse_json(raw))
-    kinds = {f"_k_{_name(f)}": F.schema_of_variant(F.try_variant_get("_v", f"$.{f}", "variant")) for f in _FIELDS} | {"_k_": F.schema_of_variant("_v")}
     texts = {f"_t_{_name(f)}": F.try_variant_get("_v", f"$.{f}", "string") for f in _TEXTS}
-    found = parsed.withColumns(kinds | texts)
-    judged = found.withColumn(into, first_violation()).drop("_v", *kinds, *texts)
-    return judged.withColumn(into, F.when(F.spark_partition_id() >= 0, F.col(into)))
+    typed = parsed.withColumns({"_k_": F.schema_of_variant("_v")} | texts).withColumn("_usual", _usual())
+    typed = typed.withColumn("_v", F.when(~F.col("_usual"), F.col("_v")))
+    kinds = {f"_k_{_name(f)}": F.schema_of_variant(F.try_variant_get("_v", f"$.{f}", "variant")) for f in _FIELDS}
+    reason = F.when(~F.col("_usual"), F.transform(F.array(F.struct("_k_", *kinds, *texts)), first_violation)[0])
+    return typed.withColumns(kinds).withColumn(into, once(reason)).drop("_v", "_k_", "_usual", *kinds, *texts)
 
 
 def is_canary(raw: Column) -> Column:
@@ -111,7 +134,7 @@ def is_canary(raw: Column) -> Column:
 
 def routed(df: DataFrame) -> DataFrame:
     """df without canaries, with the reason of rejection (null for valid events)."""
-    return with_reason(df.where(~is_canary(F.col("raw"))))
+    return with_reason(df.withColumn("raw", once(F.col("raw"))).where(~is_canary(F.col("raw"))))
 
 
 def outcome(df: DataFrame) -> DataFrame:

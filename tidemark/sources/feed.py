@@ -10,12 +10,18 @@ from tidemark import schemas
 SESSION = "s1"
 
 
-def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row for each row of events, with the fields of a change event."""
+def base_events(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """One row for each row of events, with the fields of a change event.
+
+    With `spread` the rows go to all cores before anything is made of them: a file is read by as many tasks as it has row groups,
+    and a group may hold a million rows.
+    """
     k = F.get_json_object("props", "$.k").cast("int")
     kind, i, u = F.col("event_type"), F.col("event_id"), F.col("user_id")
     is_log, is_new = kind == "error", kind == "signup"
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if spread:
+        e = e.repartition(2 * spark.sparkContext.defaultParallelism, "event_id")
     return e.select(
         i.alias("event_id"),
         F.concat(F.lit("ev-"), i.cast("string")).alias("meta_id"),
@@ -59,8 +65,9 @@ def received(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What comes in before any check: raw, event_id, kind, ingested_at. Every row of events, a copy of every hundredth, and
     for a few rows one without a title, one that is no JSON, and one of the canary domain."""
     e = base_events(spark, sf_dir)
-    main = e.select(_payload(F.col("title"), "wiki.example").alias("raw"), "event_id", F.lit("base").alias("kind"), "ingested_at")
-    copies = main.where(F.col("event_id") % 100 == 99).withColumns({"kind": F.lit("copy"), "ingested_at": F.col("ingested_at") + F.expr("INTERVAL 1 MINUTE")})
+    as_base = lambda rows: rows.select(_payload(F.col("title"), "wiki.example").alias("raw"), "event_id", F.lit("base").alias("kind"), "ingested_at")
+    main = as_base(base_events(spark, sf_dir, spread=True))
+    copies = as_base(e.where(F.col("event_id") % 100 == 99)).withColumns({"kind": F.lit("copy"), "ingested_at": F.col("ingested_at") + F.expr("INTERVAL 1 MINUTE")})
     bad = e.where(F.col("event_id") % 211 == 0).withColumn("meta_id", F.concat(F.lit("bad-"), F.col("event_id").cast("string")))
     bad = bad.select(_payload(F.lit(None).cast("string"), "wiki.example").alias("raw"), "event_id", F.lit("bad").alias("kind"), "ingested_at")
     broken = e.where(F.col("event_id") % 307 == 0).select(F.concat(F.lit("{broken "), F.col("meta_id")).alias("raw"), "event_id", F.lit("broken").alias("kind"), "ingested_at")
