@@ -107,9 +107,13 @@ _LAG = f"""WITH {_OFFSETS}, p AS (SELECT 0 AS kafka_partition, last + 1 AS proce
 SELECT kafka_partition, high AS latest_offset, processed_offset, CASE WHEN processed_offset IS NOT NULL THEN greatest(high - processed_offset, 0) END AS lag FROM highs LEFT JOIN p USING (kafka_partition)"""
 
 
+def _lag(spark: SparkSession, sf_dir: str, recent: DataFrame) -> DataFrame:
+    return ops.lag(_highs(spark, sf_dir), ops.processed_offsets(recent, "silver_edits", "edits"))
+
+
 @query(_LAG)
 def left_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.lag(_highs(spark, sf_dir), ops.processed_offsets(_recent(spark, sf_dir), "silver_edits", "edits"))
+    return _lag(spark, sf_dir, _recent(spark, sf_dir))
 
 
 @query(f"SELECT CAST(sum(lag) AS BIGINT) AS lag FROM ({_LAG})")
@@ -887,7 +891,7 @@ def dq_snapshot_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four documents with broken values, missing and unknown fields, wrong types, nested ones too, and a list over its cap."""
     run = Run(spark, sf_dir, stored=True)
     now = F.lit(run.now).cast("timestamp_ntz")
-    union = reports.top_alerts(_union(run), 501)
+    union = stored_as(reports.top_alerts(_union(run), 501), "top")  # counted and exported
     meta = export.meta_document(spark, model_run_status(spark, sf_dir), {"alerts": {"alerts": union.count()}}, None, now)
     broken = {
         "alerts": (export.alerts_document(union, reports.top_digest(run.digest), now), [('"severity":"high"', '"severity":"urgent"'), ('"title":"Page 1"', '"title":1')]),
@@ -1000,12 +1004,13 @@ def _health(run: Run) -> DataFrame:
     one = lambda df, name: df.select(F.struct(*[F.col(c) for c in sorted(df.columns)]).alias(name))
     fresh = reports.freshness(run.bronze, run.silver, run.realtime)
     fresh = fresh.select(*[S.iso_utc(F.col(c)).alias(c) for c in fresh.columns])
+    recent = _recent(run.spark, run.sf_dir)
     parts = {
         "freshness": one(fresh, "freshness"),
         "funnel": one(reports.funnel(run.bronze, run.dlq).withColumn("received", F.col("bronze") + F.col("dlq")), "funnel"),
         "detection_seconds": one(reports.detection_latency(run.alerts), "detection_seconds"),
-        "streaming": export.as_array(streaming_stats(run.spark, run.sf_dir), ["query", "batches", "input_rows_per_second", "batch_duration_ms_p50", "batch_duration_ms_max"], ["query"], "streaming"),
-        "lag": export.as_array(left_lag(run.spark, run.sf_dir).withColumnRenamed("kafka_partition", "partition"), ["partition", "latest_offset", "processed_offset", "lag"], ["partition"], "lag"),
+        "streaming": export.as_array(ops.streaming_stats(recent), ["query", "batches", "input_rows_per_second", "batch_duration_ms_p50", "batch_duration_ms_max"], ["query"], "streaming"),
+        "lag": export.as_array(_lag(run.spark, run.sf_dir, recent).withColumnRenamed("kafka_partition", "partition"), ["partition", "latest_offset", "processed_offset", "lag"], ["partition"], "lag"),
     }
     return export.document(parts, F.lit(run.now).cast("timestamp_ntz"))
 

@@ -74,9 +74,10 @@ class Run:
         event_id = F.substring("meta_id", 4, 20).cast("long")
         return self._alerts.withColumn("detected_at", F.col("ingested_at") + F.make_dt_interval(secs=F.lit(1.5) * (event_id % 7)))
 
-    @property
+    @cached_property
     def bursts(self) -> DataFrame:
-        return gold.bursts(self.silver, self.watchlist, self.rules)
+        found = gold.bursts(self.silver, self.watchlist, self.rules)
+        return stored_as(found, "bursts") if self.stored else found
 
     @property
     def minutes(self) -> DataFrame:

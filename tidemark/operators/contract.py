@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import EVENT_TYPES, contains_ip, once
+from tidemark.operators.layers import payload_type
 
 _WIKI = "^[a-z0-9_]+$"
 _INTEGER = r"^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL\(\d+,0\))$"
@@ -17,6 +18,8 @@ _FIELDS = (
     "revision", "revision.old", "revision.new", "log_type", "log_action",
 )
 _TEXTS = ("type", "title", "wiki", "meta.id")
+#: The types of fields as they are mostly written; those of other single fields are texts.
+_WRITTEN = {"bot": "boolean"} | dict.fromkeys(("namespace", "timestamp", "length.old", "length.new", "revision.old", "revision.new"), "bigint")
 
 
 def _object(*fields: str) -> str:
@@ -44,6 +47,20 @@ def _usual() -> Column:
     return F.coalesce(F.col("_k_").rlike(_USUAL) & texts, F.lit(False))
 
 
+def _opened(df: DataFrame, raw: str) -> DataFrame:
+    """df with _o, the payload's fields by name, if it is written as Spark would write them: in the order above, nothing else, nothing
+    null, no blanks. A text that is what typed fields give when written holds fields of just these types, however it was read."""
+    fields = {f: (f, _WRITTEN.get(f, "string")) for f in _FIELDS if not any(other.startswith(f"{f}.") for other in _FIELDS)}
+    read = df.withColumn("_o", once(F.from_json(raw, payload_type(fields))))
+    return read.withColumn("_o", once(F.when(F.to_json("_o", {"ignoreNullFields": "true"}) == F.col(raw), F.col("_o"))))
+
+
+def _plain() -> Column:
+    """Whether an event is valid by what `_opened` has read: no type is looked for."""
+    texts = F.col("_o.type").isin(*EVENT_TYPES) & (F.col("_o.title") != "") & F.col("_o.wiki").rlike(_WIKI) & (F.col("_o.meta.id") != "")
+    return F.coalesce(texts & F.col("_o.meta.dt").isNotNull() & F.col("_o.namespace").isNotNull(), F.lit(False))
+
+
 def _name(path: str) -> str:
     return path.removeprefix("$.").replace(".", "_")
 
@@ -114,17 +131,23 @@ def first_violation(event: Column) -> Column:
 
 
 def with_reason(df: DataFrame, raw: str = "raw", into: str = "reason") -> DataFrame:
-    """df with the first violation of each payload. The payload is parsed once; what is usual is valid, and the types of single fields are
-    found, each once, for the rest alone: for the others the fields of a null are looked at, which takes no time. The JVM compiles no
-    method of over 8,000 bytes, and Spark makes one of all this: so the checks of the rest are the body of a lambda, which isn't part of it.
+    """df with the first violation of each payload. What is written as usual is valid by its fields and texts. The rest is parsed once; what
+    is usual of that is valid by its whole type, and the types of single fields are found, each once, for what is left alone: for the others
+    the fields of a null are looked at, which takes no time. The JVM compiles no method of over 8,000 bytes, and Spark makes one of all this:
+    so the checks of the rest are the body of a lambda, which isn't part of it.
     """
-    parsed = df.withColumn("_v", F.try_parse_json(raw))
+    return _judged(_opened(df, raw), raw, into)
+
+
+def _judged(opened: DataFrame, raw: str = "raw", into: str = "reason") -> DataFrame:
+    plain = opened.withColumn("_plain", _plain()).drop("_o")
+    parsed = plain.withColumn("_v", F.when(~F.col("_plain"), F.try_parse_json(raw)))
     texts = {f"_t_{_name(f)}": F.try_variant_get("_v", f"$.{f}", "string") for f in _TEXTS}
-    typed = parsed.withColumns({"_k_": F.schema_of_variant("_v")} | texts).withColumn("_usual", _usual())
+    typed = parsed.withColumns({"_k_": F.schema_of_variant("_v")} | texts).withColumn("_usual", F.col("_plain") | _usual())
     typed = typed.withColumn("_v", F.when(~F.col("_usual"), F.col("_v")))
     kinds = {f"_k_{_name(f)}": F.schema_of_variant(F.try_variant_get("_v", f"$.{f}", "variant")) for f in _FIELDS}
     reason = F.when(~F.col("_usual"), F.transform(F.array(F.struct("_k_", *kinds, *texts)), first_violation)[0])
-    return typed.withColumns(kinds).withColumn(into, once(reason)).drop("_v", "_k_", "_usual", *kinds, *texts)
+    return typed.withColumns(kinds).withColumn(into, once(reason)).drop("_v", "_k_", "_plain", "_usual", *kinds, *texts)
 
 
 def is_canary(raw: Column) -> Column:
@@ -133,8 +156,10 @@ def is_canary(raw: Column) -> Column:
 
 
 def routed(df: DataFrame) -> DataFrame:
-    """df without canaries, with the reason of rejection (null for valid events)."""
-    return with_reason(df.withColumn("raw", once(F.col("raw"))).where(~is_canary(F.col("raw"))))
+    """df without canaries, with the reason of rejection (null for valid events). The domain of what is written as usual is read with it."""
+    opened = _opened(df.withColumn("raw", once(F.col("raw"))), "raw")
+    canary = F.when(F.col("_o").isNotNull(), F.coalesce(F.col("_o.meta.domain") == "canary", F.lit(False))).otherwise(is_canary(F.col("raw")))
+    return _judged(opened.where(~canary))
 
 
 def outcome(df: DataFrame) -> DataFrame:
