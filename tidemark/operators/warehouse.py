@@ -19,9 +19,9 @@ WEEK, HALF_DAY = timedelta(days=7), timedelta(hours=12)
 
 
 def store(rows: DataFrame, root: str, layer: str) -> None:
-    """Writes a layer by days."""
+    """Writes a layer by days: a file for each, but several tasks and files for a day that is large for one task."""
     at = LAYERS[layer]
-    rows.where(F.col(at).isNotNull()).withColumn(DAY, F.date_format(at, "yyyy-MM-dd")).repartition(DAY).write.partitionBy(DAY).parquet(f"{root}/{layer}")
+    rows.where(F.col(at).isNotNull()).withColumn(DAY, F.date_format(at, "yyyy-MM-dd")).hint("rebalance", DAY).write.partitionBy(DAY).parquet(f"{root}/{layer}")
 
 
 class Warehouse:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.functions.scalars import message_key
 
 SESSION = "s1"
 
@@ -64,28 +65,33 @@ def _payload(title, domain) -> F.Column:
 def received(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What comes in before any check: raw, event_id, kind, ingested_at. Every row of events, a copy of every hundredth, and
     for a few rows one without a title, one that is no JSON, and one of the canary domain."""
+    return _keyed(spark, sf_dir).drop("kafka_key")
+
+
+def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What comes in, with the keys that its producer gives to the records: it knows the page, and needn't look for it in the payload."""
     e = base_events(spark, sf_dir)
-    as_base = lambda rows: rows.select(_payload(F.col("title"), "wiki.example").alias("raw"), "event_id", F.lit("base").alias("kind"), "ingested_at")
+    key, none = message_key(F.col("wiki"), F.col("title")).alias("kafka_key"), F.lit(None).cast("string").alias("kafka_key")
+    as_base = lambda rows: rows.select(_payload(F.col("title"), "wiki.example").alias("raw"), "event_id", F.lit("base").alias("kind"), "ingested_at", key)
     main = as_base(base_events(spark, sf_dir, spread=True))
     copies = as_base(e.where(F.col("event_id") % 100 == 99)).withColumns({"kind": F.lit("copy"), "ingested_at": F.col("ingested_at") + F.expr("INTERVAL 1 MINUTE")})
     bad = e.where(F.col("event_id") % 211 == 0).withColumn("meta_id", F.concat(F.lit("bad-"), F.col("event_id").cast("string")))
-    bad = bad.select(_payload(F.lit(None).cast("string"), "wiki.example").alias("raw"), "event_id", F.lit("bad").alias("kind"), "ingested_at")
-    broken = e.where(F.col("event_id") % 307 == 0).select(F.concat(F.lit("{broken "), F.col("meta_id")).alias("raw"), "event_id", F.lit("broken").alias("kind"), "ingested_at")
+    bad = bad.select(_payload(F.lit(None).cast("string"), "wiki.example").alias("raw"), "event_id", F.lit("bad").alias("kind"), "ingested_at", none)
+    broken = e.where(F.col("event_id") % 307 == 0).select(F.concat(F.lit("{broken "), F.col("meta_id")).alias("raw"), "event_id", F.lit("broken").alias("kind"), "ingested_at", none)
     canary = e.where(F.col("event_id") % 503 == 0).withColumn("meta_id", F.concat(F.lit("canary-"), F.col("event_id").cast("string")))
-    canary = canary.select(_payload(F.col("title"), "canary").alias("raw"), "event_id", F.lit("canary").alias("kind"), "ingested_at")
+    canary = canary.select(_payload(F.col("title"), "canary").alias("raw"), "event_id", F.lit("canary").alias("kind"), "ingested_at", key)
     return main.unionByName(copies).unionByName(bad).unionByName(broken).unionByName(canary)
 
 
 def topic(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = ("base", "copy")) -> DataFrame:
     """The topic of valid events as decoded records: 6 partitions, offsets from 0 without gaps, copies after all others."""
-    rows = received(spark, sf_dir).where(F.col("kind").isin(*kinds))
+    rows = _keyed(spark, sf_dir).where(F.col("kind").isin(*kinds))
     last = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("event_id").alias("_last"))
     i, p = F.col("event_id"), F.col("event_id") % 6
     rows = rows.crossJoin(F.broadcast(last))  # one row
     own = F.floor((F.col("_last") - p) / 6) + 1  # base rows of the partition
     offset = F.when(F.col("kind") == "base", F.floor(i / 6)).otherwise(own + F.floor((i - 99) / 300))
-    key = F.concat(F.get_json_object("raw", "$.wiki"), F.lit(":"), F.get_json_object("raw", "$.title"))
-    return rows.select(key.alias("kafka_key"), "raw", p.cast("int").alias("kafka_partition"), offset.cast("long").alias("kafka_offset"), "ingested_at")
+    return rows.select("kafka_key", "raw", p.cast("int").alias("kafka_partition"), offset.cast("long").alias("kafka_offset"), "ingested_at")
 
 
 def dlq_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
